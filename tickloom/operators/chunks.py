@@ -47,24 +47,35 @@ def in_chunk(*keys: str, date: str = "Date") -> WindowSpec:
 
 
 def with_lookback(
-    bars: DataFrame, grid: BarGrid, rows: int, keys: Sequence[str] = ("ticker",)
+    bars: DataFrame,
+    grid: BarGrid,
+    rows: int,
+    keys: Sequence[str] = ("ticker",),
+    ahead: bool = False,
 ) -> DataFrame:
     """Bars with `chunk` and `is_core`, plus copies of the `rows` bars before each chunk.
 
     Copies have `is_core = false`; drop them once the windows are computed.
     Chunks may be sparse, so a copy can come from any number of chunks back.
+    With `ahead` the copies are of the bars after each chunk.
     """
     keys = list(keys)
+    toward = F.asc if ahead else F.desc
+    onward = F.desc if ahead else F.asc
     core = bars.withColumn(CHUNK, grid.chunk())
-    newest_first = Window.partitionBy(*keys, CHUNK).orderBy(F.desc("Date"))
-    tails = core.withColumn("_age", F.row_number().over(newest_first)).filter(
+    nearest_first = Window.partitionBy(*keys, CHUNK).orderBy(toward("Date"))
+    tails = core.withColumn("_age", F.row_number().over(nearest_first)).filter(
         F.col("_age") <= rows
     )
-    # One row per chunk: rows it offers, offers of the chunks before it, and the
-    # later chunks close enough to still need some of its rows.
-    sizes = tails.groupBy(*keys, CHUNK).agg(F.count("*").alias("_offered"))
+    # One row per chunk: rows it offers, offers of the chunks passed before it,
+    # and the next chunks close enough to still need some of its rows.
+    sizes = core.groupBy(*keys, CHUNK).agg(
+        F.least(F.count("*"), F.lit(rows)).alias("_offered")
+    )
     earlier = (
-        Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys)
+        .orderBy(onward(CHUNK))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     near = Window.partitionBy(*keys).orderBy("_before").rangeBetween(1, 2 * rows - 1)
     feeds = sizes.withColumn(
@@ -80,8 +91,10 @@ def with_lookback(
     reached = F.filter(
         "_later", lambda later: later["at"] - F.col("_end") + F.col("_age") <= rows
     )
+    # A left join: an inner one would add null checks below the tails and keep
+    # Spark from reusing the exchange that builds the bars.
     copies = (
-        tails.join(feeds, [*keys, CHUNK])
+        tails.join(feeds, [*keys, CHUNK], "left")
         .select(*bars.columns, F.explode(reached).alias("_to"))
         .select(*bars.columns, F.col("_to.chunk").alias(CHUNK), F.lit(False).alias("is_core"))
     )
