@@ -51,27 +51,32 @@ def with_lookback(
     grid: BarGrid,
     rows: int,
     keys: Sequence[str] = ("ticker",),
-    ahead: bool = False,
+    ahead: int = 0,
 ) -> DataFrame:
     """Bars with `chunk` and `is_core`, plus copies of the `rows` bars before each chunk.
 
-    Copies have `is_core = false`; drop them once the windows are computed.
-    Chunks may be sparse, so a copy can come from any number of chunks back.
-    With `ahead` the copies are of the bars after each chunk.
+    Copies have `is_core = false`; drop them once the windows are computed. With
+    `ahead` the first bars after each chunk are copied into it as well.
     """
-    keys = list(keys)
-    toward = F.asc if ahead else F.desc
-    onward = F.desc if ahead else F.asc
     core = bars.withColumn(CHUNK, grid.chunk())
-    nearest_first = Window.partitionBy(*keys, CHUNK).orderBy(toward("Date"))
-    tails = core.withColumn("_age", F.row_number().over(nearest_first)).filter(
-        F.col("_age") <= rows
-    )
+    spread = core.withColumn("is_core", F.lit(True))
+    if rows:
+        spread = spread.unionByName(_copies(core, rows, list(keys), F.desc, F.asc))
+    if ahead:
+        spread = spread.unionByName(_copies(core, ahead, list(keys), F.asc, F.desc))
+    return spread
+
+
+def _copies(core: DataFrame, rows: int, keys: list[str], nearest, onward) -> DataFrame:
+    """The `rows` bars at the edge of every chunk, once per later chunk that needs them.
+
+    Chunks may be sparse, so a copy can go any number of chunks on.
+    """
+    edge = Window.partitionBy(*keys, CHUNK).orderBy(nearest("Date"))
+    tails = core.withColumn("_age", F.row_number().over(edge)).filter(F.col("_age") <= rows)
     # One row per chunk: rows it offers, offers of the chunks passed before it,
     # and the next chunks close enough to still need some of its rows.
-    sizes = core.groupBy(*keys, CHUNK).agg(
-        F.least(F.count("*"), F.lit(rows)).alias("_offered")
-    )
+    sizes = core.groupBy(*keys, CHUNK).agg(F.least(F.count("*"), F.lit(rows)).alias("_offered"))
     earlier = (
         Window.partitionBy(*keys)
         .orderBy(onward(CHUNK))
@@ -91,14 +96,14 @@ def with_lookback(
     reached = F.filter(
         "_later", lambda later: later["at"] - F.col("_end") + F.col("_age") <= rows
     )
+    values = [c for c in core.columns if c != CHUNK]
     # A left join: an inner one would add null checks below the tails and keep
     # Spark from reusing the exchange that builds the bars.
-    copies = (
+    return (
         tails.join(feeds, [*keys, CHUNK], "left")
-        .select(*bars.columns, F.explode(reached).alias("_to"))
-        .select(*bars.columns, F.col("_to.chunk").alias(CHUNK), F.lit(False).alias("is_core"))
+        .select(*values, F.explode(reached).alias("_to"))
+        .select(*values, F.col("_to.chunk").alias(CHUNK), F.lit(False).alias("is_core"))
     )
-    return core.withColumn("is_core", F.lit(True)).unionByName(copies)
 
 
 def carried(

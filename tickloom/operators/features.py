@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import clip, flag, or_default, ratio, seconds_of
 from tickloom.operators.chunks import CHUNK, BarGrid, in_chunk, with_lookback
-from tickloom.operators.indicators import rolling_volatility
+from tickloom.operators.indicators import (
+    IndicatorSpec,
+    add_indicators,
+    add_label,
+    rolling_volatility,
+)
+from tickloom.sources.tables import join_dimension
 
 # Feature names in the order of the model's input vector.
 FEATURES = [
@@ -33,6 +39,10 @@ FEATURES = [
 VOLUME_BARS = 20
 LOOKBACK = 21
 
+# Indicators of the training input.
+TRAINING_SPEC = IndicatorSpec(sma=(5, 25, 75), cross=(25, 75))
+FACTS = ["fundamental_score", "per", "pbr", "roe", "dividend_yield"]
+
 # A training row must carry these beside ticker, Date and label.
 INPUTS = [
     "Close", "Volume", "sma_5", "sma_25", "sma_75", "rsi_14", "bb_upper", "bb_lower",
@@ -42,8 +52,27 @@ INPUTS = [
 
 def feature_matrix(rows: DataFrame, grid: BarGrid) -> DataFrame:
     """`ticker, Date`, the 17 features and `label`; incomplete rows are dropped."""
+    spread = with_lookback(rows.select("ticker", "Date", *INPUTS, "label"), grid, LOOKBACK)
+    return select_features(spread, in_chunk())
+
+
+def training_matrix(
+    bars: DataFrame,
+    fundamentals: DataFrame,
+    grid: BarGrid,
+    bars_ahead: int = 20,
+    threshold: float = 0.03,
+) -> DataFrame:
+    """Feature matrix straight from bars and fundamentals, in one pass over the bars."""
     w = in_chunk()
-    df = with_lookback(rows.select("ticker", "Date", *INPUTS, "label"), grid, LOOKBACK)
+    spread = with_lookback(bars, grid, max(TRAINING_SPEC.lookback, LOOKBACK), ahead=bars_ahead)
+    df = add_label(add_indicators(spread, TRAINING_SPEC, w), w, bars_ahead, threshold)
+    facts = fundamentals.select("ticker", *[c for c in FACTS if c not in bars.columns])
+    return select_features(join_dimension(df, facts, "ticker"), w)
+
+
+def select_features(df: DataFrame, w: WindowSpec) -> DataFrame:
+    """Features of the core rows of bars that carry a lookback."""
     close, volume = F.col("Close"), F.col("Volume")
     running = w.rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumns(

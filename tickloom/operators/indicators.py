@@ -171,13 +171,15 @@ def forward_label(
 
     Null where the ticker has no such later bar.
     """
-    df = with_lookback(bars, grid, bars_ahead, ahead=True)
-    later = F.lead("Close", bars_ahead).over(in_chunk())
-    gain = ratio(later, F.col("Close")) - 1
-    df = df.withColumn("label", (gain >= threshold).cast("int"))
+    df = add_label(with_lookback(bars, grid, 0, ahead=bars_ahead), in_chunk(), bars_ahead, threshold)
     return df.filter("is_core").drop(CHUNK, "is_core")
 
 
+def add_label(df: DataFrame, w: WindowSpec, bars_ahead: int, threshold: float) -> DataFrame:
+    gain = ratio(F.lead("Close", bars_ahead).over(w), F.col("Close")) - 1
+    return df.withColumn("label", (gain >= threshold).cast("int"))
+
+
 def rolling_volatility(w: WindowSpec, returns: str, n: int = 20) -> Column:
     """Sample deviation of the last n returns; null until there are n."""
     last = w.rowsBetween(1 - n, 0)
