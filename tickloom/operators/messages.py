@@ -22,6 +22,9 @@ SCHEMA_VERSION = "1.0"
 # Fields every message's first bar must have, in order of the report.
 REQUIRED = ["Close", "Date", "High", "Low", "Open", "Volume"]
 
+# Fields of a bar that are numbers.
+NUMBERS = ["Open", "High", "Low", "Close", "Volume"]
+
 ERRORS = "array<struct<code:string,row_index:int,field:string,value:string>>"
 
 FLOAT_TEXT = r"^\s*[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\s*$"
@@ -113,30 +116,81 @@ def parse_messages(raw: DataFrame) -> DataFrame:
     return raw.withColumn("doc", doc)
 
 
-def _as_float(bar: Column, key: str) -> Column:
-    """Number a bar field stands for; 0 if absent, null if it is none."""
-    v = _get(bar, key)
-    text = F.try_variant_get(v, "$", "string")
+def _read_bars(bars: Column) -> Column:
+    """Each element of `bars` with its four checked fields as (given, text, float, int).
+
+    The float or int of a field is null if it stands for no such number, and 0 if
+    the field is absent. Done in small steps: every variant is looked up once.
+    """
+    fields = F.transform(
+        bars,
+        lambda bar: F.struct(
+            _is(bar, "OBJECT").alias("is_object"),
+            _get(bar, "Date", "string").alias("Date"),
+            *[_get(bar, name).alias(name) for name in NUMBERS],
+        ),
+    )
+    sorted_out = F.transform(
+        fields,
+        lambda f: F.struct(
+            f["is_object"],
+            f["Date"],
+            *[
+                F.struct(
+                    F.schema_of_variant(f[name]).alias("kind"),
+                    F.try_variant_get(f[name], "$", "double").alias("number"),
+                    f[name].alias("raw"),
+                ).alias(name)
+                for name in NUMBERS
+            ],
+        ),
+    )
+    return F.transform(
+        sorted_out,
+        lambda f: F.struct(
+            f["is_object"],
+            f["Date"],
+            *[
+                F.struct(
+                    f[name]["kind"].isNotNull().alias("given"),
+                    _text(f[name]).alias("text"),
+                    (_as_int if name == "Volume" else _as_float)(f[name]).alias("value"),
+                ).alias(name)
+                for name in NUMBERS
+            ],
+        ),
+    )
+
+
+def _text(field: Column) -> Column:
+    """What the field says, unless it is a plain number."""
+    plain = field["number"].isNotNull() & (field["kind"] != "STRING")
+    return F.when(~plain, F.try_variant_get(field["raw"], "$", "string"))
+
+
+def _as_float(field: Column) -> Column:
+    text = _text(field)
     plain = F.regexp_like(text, F.lit(FLOAT_TEXT)) | F.regexp_like(text, F.lit(FLOAT_WORD))
-    from_text = F.when(plain, F.replace(F.trim(text), F.lit("_"), F.lit("")).try_cast("double"))
     return (
-        F.when(v.isNull(), F.lit(0.0))
-        .when(_is(v, "STRING"), from_text)
-        .otherwise(F.try_variant_get(v, "$", "double"))
+        F.when(field["kind"].isNull(), F.lit(0.0))
+        .when(field["kind"] != "STRING", field["number"])
+        .when(plain, F.replace(F.trim(text), F.lit("_"), F.lit("")).try_cast("double"))
     )
 
 
-def _as_int(bar: Column, key: str) -> Column:
-    """Whole number a bar field stands for; fractions of numbers are cut off."""
-    v = _get(bar, key)
-    text = F.try_variant_get(v, "$", "string")
+def _as_int(field: Column) -> Column:
+    """Fractions of numbers are cut off, fractions in texts are no whole numbers."""
+    text = _text(field)
     whole = F.replace(F.trim(text), F.lit("_"), F.lit("")).try_cast("decimal(38,0)")
+    cut = F.when(field["number"] < 0, F.ceil(field["number"])).otherwise(F.floor(field["number"]))
+    exact = F.coalesce(
+        F.try_variant_get(field["raw"], "$", "bigint").cast("decimal(38,0)"),
+        cut.try_cast("decimal(38,0)"),
+    )
     return (
-        F.when(v.isNull(), F.lit(0).cast("decimal(38,0)"))
-        .when(_is(v, "STRING"), F.when(F.regexp_like(text, F.lit(INT_TEXT)), whole))
-        .when(_is(v, "DOUBLE"), F.try_variant_get(v, "$", "double").try_cast("decimal(38,0)"))
-        .when(_is(v, "DECIMAL"), F.try_variant_get(v, "$", "double").try_cast("bigint").cast("decimal(38,0)"))
-        .otherwise(F.try_variant_get(v, "$", "bigint").cast("decimal(38,0)"))
+        F.when(field["kind"].isNull(), F.lit(0).cast("decimal(38,0)"))
+        .when(field["kind"] != "STRING", exact)
+        .when(F.regexp_like(text, F.lit(INT_TEXT)), whole)
     )
 
 
@@ -150,23 +204,23 @@ def _error(code: str, index: Column | None = None, field: str | None = None, val
 
 
 def _bar_errors(bar: Column, index: Column) -> Column:
-    """Errors of one bar. After a field that is no number, later checks are skipped."""
+    """Errors of one read bar. After a field that is no number, later checks are skipped."""
     nothing = F.array().cast(ERRORS)
 
     def only(condition: Column, error: Column) -> Column:
         return F.when(condition, F.array(error)).otherwise(nothing)
 
     def bad(field: str) -> Column:
-        return F.array(_error("type_error", index, field, F.try_variant_get(bar, f"$.{field}", "string")))
+        return F.array(_error("type_error", index, field, bar[field]["text"]))
 
-    close, volume = _as_float(bar, "Close"), _as_int(bar, "Volume")
-    high, low = _as_float(bar, "High"), _as_float(bar, "Low")
+    close, volume = bar["Close"]["value"], bar["Volume"]["value"]
+    high, low = bar["High"]["value"], bar["Low"]["value"]
     crossed = ~F.isnan(high) & ~F.isnan(low) & (high < low)
     price = only(close <= 0, _error("invalid_close", index, "Close", close))
     amount = only(volume < 0, _error("negative_volume", index, "Volume", volume))
     span = only(crossed, _error("high_below_low", index, "High", high))
     return (
-        F.when(~_is(bar, "OBJECT"), F.array(_error("type_error", index)))
+        F.when(~bar["is_object"], F.array(_error("type_error", index)))
         .when(close.isNull(), bad("Close"))
         .when(volume.isNull(), F.concat(price, bad("Volume")))
         .when(high.isNull(), F.concat(price, amount, bad("High")))
@@ -177,18 +231,17 @@ def _bar_errors(bar: Column, index: Column) -> Column:
 
 
 def validate_messages(parsed: DataFrame) -> DataFrame:
-    """Add `errors` and `is_valid` to parsed messages. One bad bar fails the message."""
-    ohlcv = _get(F.col("doc"), "ohlcv")
-    bars = F.col("_bars")
+    """Add `bars`, `errors` and `is_valid` to parsed messages. One bad bar fails all."""
+    doc, bars = F.col("doc"), F.col("_elements")
+    ohlcv = _get(doc, "ohlcv")
+    # Nothing there: absent, null, "", 0, false, [] or {}.
     empty = (
         ohlcv.isNull()
         | F.is_variant_null(ohlcv)
-        | (F.size(F.try_variant_get(ohlcv, "$", "array<variant>")) == 0)
+        | (F.size(bars) == 0)
         | (F.size(F.map_keys(F.try_variant_get(ohlcv, "$", "map<string,variant>"))) == 0)
-        | (_is(ohlcv, "STRING") & (F.try_variant_get(ohlcv, "$", "string") == ""))
-        | (
-            (_is(ohlcv, "BIGINT") | _is(ohlcv, "D") | _is(ohlcv, "BOOLEAN"))
-            & (F.try_variant_get(ohlcv, "$", "double") == 0)
+        | F.when(_is(ohlcv, "STRING"), F.try_variant_get(ohlcv, "$", "string") == "").otherwise(
+            F.try_variant_get(ohlcv, "$", "double") == 0
         )
     )
     first = F.try_element_at(bars, F.lit(1))
@@ -203,24 +256,28 @@ def validate_messages(parsed: DataFrame) -> DataFrame:
         name.alias("field"),
         F.lit(None).cast("string").alias("value"),
     ))
-    per_bar = F.flatten(F.transform(bars, _bar_errors))
+    per_bar = F.flatten(F.transform("bars", _bar_errors))
 
     def one(code: str) -> Column:
         return F.array(_error(code)).cast(ERRORS)
 
+    # The usual case comes before the tests that only tell broken ones apart.
     errors = (
-        F.when(F.col("doc").isNull(), one("broken_json"))
-        .when(~_is(F.col("doc"), "OBJECT"), one("not_an_object"))
-        .when(_get(F.col("doc"), "ticker").isNull(), one("missing_ticker"))
+        F.when(doc.isNull(), one("broken_json"))
+        .when(
+            _get(doc, "ticker").isNull(),
+            F.when(_is(doc, "OBJECT"), one("missing_ticker")).otherwise(one("not_an_object")),
+        )
+        .when(F.size(bars) > 0, F.concat(no_field.cast(ERRORS), per_bar))
         .when(F.coalesce(empty, F.lit(False)), one("missing_ohlcv"))
-        .when(bars.isNull(), one("ohlcv_not_a_list"))
-        .otherwise(F.concat(no_field.cast(ERRORS), per_bar))
+        .otherwise(one("ohlcv_not_a_list"))
     )
     return (
-        parsed.withColumn("_bars", F.try_variant_get("doc", "$.ohlcv", "array<variant>"))
+        parsed.withColumn("_elements", F.try_variant_get("doc", "$.ohlcv", "array<variant>"))
+        .withColumn("bars", _read_bars(bars))
         .withColumn("errors", errors)
         .withColumn("is_valid", F.size("errors") == 0)
-        .drop("_bars")
+        .drop("_elements")
     )
 
 
@@ -230,7 +287,7 @@ def valid_messages(validated: DataFrame) -> DataFrame:
 
 def rejected_messages(validated: DataFrame) -> DataFrame:
     """Messages that failed, whole, with what is wrong with them."""
-    return validated.filter(~F.col("is_valid")).drop("doc", "is_valid")
+    return validated.filter(~F.col("is_valid")).drop("doc", "bars", "is_valid")
 
 
 def flatten_messages(validated: DataFrame, *keep: str) -> DataFrame:
@@ -240,21 +297,16 @@ def flatten_messages(validated: DataFrame, *keep: str) -> DataFrame:
     fundamentals, name and sector are repeated on every bar. `keep` names
     further columns of the input to carry along.
     """
-    bars = F.try_variant_get("doc", "$.ohlcv", "array<variant>")
-
-    def given(bar: Column, field: str, value: Column) -> Column:
-        return F.when(_get(bar, field).isNotNull(), value)
-
     def typed(bar: Column, index: Column) -> Column:
+        def given(field: str, kind: str) -> Column:
+            value = F.when(bar[field]["given"], bar[field]["value"]).try_cast(kind)
+            return F.nanvl(value, F.lit(None)) if kind == "double" else value
+
         return F.struct(
-            _get(bar, "Date", "string").try_cast("timestamp_ntz").alias("Date"),
+            bar["Date"].try_cast("timestamp_ntz").alias("Date"),
             index.alias("at"),
-            *[
-                F.nanvl(given(bar, c, _as_float(bar, c)), F.lit(None)).alias(c)
-                for c in BAR_FIELDS
-                if c not in ("Date", "Volume")
-            ],
-            given(bar, "Volume", _as_int(bar, "Volume").try_cast("bigint")).alias("Volume"),
+            *[given(c, "double").alias(c) for c in NUMBERS if c != "Volume"],
+            given("Volume", "bigint").alias("Volume"),
         )
 
     facts = F.coalesce(
@@ -267,7 +319,7 @@ def flatten_messages(validated: DataFrame, *keep: str) -> DataFrame:
         F.coalesce(_get(F.col("doc"), "company_name", "string"), _get(F.col("doc"), "ticker", "string")).alias("company_name"),
         F.coalesce(_get(F.col("doc"), "sector", "string"), F.lit("Unknown")).alias("sector"),
         facts.alias("facts"),
-        F.array_sort(F.transform(bars, typed)).alias("bars"),
+        F.array_sort(F.transform("bars", typed)).alias("bars"),
     )
     # Sorted by date and place: a bar equal in date to the one before is a repeat.
     shifted = F.concat(F.array(F.lit(None).cast("timestamp_ntz")), F.col("bars.Date"))
