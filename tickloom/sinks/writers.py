@@ -9,7 +9,9 @@ from tickloom.functions.columns import safe_name
 from tickloom.operators.chunks import CHUNK, BarGrid
 from tickloom.operators.snapshot import latest
 
+# Fixed value: date format of the exported files.
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS"
+DATES = {"timestampNTZFormat": ISO, "timestampFormat": ISO}
 
 
 def write_table(df: DataFrame, name: str) -> None:
@@ -23,14 +25,12 @@ def write_parquet(df: DataFrame, path: str, *partitions: str) -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; dates in ISO form."""
-    df.write.mode("overwrite").csv(path, header=True, timestampNTZFormat=ISO, timestampFormat=ISO)
+    df.write.mode("overwrite").options(**DATES).csv(path, header=True)
 
 
 def write_json(df: DataFrame, path: str) -> None:
     """One JSON record per line; nulls are kept and dates are in ISO form."""
-    df.write.mode("overwrite").json(
-        path, ignoreNullFields=False, timestampNTZFormat=ISO, timestampFormat=ISO
-    )
+    df.write.mode("overwrite").options(**DATES).json(path, ignoreNullFields=False)
 
 
 def write_history(df: DataFrame, path: str, grid: BarGrid) -> None:
@@ -45,7 +45,8 @@ def write_history(df: DataFrame, path: str, grid: BarGrid) -> None:
         .sortWithinPartitions("safe_ticker", CHUNK, "Date")
         .write.mode("overwrite")
         .partitionBy("safe_ticker", CHUNK)
-        .json(path, ignoreNullFields=False, timestampNTZFormat=ISO)
+        .options(**DATES)
+        .json(path, ignoreNullFields=False)
     )
 
 

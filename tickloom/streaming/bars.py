@@ -2,22 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators.chunks import CHUNK, BarGrid, recent
-from tickloom.operators.decisions import add_decision
-from tickloom.operators.indicators import PARTIAL, IndicatorSpec, add_indicators
-from tickloom.operators.chunks import in_chunk
+from tickloom.operators.chunks import BarGrid, recent
+from tickloom.operators.decisions import evaluate
+from tickloom.operators.indicators import PARTIAL, IndicatorSpec
 
 
-def first_bars(bars: DataFrame, late: str = "2 days") -> DataFrame:
-    """Drop repeats of a (ticker, Date) across messages, within a watermark.
+def stream_bars(
+    rows: DataFrame, ticker: Column, ts: Column, price: Column, width: str = "1 hour", late: str = "1 hour"
+) -> DataFrame:
+    """Bars per ticker and event-time window, emitted once no row of theirs can come.
 
-    The watermark needs an instant, so the zone-free date is read as UTC.
+    Windows need instants, so zone-free times are read as UTC and given back
+    zone-free.
     """
+    timed = rows.select(
+        ticker.alias("ticker"), ts.cast("timestamp").alias("_ts"), price.alias("_price")
+    )
+    bars = (
+        timed.withWatermark("_ts", late)
+        .groupBy("ticker", F.window("_ts", width).alias("_w"))
+        .agg(
+            F.min_by("_price", "_ts").alias("Open"),
+            F.max("_price").alias("High"),
+            F.min("_price").alias("Low"),
+            F.max_by("_price", "_ts").alias("Close"),
+            F.count("*").alias("Volume"),
+        )
+    )
+    date = F.col("_w.start").cast("timestamp_ntz").alias("Date")
+    return bars.select("ticker", date, "Open", "High", "Low", "Close", "Volume")
+
+
+def first_bars(bars: DataFrame, late: str = "2 days") -> DataFrame:
+    """Drop repeats of a (ticker, Date) across messages, within a watermark."""
     return (
         bars.withColumn("_at", F.col("Date").cast("timestamp"))
         .withWatermark("_at", late)
@@ -26,21 +47,69 @@ def first_bars(bars: DataFrame, late: str = "2 days") -> DataFrame:
     )
 
 
-def evaluate_new(
-    spark: SparkSession, table_path: str, spec: IndicatorSpec = PARTIAL
-) -> Callable[[DataFrame, int], DataFrame]:
-    """Evaluator of a micro-batch of new bars against the bars stored before.
+def evaluate_batch(
+    stored: DataFrame | None, batch: DataFrame, grid: BarGrid, spec: IndicatorSpec = PARTIAL
+) -> tuple[DataFrame, DataFrame]:
+    """(new bars, evaluated bars) of a micro-batch, given the bars stored before.
+
+    A bar that is stored already is not new. From a ticker's earliest new bar on,
+    every bar is evaluated again, so late bars are put right. Indicators look back
+    a fixed number of bars: only that many older ones are read per ticker.
+    """
+    if stored is None:
+        return batch, evaluate(batch, grid, spec)
+    new = batch.join(stored.select("ticker", "Date"), ["ticker", "Date"], "left_anti")
+    since = new.groupBy("ticker").agg(F.min("Date").alias("_since"))
+    touched = stored.join(since, "ticker")
+    older = recent(touched.filter("Date < _since"), spec.lookback).drop("_since")
+    later = touched.filter("Date >= _since").drop("_since")
+    around = (
+        older.withColumn("_due", F.lit(False))
+        .unionByName(later.withColumn("_due", F.lit(True)))
+        .unionByName(new.withColumn("_due", F.lit(True)))
+    )
+    df = evaluate(around.withColumnRenamed("_due", "is_due"), grid, spec)
+    return new, df.filter("is_due").drop("is_due")
+
+
+def evaluate_stream(
+    spark: SparkSession,
+    bars: DataFrame,
+    folder: str,
+    grid: BarGrid,
+    spec: IndicatorSpec = PARTIAL,
+) -> StreamingQuery:
+    """Store and evaluate the bars of a stream, batch by batch, until none waits.
 
-    Indicators look back a fixed number of bars, so only that many stored bars
-    per ticker are read beside the new ones.
+    The stored bars are the state, so nothing is kept in memory between batches
+    and a batch that is run again after a failure replaces its own output.
     """
 
-    def evaluate(batch: DataFrame, number: int) -> DataFrame:
-        stored = spark.read.parquet(table_path).filter(F.col("batch") < number).drop("batch")
-        touched = stored.join(batch.select("ticker").distinct(), "ticker", "left_semi")
-        near = recent(touched, spec.lookback + 1).withColumn("is_core", F.lit(False))
-        both = near.unionByName(batch.withColumn("is_core", F.lit(True)))
-        df = add_indicators(both.withColumn(CHUNK, F.lit(0)), spec, in_chunk())
-        return add_decision(df, f"rsi_{spec.rsi}").filter("is_core").drop("is_core", CHUNK)
+    def write(batch: DataFrame, number: int) -> None:
+        stored = None
+        if number > 0:
+            stored = spark.read.parquet(f"{folder}/bars").filter(F.col("batch") < number)
+            stored = stored.drop("batch")
+        once = batch.dropDuplicates(["ticker", "Date"]).persist()
+        new, evaluated = evaluate_batch(stored, once, grid, spec)
+        evaluated.write.mode("overwrite").parquet(f"{folder}/evaluated/batch={number}")
+        new.write.mode("overwrite").parquet(f"{folder}/bars/batch={number}")
+        once.unpersist()
 
-    return evaluate
+    return (
+        bars.writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{folder}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def current_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The last evaluation of every bar of an evaluated stream."""
+    rows = spark.read.parquet(f"{folder}/evaluated")
+    values = [c for c in rows.columns if c not in ("ticker", "Date", "batch")]
+    return (
+        rows.groupBy("ticker", "Date")
+        .agg(F.max_by(F.struct(*values), "batch").alias("_last"))
+        .select("ticker", "Date", "_last.*")
+    )
