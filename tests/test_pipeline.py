@@ -39,8 +39,8 @@ def test_ingest_evaluate_export_twice(spark, sf, tmp_path):
     assert {"sma_200", "decision", "dividend_category", "sector"} <= set(evaluated.columns)
     latest = spark.read.csv(f"{tmp_path}/out/latest_csv", header=True)
     assert latest.count() == 25
-    files = sorted(Path(tmp_path / "out/history").glob("safe_ticker=Brand#11/chunk=*/*.json"))
-    files = files or sorted(Path(tmp_path / "out/history").glob("safe_ticker=Brand%2311/chunk=*/*.json"))
+    folders = Path(tmp_path / "out/history").glob("safe_ticker=Brand*11/since=*/*.json")
+    files = sorted(folders)
     dates = [json.loads(line)["Date"] for f in files for line in f.read_text().splitlines()]
     assert dates == sorted(dates) and len(dates) == bars.filter("ticker = 'Brand#11'").count()
     scored = evaluated.withColumns({"confidence": F.lit(0.5), "fundamental_score": F.lit(1.0)})
@@ -75,7 +75,7 @@ def test_reading_back(spark, series, tmp_path):
 
 def test_history_splits_long_tickers(spark, series, tmp_path):
     write_history(series(A=[1.0] * 10), f"{tmp_path}/h", BarGrid(86_400, 4))
-    assert len(list(Path(f"{tmp_path}/h").glob("safe_ticker=A/chunk=*/*.json"))) >= 3
+    assert len(list(Path(f"{tmp_path}/h").glob("safe_ticker=A/since=*/*.json"))) >= 3
 
 
 def test_filter_reaches_the_scan(spark, sf):

@@ -36,6 +36,12 @@ class BarGrid:
     def chunk(self, date: str = "Date") -> Column:
         return F.floor(seconds_of(F.col(date)) / (self.seconds * self.chunk_bars))
 
+    def chunk_since(self, date: str = "Date") -> Column:
+        """Start of the bar's chunk as text that sorts like time."""
+        start = self.chunk(date) * (self.seconds * self.chunk_bars)
+        epoch = F.expr("timestamp_ntz'1970-01-01'")
+        return F.date_format(epoch + F.make_dt_interval(secs=start), "yyyyMMdd'T'HHmmss")
+
 
 DAILY = BarGrid(86_400)
 HOURLY = BarGrid(3_600)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import safe_name
-from tickloom.operators.chunks import CHUNK, BarGrid
+from tickloom.operators.chunks import BarGrid
 from tickloom.operators.snapshot import latest
 
 # Fixed value: date format of the exported files.
@@ -36,15 +36,16 @@ def write_json(df: DataFrame, path: str) -> None:
 def write_history(df: DataFrame, path: str, grid: BarGrid) -> None:
     """JSON records per ticker, in order of date.
 
-    Folders are `safe_ticker=…/chunk=…`; a ticker shorter than a chunk is one
-    file, a longer one is written by as many tasks as it has chunks.
+    Folders are `safe_ticker=…/since=…` and sort like time. A ticker shorter than
+    a chunk is one file, a longer one is written by as many tasks as it has chunks.
     """
-    split = df.withColumns({"safe_ticker": safe_name(F.col("ticker")), CHUNK: grid.chunk()})
+    keys = ["safe_ticker", "since"]
+    split = df.withColumns({"safe_ticker": safe_name(F.col("ticker")), "since": grid.chunk_since()})
     (
-        split.repartition("safe_ticker", CHUNK)
-        .sortWithinPartitions("safe_ticker", CHUNK, "Date")
+        split.repartition(*keys)
+        .sortWithinPartitions(*keys, "Date")
         .write.mode("overwrite")
-        .partitionBy("safe_ticker", CHUNK)
+        .partitionBy(*keys)
         .options(**DATES)
         .json(path, ignoreNullFields=False)
     )
