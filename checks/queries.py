@@ -50,7 +50,7 @@ HOLD = Strategy()
 GRID = (RSI_50, RSI_40, SMA_20_50, SMA_5_20, HOLD)
 
 # Trees of the registered training runs; the library's default is 300.
-SMALL_MODEL = model.ModelSpec(trees=10)
+SMALL_MODEL = model.ModelSpec(trees=5)
 
 
 def query(run: Query) -> Query:

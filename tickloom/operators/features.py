@@ -10,7 +10,6 @@ from tickloom.operators.chunks import CHUNK, BarGrid, in_chunk, with_lookback
 from tickloom.operators.indicators import (
     IndicatorSpec,
     add_indicators,
-    add_label,
     rolling_volatility,
 )
 from tickloom.sources.tables import join_dimension
@@ -53,7 +52,8 @@ INPUTS = [
 def feature_matrix(rows: DataFrame, grid: BarGrid) -> DataFrame:
     """`ticker, Date`, the 17 features and `label`; incomplete rows are dropped."""
     spread = with_lookback(rows.select("ticker", "Date", *INPUTS, "label"), grid, LOOKBACK)
-    return select_features(spread, in_chunk())
+    df = select_features(spread, in_chunk(), "label").filter("is_core")
+    return df.drop("is_core", CHUNK).dropna(how="any", subset=[*FEATURES, "label"])
 
 
 def training_matrix(
@@ -63,16 +63,30 @@ def training_matrix(
     bars_ahead: int = 20,
     threshold: float = 0.03,
 ) -> DataFrame:
-    """Feature matrix straight from bars and fundamentals, in one pass over the bars."""
+    """Feature matrix straight from bars and fundamentals, in one pass over the bars.
+
+    The label of a bar is known `bars_ahead` bars later. So each bar gives the row
+    of the bar that many before it, and no bars have to be copied from ahead.
+    """
     w = in_chunk()
-    spread = with_lookback(bars, grid, max(TRAINING_SPEC.lookback, LOOKBACK), ahead=bars_ahead)
-    df = add_label(add_indicators(spread, TRAINING_SPEC, w), w, bars_ahead, threshold)
+    spread = with_lookback(bars, grid, max(TRAINING_SPEC.lookback, LOOKBACK) + bars_ahead)
     facts = fundamentals.select("ticker", *[c for c in FACTS if c not in bars.columns])
-    return select_features(join_dimension(df, facts, "ticker"), w)
+    df = join_dimension(add_indicators(spread, TRAINING_SPEC, w), facts, "ticker")
+    df = select_features(df, w, "Close")
+    past = {c: F.lag(c, bars_ahead).over(w) for c in ["Date", "Close", *FEATURES]}
+    df = df.select(
+        "ticker", "is_core", F.col("Close").alias("_later"), *[c.alias(n) for n, c in past.items()]
+    )
+    gain = ratio(F.col("_later"), F.col("Close")) - 1
+    return (
+        df.filter("is_core")
+        .select("ticker", "Date", *FEATURES, (gain >= threshold).cast("int").alias("label"))
+        .dropna(how="any", subset=[*FEATURES, "label"])
+    )
 
 
-def select_features(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """Features of the core rows of bars that carry a lookback."""
+def select_features(df: DataFrame, w: WindowSpec, *keep: str) -> DataFrame:
+    """Features of bars that carry a lookback, with their keys and `keep`."""
     close, volume = F.col("Close"), F.col("Volume")
     running = w.rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumns(
@@ -113,10 +127,8 @@ def select_features(df: DataFrame, w: WindowSpec) -> DataFrame:
         "return_20d": F.col("_return_20"),
         "volatility_20d": F.col("_volatility"),
     }
-    return (
-        df.filter("is_core")
-        .select("ticker", "Date", *[features[f].alias(f) for f in FEATURES], "label")
-        .dropna(how="any", subset=[*FEATURES, "label"])
+    return df.select(
+        "ticker", CHUNK, "Date", "is_core", *[features[f].alias(f) for f in FEATURES], *keep
     )
 
 
