@@ -33,8 +33,10 @@ from tickloom.operators.indicators import FULL, PARTIAL, UNGUARDED, IndicatorSpe
 from tickloom.operators.positions import TradeRules
 from tickloom.operators.strategies import Strategy
 from tickloom.session import checkpoint_dir, use_checkpoints
+from tickloom.sinks import writers
 from tickloom.sources import tables
 from tickloom.sources.bars import first_per_bar
+from tickloom.streaming import bars as bar_streams
 from tickloom.streaming import consume
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -533,6 +535,57 @@ def message_stream(spark, sf):
     )
 
 
+@query
+def bar_stream(spark, sf):
+    """Hourly bars from a stream of events, as far as the watermark closes them."""
+    folder = f"{checkpoint_dir(spark)}/bar_stream_{uuid.uuid4().hex}"
+    events = (
+        spark.readStream.schema(table(spark, sf, "events").schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf)
+    )
+    built = bar_streams.stream_bars(events, F.col("event_type"), F.col("ts"), F.col("value"))
+    _drain(built.writeStream.format("parquet").option("path", f"{folder}/out"), folder)
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query
+def evaluation_stream(spark, sf):
+    """Stored bars through a stream that evaluates them, three files per batch."""
+    folder = f"{checkpoint_dir(spark)}/evaluation_stream_{uuid.uuid4().hex}"
+    hours = hourly_bars(spark, sf).select("ticker", "Date", "Close")
+    hours.repartition(6, "Date").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(hours.schema).option("maxFilesPerTrigger", 3)
+    stream = stream.parquet(f"{folder}/in")
+    bar_streams.evaluate_stream(spark, stream, f"{folder}/state", HOURS).awaitTermination()
+    return bar_streams.current_rows(spark, f"{folder}/state")
+
+
+def _drain(writer, folder: str) -> None:
+    run = writer.option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True)
+    run.start().awaitTermination()
+
+
+# Exports, read back
+
+
+@query
+def history_export(spark, sf):
+    folder = f"{checkpoint_dir(spark)}/history_{uuid.uuid4().hex}"
+    hours = hourly_bars(spark, sf)
+    writers.write_history(hours, folder, HOURS)
+    back = spark.read.schema(hours.schema).json(folder)
+    return back.select(*hours.columns, "safe_ticker")
+
+
+@query
+def csv_export(spark, sf):
+    folder = f"{checkpoint_dir(spark)}/csv_{uuid.uuid4().hex}"
+    hours = hourly_bars(spark, sf)
+    writers.write_csv(hours, folder)
+    return tables.read_csv(spark, folder, hours.schema)
+
+
 # Features and model
 
 

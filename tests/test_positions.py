@@ -128,3 +128,28 @@ def test_result_document(spark):
     df = replay(bars_of(spark, T=[(100, "B"), (110, "S"), (120, "S"), (130, "H")]), DAILY, rules)
     doc = result_document(backtest_metrics(df, rules), trades(df), equity_curve(df), DAILY).first()
     assert '"total_trades":1' in doc.value and '"exit_reason":"decision_change"' in doc.value
+
+
+def test_stream_goes_on_from_stored_states(spark, tmp_path):
+    from tickloom.streaming.positions import position_stream
+
+    random.seed(7)
+    bars = {t: [(random.uniform(50, 150), random.choice("BHS")) for _ in range(60)] for t in "AB"}
+    df = bars_of(spark, **bars, C=[(10, "B"), (11, "S")])
+    rules = TradeRules(holding_period=5)
+    for n in range(3):
+        part = df.filter(F.floor(F.datediff("Date", F.lit(day(0))) / 20) == n)
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+    grid = BarGrid(86_400, 15)
+    position_stream(spark, stream.parquet(f"{tmp_path}/in"), f"{tmp_path}/s", grid, rules).awaitTermination()
+    whole = replay(df, grid, rules)
+    closed = sorted(
+        map(str, trades(whole).filter("exit_reason <> 'end_of_data'").drop("pnl").collect())
+    )
+    got = spark.read.parquet(f"{tmp_path}/s/trades").drop("batch", "pnl")
+    assert sorted(map(str, got.collect())) == closed
+    equity = spark.read.parquet(f"{tmp_path}/s/equity").drop("batch")
+    assert sorted(map(str, equity.collect())) == sorted(map(str, equity_curve(whole).collect()))
+    last = spark.read.parquet(f"{tmp_path}/s/states/batch=2")
+    assert {r.ticker: r.bars_before for r in last.collect()} == {"A": 60, "B": 60, "C": 2}

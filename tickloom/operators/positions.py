@@ -205,58 +205,109 @@ def chunk_outcomes(bars: DataFrame, rules: TradeRules) -> DataFrame:
     return bars.groupBy("ticker", CHUNK).applyInPandas(run, _OUTCOMES)
 
 
-def chunk_starts(outcomes: DataFrame, rules: TradeRules) -> DataFrame:
-    """State and capital with which each chunk starts.
-
-    The walk streams over sorted rows and keeps one position in memory.
+class _Walker:
+    """Position and capital of one ticker between two chunks."""
+
+    def __init__(self, rules: TradeRules, r):
+        self.rules, self.flat = rules, rules.holding_period
+        self.state = self.flat if _missing(r.from_held) else int(r.from_held)
+        self.entry_date, self.entry_price = r.from_entry_date, r.from_entry_price
+        self.capital = rules.initial_capital if _missing(r.from_capital) else r.from_capital
+        self.bars = 0 if _missing(r.from_bars_before) else int(r.from_bars_before)
+        self.value, self.peak = r.from_value_before, r.from_peak_before
+
+    def row(self, r) -> tuple:
+        held = None if self.state == self.flat else self.state
+        position = (held, self.entry_date, self.entry_price, self.capital)
+        return (r.ticker, r.chunk, r.is_last, *position, self.bars, self.value, self.peak)
+
+    def pass_chunk(self, r) -> None:
+        state, tops = self.state, [] if _missing(self.peak) else [self.peak]
+        held = state != self.flat
+        if held:
+            # A position sold on the first bar has no bar of its own here.
+            if not _missing(r.held_top[state]):
+                tops.append(self.capital * (r.held_top[state] / self.entry_price))
+            if not _missing(r.sold_at[state]):
+                sold = r.sold_at[state] / self.entry_price
+                self.capital *= sold - self.rules.commission_rate
+                held = False
+        if not held:
+            tops.append(self.capital * r.growth_top[state])
+            self.capital *= r.growth[state]
+            self.entry_date = self.entry_price = None
+            if r.end_state[state] != self.flat:
+                self.entry_date = pd.Timestamp(r.entry_date[state])
+                self.entry_price = float(r.entry_price[state])
+        self.state = int(r.end_state[state])
+        self.bars, self.peak, self.value = self.bars + r.bars, max(tops), self.capital
+        if self.state != self.flat:
+            self.value = self.capital * (r.last_close / self.entry_price)
+
+
+def _missing(value) -> bool:
+    return value is None or pd.isna(value)
+
+
+def _walk(outcomes: DataFrame, rules: TradeRules, initial: DataFrame | None, ends: bool) -> DataFrame:
+    """Walk each ticker's outcomes in order; streams over sorted rows.
+
+    Gives the state before each chunk, or with `ends` the state after the last.
     """
-    flat = rules.holding_period
     following = F.lead(CHUNK).over(Window.partitionBy("ticker").orderBy(CHUNK))
+    carried = [f for f in _STARTS.fields if f.name not in ("ticker", CHUNK, "is_last")]
+    if initial is None:
+        before = [F.lit(None).cast(f.dataType).alias(f"from_{f.name}") for f in carried]
+        known = outcomes.select("*", *before)
+    else:
+        names = [F.col(f.name).alias(f"from_{f.name}") for f in carried]
+        known = outcomes.join(initial.select("ticker", *names), "ticker", "left")
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ticker = None
+        walker = ticker = None
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                if r.ticker != ticker:
-                    ticker, state, bars = r.ticker, flat, 0
-                    entry_date = entry_price = value = peak = None
-                    capital = rules.initial_capital
-                held = None if state == flat else state
-                rows.append(
-                    (ticker, r.chunk, r.is_last, held, entry_date, entry_price, capital)
-                    + (bars, value, peak)
-                )
-                tops = [] if peak is None else [peak]
-                if held is not None:
-                    # A position sold on the first bar has no bar of its own here.
-                    if r.held_top[state] is not None and not np.isnan(r.held_top[state]):
-                        tops.append(capital * (r.held_top[state] / entry_price))
-                    if r.sold_at[state] is not None and not np.isnan(r.sold_at[state]):
-                        capital *= r.sold_at[state] / entry_price - rules.commission_rate
-                        held = None
-                if held is None:
-                    tops.append(capital * r.growth_top[state])
-                    capital *= r.growth[state]
-                    entry_date = entry_price = None
-                    if r.end_state[state] != flat:
-                        entry_date = pd.Timestamp(r.entry_date[state])
-                        entry_price = float(r.entry_price[state])
-                state, bars, peak = int(r.end_state[state]), bars + r.bars, max(tops)
-                value = capital if state == flat else capital * (r.last_close / entry_price)
+                if walker is None or r.ticker != ticker:
+                    walker, ticker = _Walker(rules, r), r.ticker
+                if not ends:
+                    rows.append(walker.row(r))
+                walker.pass_chunk(r)
+                if ends and r.is_last:
+                    rows.append(walker.row(r))
             out = pd.DataFrame(rows, columns=_STARTS.names)
             yield out.astype({"held": "Int32", "entry_date": "datetime64[us]"}).astype(
                 {name: "float64" for name in ("entry_price", "value_before", "peak_before")}
             )
 
     ordered = (
-        outcomes.withColumn("is_last", following.isNull())
+        known.withColumn("is_last", following.isNull())
         .repartition("ticker")
         .sortWithinPartitions("ticker", CHUNK)
     )
     return ordered.mapInPandas(walk, _STARTS)
 
 
+def chunk_starts(
+    outcomes: DataFrame, rules: TradeRules, initial: DataFrame | None = None
+) -> DataFrame:
+    """State and capital with which each chunk starts."""
+    return _walk(outcomes, rules, initial, ends=False)
+
+
+def end_states(
+    signals: DataFrame, grid: BarGrid, rules: TradeRules, initial: DataFrame | None = None
+) -> DataFrame:
+    """One row per ticker: state and capital after its last bar, to start from later."""
+    outcomes = chunk_outcomes(_chunked(signals, grid), rules)
+    return _walk(outcomes, rules, initial, ends=True)
+
+
+def _chunked(signals: DataFrame, grid: BarGrid) -> DataFrame:
+    columns = ["ticker", grid.chunk().alias(CHUNK), "Date", "Close", "decision"]
+    return signals.select(*columns).repartition("ticker", CHUNK)
+
+
 def _replay_chunk(chunk: _Chunk, start) -> pd.DataFrame:
     rules, size = chunk.rules, chunk.size
     entry_price = np.full(size, np.nan)  # of the position held at the end of the bar
@@ -322,17 +373,24 @@ def _replay_chunk(chunk: _Chunk, start) -> pd.DataFrame:
     )
 
 
-def replay(signals: DataFrame, grid: BarGrid, rules: TradeRules = TradeRules()) -> DataFrame:
+def replay(
+    signals: DataFrame,
+    grid: BarGrid,
+    rules: TradeRules = TradeRules(),
+    initial: DataFrame | None = None,
+    ended: bool = True,
+) -> DataFrame:
     """Portfolio value of every bar and the trades closed on it, for all tickers.
 
     Enter on BUY when flat. Leave after `holding_period` bars, or on HOLD once
     `minimum_hold` bars have passed; a bar that closes a position may open the
-    next. What is open on a ticker's last bar is closed there, free of commission.
+    next. What is open on a ticker's last bar is closed there, free of commission,
+    unless the data has not `ended`. `initial` holds `end_states` to go on from.
     """
-    bars = signals.select(
-        "ticker", grid.chunk().alias(CHUNK), "Date", "Close", "decision"
-    ).repartition("ticker", CHUNK)
-    starts = chunk_starts(chunk_outcomes(bars, rules), rules)
+    bars = _chunked(signals, grid)
+    starts = chunk_starts(chunk_outcomes(bars, rules), rules, initial)
+    if not ended:
+        starts = starts.withColumn("is_last", F.lit(False))
 
     def run(pdf: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         return _replay_chunk(_Chunk(pdf, rules), next(start.itertuples(index=False)))
