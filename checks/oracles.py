@@ -359,9 +359,13 @@ FLAT = f"""WITH {H}, hi AS (SELECT ticker, max([High]) AS per FROM h WHERE ticke
  FROM h LEFT JOIN hi ON h.ticker = hi.ticker"""
 oracle("message_flatten", FLAT)
 oracle("message_stream", FLAT)
-CODES = """CASE event_id % 11 WHEN 1 THEN 'high_below_low' WHEN 2 THEN 'invalid_close' WHEN 3 THEN 'invalid_close'
- WHEN 4 THEN 'missing_field|invalid_close' WHEN 5 THEN 'type_error' WHEN 6 THEN 'negative_volume'
- WHEN 7 THEN 'missing_field' WHEN 8 THEN 'missing_ticker' WHEN 9 THEN 'missing_ohlcv' WHEN 10 THEN 'broken_json' ELSE '' END"""
+# Beside the error its id gives it, a message fails if the event's own value is not above 0.
+ZERO = "CASE WHEN value <= 0 THEN 'invalid_close' END"
+CODES = f"""CASE event_id % 11 WHEN 1 THEN concat_ws('|', {ZERO}, 'high_below_low')
+ WHEN 2 THEN 'invalid_close' WHEN 3 THEN 'invalid_close' WHEN 4 THEN 'missing_field|invalid_close'
+ WHEN 5 THEN concat_ws('|', {ZERO}, 'type_error') WHEN 6 THEN concat_ws('|', {ZERO}, 'negative_volume')
+ WHEN 7 THEN concat_ws('|', 'missing_field', {ZERO}) WHEN 8 THEN 'missing_ticker' WHEN 9 THEN 'missing_ohlcv'
+ WHEN 10 THEN 'broken_json' ELSE concat_ws('|', {ZERO}) END"""
 oracle("message_validation", f"""SELECT event_id, codes = '' AS is_valid,
  CASE WHEN codes = '' THEN 0 ELSE len(string_split(codes, '|')) END::BIGINT AS n_errors, codes
  FROM (SELECT event_id, {CODES} AS codes FROM events)""")
