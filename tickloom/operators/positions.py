@@ -17,11 +17,13 @@ be carried along as well.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,10 @@ from tickloom.functions.columns import TIE
 from tickloom.operators.chunks import CHUNK, BarGrid
 from tickloom.schemas import TRADE
 
+# The code below goes to the Python workers with the job, so that executors need
+# no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass(frozen=True)
 class TradeRules:

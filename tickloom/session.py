@@ -7,14 +7,13 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Defaults only: anything the cluster or the caller has set wins.
+# Set only where the cluster, the submit command or the caller says nothing.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -22,11 +21,15 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     """A session with the library's defaults; `settings` uses `_` for `.` in names."""
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master)
-    chosen = {**DEFAULTS, **{k.replace("_", "."): v for k, v in settings.items()}}
-    for name, value in chosen.items():
-        builder = builder.config(name, value)
-    return builder.getOrCreate()
+        builder = builder.master(master).config("spark.ui.enabled", "false")
+    for name, value in settings.items():
+        builder = builder.config(name.replace("_", "."), value)
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for name, value in DEFAULTS.items():
+        if not given.contains(name):
+            spark.conf.set(name, value)
+    return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
