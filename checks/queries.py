@@ -551,11 +551,11 @@ def bar_stream(spark, sf):
 
 @query
 def evaluation_stream(spark, sf):
-    """Stored bars through a stream that evaluates them, three files per batch."""
+    """Stored bars through a stream that evaluates them, two files per batch."""
     folder = f"{checkpoint_dir(spark)}/evaluation_stream_{uuid.uuid4().hex}"
     hours = hourly_bars(spark, sf).select("ticker", "Date", "Close")
-    hours.repartition(6, "Date").write.parquet(f"{folder}/in")
-    stream = spark.readStream.schema(hours.schema).option("maxFilesPerTrigger", 3)
+    hours.repartitionByRange(4, "Date").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(hours.schema).option("maxFilesPerTrigger", 2)
     stream = stream.parquet(f"{folder}/in")
     bar_streams.evaluate_stream(spark, stream, f"{folder}/state", HOURS).awaitTermination()
     return bar_streams.current_rows(spark, f"{folder}/state")

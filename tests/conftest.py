@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
-        spark_sql_shuffle_partitions="4",
+        spark_sql_shuffle_partitions="2",
         spark_ui_showConsoleProgress="false",
         spark_sql_warehouse_dir=str(tmp_path_factory.mktemp("warehouse")),
     )

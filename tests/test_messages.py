@@ -133,7 +133,7 @@ def test_envelope(spark):
 
 def test_files_publish_and_stream_equal_batch(spark, sf, tmp_path):
     bars = hourly_bars(spark, sf)
-    built = build_messages(bars, BarGrid(3_600, 60))
+    built = build_messages(bars, BarGrid(3_600, 200))
     write_message_files(built, f"{tmp_path}/messages")
     broken = [("bad", 0, "{broken")]
     extra = spark.createDataFrame(broken, "ticker string, part bigint, value string")
@@ -143,7 +143,7 @@ def test_files_publish_and_stream_equal_batch(spark, sf, tmp_path):
     expected = sorted(map(str, flatten_messages(batch).collect()))
     assert len(expected) == bars.count()
     for _ in range(2):  # the second run finds nothing new
-        drain_messages(spark, files, f"{tmp_path}/out", f"{tmp_path}/progress", files_per_batch=5)
+        drain_messages(spark, files, f"{tmp_path}/out", f"{tmp_path}/progress", files_per_batch=8)
     streamed = spark.read.parquet(f"{tmp_path}/out/valid").drop("file", "batch")
     assert sorted(map(str, streamed.collect())) == expected
     assert spark.read.parquet(f"{tmp_path}/out/valid").select("batch").distinct().count() > 1

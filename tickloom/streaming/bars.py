@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tickloom.operators.chunks import BarGrid, recent
 from tickloom.operators.decisions import evaluate
@@ -48,28 +51,43 @@ def first_bars(bars: DataFrame, late: str = "2 days") -> DataFrame:
 
 
 def evaluate_batch(
-    stored: DataFrame | None, batch: DataFrame, grid: BarGrid, spec: IndicatorSpec = PARTIAL
-) -> tuple[DataFrame, DataFrame]:
-    """(new bars, evaluated bars) of a micro-batch, given the bars stored before.
+    tails: DataFrame,
+    history: Callable[[], DataFrame],
+    batch: DataFrame,
+    grid: BarGrid,
+    spec: IndicatorSpec = PARTIAL,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(new bars, evaluated bars, new tails) of a micro-batch.
 
-    A bar that is stored already is not new. From a ticker's earliest new bar on,
-    every bar is evaluated again, so late bars are put right. Indicators look back
-    a fixed number of bars: only that many older ones are read per ticker.
+    `tails` holds the last `spec.lookback` stored bars of every ticker. Bars in
+    order need nothing else. Only where a bar is no newer than what its ticker
+    has, `history` is read: bars stored already are dropped, and from a ticker's
+    earliest late bar on, every bar is evaluated again.
     """
-    if stored is None:
-        return batch, evaluate(batch, grid, spec)
-    new = batch.join(stored.select("ticker", "Date"), ["ticker", "Date"], "left_anti")
-    since = new.groupBy("ticker").agg(F.min("Date").alias("_since"))
-    touched = stored.join(since, "ticker")
-    older = recent(touched.filter("Date < _since"), spec.lookback).drop("_since")
-    later = touched.filter("Date >= _since").drop("_since")
-    around = (
-        older.withColumn("_due", F.lit(False))
-        .unionByName(later.withColumn("_due", F.lit(True)))
-        .unionByName(new.withColumn("_due", F.lit(True)))
-    )
-    df = evaluate(around.withColumnRenamed("_due", "is_due"), grid, spec)
-    return new, df.filter("is_due").drop("is_due")
+    newest = tails.groupBy("ticker").agg(F.max("Date").alias("_newest"))
+    dated = batch.join(newest, "ticker", "left")
+    is_late = F.coalesce(F.col("Date") <= F.col("_newest"), F.lit(False))
+    late = dated.filter(is_late).drop("_newest")
+    due, not_due = F.lit(True).alias("is_due"), F.lit(False).alias("is_due")
+    if late.isEmpty():
+        new = batch
+        around = tails.select("*", not_due).unionByName(new.select("*", due))
+    else:
+        stored = history()
+        seen = late.join(stored.select("ticker", "Date"), ["ticker", "Date"], "left_semi")
+        new = batch.join(seen.select("ticker", "Date"), ["ticker", "Date"], "left_anti")
+        since = new.groupBy("ticker").agg(F.min("Date").alias("_since"))
+        touched = stored.join(since, "ticker")
+        older = recent(touched.filter("Date < _since"), spec.lookback).drop("_since")
+        later = touched.filter("Date >= _since").drop("_since")
+        others = tails.join(since, "ticker", "left_anti")
+        around = others.unionByName(older).select("*", not_due)
+        around = around.unionByName(later.select("*", due)).unionByName(new.select("*", due))
+    # Tickers without a due bar only pass on their tails.
+    active = around.filter("is_due").select("ticker").distinct()
+    df = evaluate(around.join(active, "ticker", "left_semi"), grid, spec)
+    evaluated = df.filter("is_due").drop("is_due")
+    return new, evaluated, recent(around.drop("is_due"), spec.lookback)
 
 
 def evaluate_stream(
@@ -81,18 +99,24 @@ def evaluate_stream(
 ) -> StreamingQuery:
     """Store and evaluate the bars of a stream, batch by batch, until none waits.
 
-    The stored bars are the state, so nothing is kept in memory between batches
-    and a batch that is run again after a failure replaces its own output.
+    The stored bars and tails are the state, so nothing is kept in memory between
+    batches and a batch that is run again after a failure replaces its own output.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        stored = None
-        if number > 0:
-            stored = spark.read.parquet(f"{folder}/bars").filter(F.col("batch") < number)
-            stored = stored.drop("batch")
+        def history() -> DataFrame:
+            stored = spark.read.schema(with_batch).parquet(f"{folder}/bars")
+            return stored.filter(F.col("batch") < number).drop("batch")
+
+        with_batch = StructType(batch.schema.fields + [StructField("batch", LongType())])
+        if number:
+            before = spark.read.schema(batch.schema).parquet(f"{folder}/tails/batch={number - 1}")
+        else:
+            before = batch.limit(0)
         once = batch.dropDuplicates(["ticker", "Date"]).persist()
-        new, evaluated = evaluate_batch(stored, once, grid, spec)
+        new, evaluated, tails = evaluate_batch(before, history, once, grid, spec)
         evaluated.write.mode("overwrite").parquet(f"{folder}/evaluated/batch={number}")
+        tails.write.mode("overwrite").parquet(f"{folder}/tails/batch={number}")
         new.write.mode("overwrite").parquet(f"{folder}/bars/batch={number}")
         once.unpersist()
 
