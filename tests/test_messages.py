@@ -3,7 +3,6 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import day
 from pyspark.sql import functions as F
 
 from tickloom.operators.chunks import DAILY, BarGrid

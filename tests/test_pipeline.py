@@ -73,6 +73,11 @@ def test_reading_back(spark, series, tmp_path):
     assert tables.for_ticker(bars, "nobody").isEmpty()
 
 
+def test_nan_becomes_null(spark, series):
+    bars = tables.nulls_for_nan(series(T=[1.0, float("nan")]))
+    assert sorted(map(str, (r.Close for r in bars.collect()))) == ["1.0", "None"]
+
+
 def test_history_splits_long_tickers(spark, series, tmp_path):
     write_history(series(A=[1.0] * 10), f"{tmp_path}/h", BarGrid(86_400, 4))
     assert len(list(Path(f"{tmp_path}/h").glob("safe_ticker=A/since=*/*.json"))) >= 3

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickloom.functions.columns import percent_text
 from tickloom.operators.chunks import CHUNK, BarGrid

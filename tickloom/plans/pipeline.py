@@ -13,7 +13,12 @@ from tickloom.operators.indicators import PARTIAL, IndicatorSpec
 from tickloom.operators.positions import TradeRules
 from tickloom.operators.snapshot import latest, serving_view
 from tickloom.sinks.writers import export, replace_serving, write_table
-from tickloom.sources.tables import missing_tickers, read_table, with_fundamental_defaults
+from tickloom.sources.tables import (
+    missing_tickers,
+    nulls_for_nan,
+    read_table,
+    with_fundamental_defaults,
+)
 
 RAW = "stock_prices_raw"
 EVALUATED = "stock_backtests"
@@ -28,7 +33,7 @@ class Ingested:
 
 def ingest(spark: SparkSession, bars: DataFrame, tickers: DataFrame | None = None) -> Ingested:
     """Store raw bars; report their quality and the tickers without any bar."""
-    write_table(with_fundamental_defaults(bars), RAW)
+    write_table(with_fundamental_defaults(nulls_for_nan(bars)), RAW)
     stored = spark.table(RAW)
     missing = None if tickers is None else missing_tickers(tickers, stored)
     return Ingested(reports.quality_report(stored), missing)

@@ -93,6 +93,12 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return first
 
 
+def nulls_for_nan(df: DataFrame) -> DataFrame:
+    """NaN in floating-point columns becomes NULL, which the operators expect."""
+    floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({name: F.nanvl(name, F.lit(None)) for name in floats})
+
+
 def with_fundamental_defaults(bars: DataFrame) -> DataFrame:
     """Absent yield, capitalisation and P/E become 0, sector Unknown, name the ticker."""
     defaults = {
