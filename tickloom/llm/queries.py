@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tickloom.llm.common import read
 from tickloom.llm.exact_dedup import exact_dedup
+from tickloom.llm.mix import mix_sources
+from tickloom.llm.pack import pack_documents
 from tickloom.llm.url_filter import Rule, filter_urls
 
 # Fixed values.
@@ -21,6 +24,21 @@ URL_RULES = [
 ]
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_spec(name: str = TOKENIZER) -> str:
+    return Path(public_tokenizers.path(name)).read_text()
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"), tokenizer_spec(), with_ids=False)
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -31,6 +49,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_mix_sources": op5_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_url_filter": op9_url_filter,
 }
