@@ -132,3 +132,29 @@ def ranges(counts: np.ndarray) -> np.ndarray:
     total = int(counts.sum())
     before = np.cumsum(counts) - counts
     return np.arange(total) - np.repeat(before, counts)
+
+
+SLICE_BYTES = 4_000_000
+
+
+def slices(batch: pa.RecordBatch | pa.Table, ids: int = 0, texts: int = 1):
+    """Ids (Arrow), bytes and offsets of runs of whole texts, each about `SLICE_BYTES` long.
+
+    The arrays of a run take some dozens of times its bytes, so a batch is worked
+    through in runs; a longer text is a run of its own.
+    """
+    tables = [batch] if isinstance(batch, pa.RecordBatch) else batch.to_batches()
+    for part in tables:
+        column = part.column(ids)
+        raw, offsets = text_bytes(part.column(texts))
+        begin = 0
+        while begin < len(column):
+            limit = offsets[begin] + SLICE_BYTES
+            end = int(np.searchsorted(offsets, limit, side="right")) - 1
+            end = min(max(end, begin + 1), len(column))
+            yield (
+                column.slice(begin, end - begin),
+                raw[offsets[begin] : offsets[end]],
+                offsets[begin : end + 1] - offsets[begin],
+            )
+            begin = end

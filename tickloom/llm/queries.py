@@ -12,6 +12,7 @@ from tickloom.llm.common import read
 from tickloom.llm.exact_dedup import exact_dedup
 from tickloom.llm.mix import mix_sources
 from tickloom.llm.pack import pack_documents
+from tickloom.llm.parity_join import jaccard_classes
 from tickloom.llm.url_filter import Rule, filter_urls
 
 # Fixed values.
@@ -39,6 +40,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(read(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -51,6 +56,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_mix_sources": op5_mix_sources,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_url_filter": op9_url_filter,
 }
