@@ -7,12 +7,14 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.llm.common import read
 from tickloom.llm.exact_dedup import exact_dedup
 from tickloom.llm.mix import mix_sources
 from tickloom.llm.pack import pack_documents
 from tickloom.llm.parity_join import jaccard_classes
+from tickloom.llm.phrase_dedup import remove_repeated_passages
 from tickloom.llm.url_filter import Rule, filter_urls
 
 # Fixed values.
@@ -53,12 +55,22 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, URL_RULES).withColumnRenamed("id", "page_id").drop("branch")
 
 
+def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_passages(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)").alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_mix_sources": op5_mix_sources,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_url_filter": op9_url_filter,
+    "op10_phrase_dedup": op10_phrase_dedup,
 }
 
 ORACLES: dict[str, str] = {
