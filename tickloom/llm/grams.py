@@ -134,7 +134,7 @@ def ranges(counts: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(before, counts)
 
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 
 def slices(batch: pa.RecordBatch | pa.Table, ids: int = 0, texts: int = 1):

@@ -15,6 +15,7 @@ from tickloom.llm.mix import mix_sources
 from tickloom.llm.pack import pack_documents
 from tickloom.llm.parity_join import jaccard_classes
 from tickloom.llm.phrase_dedup import remove_repeated_passages
+from tickloom.llm.suffix_dedup import remove_repeated_bytes
 from tickloom.llm.url_filter import Rule, filter_urls
 
 # Fixed values.
@@ -50,6 +51,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     return filter_urls(pages, URL_RULES).withColumnRenamed("id", "page_id").drop("branch")
@@ -69,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix_sources": op5_mix_sources,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_phrase_dedup": op10_phrase_dedup,
 }
