@@ -16,7 +16,7 @@ An empty table gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
-import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,57 +26,74 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm import grams
 from tickloom.llm.common import worker_state
 
 CAPACITY = 1024
 GROUP_ROWS = 40_000  # documents of a packing group, on average
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class WordCache:
-    """Ids of texts, looked up word by word.
+# A text may be cut before a space that no white space follows. These bytes may start one.
+_MAYBE_SPACE = np.zeros(256, dtype=bool)
+_MAYBE_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+class Encoder:
+    """Ids of texts, each distinct word encoded once.
 
     Byte-level pre-tokenisation always ends a token before a space that is followed
     by something else than white space, so a text may be cut there and the ids of
-    the parts joined. Parts repeat, and are encoded once as long as the cache holds
-    them; it is emptied when full.
+    the parts joined. Parts repeat; a bounded cache, emptied when full, keeps theirs.
     """
 
-    _cut = re.compile(r" (?=\S)")
-
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.words: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        first, *rest = self._cut.split(text)
-        words = self.words
-        head = self._encode([first])[0] if first else b""
-        try:
-            return head + b"".join([words[w] for w in rest])
-        except KeyError:
-            pass
-        new = list({w for w in rest if w not in words})
-        if len(words) + len(new) > CACHED_WORDS:
-            words.clear()
-            new = list(set(rest))
-        words.update(zip(new, self._encode([" " + w for w in new])))
-        return head + b"".join([words[w] for w in rest])
-
-
-def _cache(spec: str) -> WordCache:
+        self.cache: dict[int, bytes] = {}
+
+    def ids(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a run of texts, and where each text's ids begin and end."""
+        if not len(raw):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        cut = np.zeros(len(raw), dtype=bool)
+        cut[:-1] = (raw[:-1] == 0x20) & ~_MAYBE_SPACE[raw[1:]]
+        begins = offsets[:-1][np.diff(offsets) > 0]
+        ends = offsets[1:][np.diff(offsets) > 0]
+        cut[ends - 1] = False
+        cut[begins] = True
+        start = np.flatnonzero(cut)
+        end = np.append(start[1:], len(raw))
+        hashes = grams.Rolling(grams.byte_values(raw)).spans(start, end)
+        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        found = [self.cache.get(h) for h in distinct.tolist()]
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            at = first[missing]
+            whole = raw.tobytes()
+            words = [whole[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist())]
+            if len(self.cache) + len(words) > CACHED_WORDS:
+                self.cache.clear()
+            encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+            for i, h, e in zip(missing, distinct[missing].tolist(), encoded):
+                ids = e.ids
+                found[i] = self.cache[h] = struct.pack(f"<{len(ids)}I", *ids)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        before = np.cumsum(sizes) - sizes
+        counts = sizes[which]
+        ids = flat[np.repeat(before[which], counts) + grams.ranges(counts)]
+        total = np.concatenate([[0], np.cumsum(counts)])
+        return ids, total[np.searchsorted(start, offsets)]
+
+
+def _encoder(spec: str) -> Encoder:
     state = worker_state()
     key = zlib.crc32(spec.encode())
     if getattr(state, "tokenizer_key", None) != key:
-        state.tokenizer, state.tokenizer_key = WordCache(spec), key
+        state.tokenizer, state.tokenizer_key = Encoder(spec), key
     return state.tokenizer
 
 
@@ -105,15 +122,17 @@ def token_pieces(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _cache(shared.value)
+        encoder = _encoder(shared.value)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = cache.ids(text.as_py() or "") + end
-                for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                    part = ids[4 * start : 4 * (start + length)]
-                    row = (doc, k, start, length, zlib.crc32(part))
-                    rows.append(row + (part,) if with_ids else row)
+            for docs, raw, offsets in grams.slices(batch):
+                all_ids, at = encoder.ids(raw, offsets)
+                for doc, a, b in zip(docs.to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                    ids = all_ids[a:b].tobytes() + end
+                    for k, (start, length) in enumerate(cut(b - a + 1, capacity)):
+                        part = ids[4 * start : 4 * (start + length)]
+                        row = (doc, k, start, length, zlib.crc32(part))
+                        rows.append(row + (part,) if with_ids else row)
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             columns = list(zip(*rows)) if rows else [[] for _ in names]
