@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import read
 from tickloom.llm.exact_dedup import exact_dedup
 from tickloom.llm.mix import mix_sources
+from tickloom.llm.near_vectors import near_vectors
 from tickloom.llm.pack import pack_documents
 from tickloom.llm.parity_join import jaccard_classes
 from tickloom.llm.phrase_dedup import remove_repeated_passages
@@ -35,6 +36,10 @@ def tokenizer_spec(name: str = TOKENIZER) -> str:
     return Path(public_tokenizers.path(name)).read_text()
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer_spec(), with_ids=False)
 
@@ -76,6 +81,7 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_vectors": op1_near_vectors,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_mix_sources": op5_mix_sources,
     "op6_jaccard_join": op6_jaccard_join,
@@ -86,6 +92,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_near_vectors": """
+        WITH RECURSIVE v AS (
+          SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b
+          FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+        reach(id, c) AS (
+          SELECT vec_id, vec_id FROM embeddings
+          UNION
+          SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.id)
+        SELECT r.id AS vec_id, coalesce(n.n_links, 0) AS n_links, min(r.c) AS component_id,
+               r.id = min(r.c) AS kept
+        FROM reach r LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) n ON n.a = r.id
+        GROUP BY r.id, n.n_links
+    """,
     "op7_exact_dedup": r"""
         WITH t AS (
           SELECT doc_id, length(coalesce(text, '')) AS chars,
