@@ -88,11 +88,14 @@ def byte_values(raw: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Words (`[^\\x20\\x09-\\x0D]+`) of each text: byte spans, hashes, counts."""
+    """Words (`[^\\x20\\x09-\\x0D]+`) of each text: byte spans, hashes, counts.
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
+    `between`, 256 flags, names other bytes that separate words.
+    """
+
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE):
         n = len(raw)
-        solid = ~_SPACE[raw]
+        solid = ~between[raw]
         starts = solid.copy()
         starts[1:] &= ~solid[:-1]
         begin = offsets[:-1][np.diff(offsets) > 0]

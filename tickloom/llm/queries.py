@@ -17,6 +17,7 @@ from tickloom.llm.pack import pack_documents
 from tickloom.llm.parity_join import jaccard_classes
 from tickloom.llm.phrase_dedup import remove_repeated_passages
 from tickloom.llm.suffix_dedup import remove_repeated_bytes
+from tickloom.llm.toxicity import toxicity
 from tickloom.llm.url_filter import Rule, filter_urls
 
 # Fixed values.
@@ -44,6 +45,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer_spec(), with_ids=False)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -83,6 +88,7 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
     "op5_mix_sources": op5_mix_sources,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_exact_dedup": op7_exact_dedup,
