@@ -19,6 +19,7 @@ empty result. Extra columns are ignored; language, source and id are no inputs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import asdict
 
 import numpy as np
 import pyarrow as pa
@@ -83,10 +84,13 @@ def score(
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if isinstance(model, float):
         return slim.select("doc_id", F.lit(model).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # some 2 MB
+    # some 2 MB; plain values, as workers may not have this package
+    plain = (asdict(model.shape), model.known, model.weights)
+    shared = docs.sparkSession.sparkContext.broadcast(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = shared.value
+        shape, known, weights = shared.value
+        network = gru.Network(gru.Shape(**shape), known, weights)
         for batch in batches:
             for ids, raw, offsets in grams.slices(batch):
                 found = network.scores(gru.Text(raw, offsets, network.shape))
