@@ -15,6 +15,7 @@ from tickloom.llm.mix import mix_sources
 from tickloom.llm.near_vectors import near_vectors
 from tickloom.llm.pack import pack_documents
 from tickloom.llm.parity_join import jaccard_classes
+from tickloom.llm.pii import KINDS, personal_data
 from tickloom.llm.phrase_dedup import remove_repeated_passages
 from tickloom.llm.suffix_dedup import remove_repeated_bytes
 from tickloom.llm.toxicity import toxicity
@@ -49,6 +50,31 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(read(spark, sf_dir, "documents")).withColumn(
+        "spans", F.arrays_zip("kind", "start", "end", "base")
+    )
+
+    def text(spans):
+        return F.array_join(
+            F.transform(
+                spans,
+                lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+            ),
+            ",",
+        )
+
+    base = F.filter("spans", lambda s: s["base"])
+
+    def number(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias("n_" + kind)
+
+    counts = [number(kind) for kind in KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans")
+    )
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -89,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
+    "op4_personal_data": op4_personal_data,
     "op5_mix_sources": op5_mix_sources,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_exact_dedup": op7_exact_dedup,
