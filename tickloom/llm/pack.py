@@ -16,14 +16,13 @@ An empty table gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
-import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import grams
@@ -31,8 +30,9 @@ from tickloom.llm.common import worker_state
 
 CAPACITY = 1024
 GROUP_ROWS = 40_000  # documents of a packing group, on average
-CACHED_WORDS = 1_000_000
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+GROUPS = 1 << 38
+CACHED_WORDS = 3_000_000  # of some 40 bytes
+PIECE = "group long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 # A text may be cut before a space that no white space follows. These bytes may start one.
@@ -52,7 +52,57 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.cache: dict[int, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)  # bytes of an id
+        for token, i in vocabulary.items():
+            self.width[i] = len(token)
+        self._empty()
+
+    def _empty(self) -> None:
+        """The cache: sorted hashes of words, and where each word's ids lie."""
+        self.hashes = np.zeros(0, np.uint64)
+        self.begin = self.size = np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, "<u4"), 0
+
+    def _store(self, hashes: np.ndarray, ids: list[bytes]) -> None:
+        new = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        if self.used + len(new) > len(self.flat):
+            room = np.zeros(2 * (self.used + len(new)), "<u4")
+            room[: self.used] = self.flat[: self.used]
+            self.flat = room
+        self.flat[self.used : self.used + len(new)] = new
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.begin = np.insert(self.begin, at, self.used + np.cumsum(sizes) - sizes)
+        self.size = np.insert(self.size, at, sizes)
+        self.used += len(new)
+
+    def _known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
+        return at, (self.hashes[at] == hashes if len(self.hashes) else at < 0)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4") for e in found]
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word; those that start with a space are encoded as one text and cut."""
+        joined = [w for w in words if w[:1] == b" "]
+        ids = self._encode([b"".join(joined).decode()])[0]
+        reach = np.cumsum(self.width[ids])
+        ends = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
+        cuts = np.searchsorted(reach, ends)
+        if len(joined) and not (len(reach) == cuts[-1] + 1 and np.array_equal(reach[cuts], ends)):
+            # an added token, whose name is not its bytes: one by one
+            return [ids.tobytes() for ids in self._encode([w.decode() for w in words])]
+        whole, begin, out = ids.tobytes(), 0, {}
+        for word, end in zip(joined, (4 * (cuts + 1)).tolist()):
+            out[word] = whole[begin:end]
+            begin = end
+        others = [w for w in words if w[:1] != b" "]
+        out |= zip(others, (x.tobytes() for x in self._encode([w.decode() for w in others])))
+        return [out[w] for w in words]
 
     def ids(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a run of texts, and where each text's ids begin and end."""
@@ -68,21 +118,17 @@ class Encoder:
         end = np.append(start[1:], len(raw))
         hashes = grams.Rolling(grams.byte_values(raw)).spans(start, end)
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        found = [self.cache.get(h) for h in distinct.tolist()]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if missing:
-            at = first[missing]
+        _, known = self._known(distinct)
+        if len(self.hashes) + len(distinct) - known.sum() > CACHED_WORDS:
+            self._empty()
+            known[:] = False
+        if not known.all():
+            at = first[~known]
             whole = raw.tobytes()
-            words = [whole[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist())]
-            if len(self.cache) + len(words) > CACHED_WORDS:
-                self.cache.clear()
-            encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            for i, h, e in zip(missing, distinct[missing].tolist(), encoded):
-                ids = e.ids
-                found[i] = self.cache[h] = struct.pack(f"<{len(ids)}I", *ids)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        flat = np.frombuffer(b"".join(found), "<u4")
-        before = np.cumsum(sizes) - sizes
+            words = [whole[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())]
+            self._store(distinct[~known], self._encode_words(words))
+        at, _ = self._known(distinct)
+        before, sizes, flat = self.begin[at], self.size[at], self.flat
         counts = sizes[which]
         ids = flat[np.repeat(before[which], counts) + grams.ranges(counts)]
         total = np.concatenate([[0], np.cumsum(counts)])
@@ -108,38 +154,48 @@ def cut(tokens: int, capacity: int) -> list[tuple[int, int]]:
 def token_pieces(
     docs: DataFrame,
     spec: str,
+    group: Column,
     end_id: int = 2,
     capacity: int = CAPACITY,
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = True,
 ) -> DataFrame:
-    """One row per piece: `doc_id, piece, start, length, ids_crc32`, and `ids` if asked for.
+    """One row per piece: `group, doc_id, piece, start, length, ids_crc32`, and `ids` if asked for.
 
-    `spec` is the content of a tokenizer file, a few megabytes at most.
+    `spec` is the content of a tokenizer file, a few megabytes at most; `group` (a
+    number) is taken over from the document.
     """
     shared = docs.sparkSession.sparkContext.broadcast(spec)
     end = np.array([end_id], dtype="<u4").tobytes()
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["group", "doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+    width = len(names) - (not with_ids)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         for batch in batches:
-            rows = []
+            done = 0
             for docs, raw, offsets in grams.slices(batch):
+                rows = []
+                groups = batch.column(2).slice(done, len(docs)).to_pylist()
+                done += len(docs)
                 all_ids, at = encoder.ids(raw, offsets)
-                for doc, a, b in zip(docs.to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                bounds = zip(groups, docs.to_pylist(), at[:-1].tolist(), at[1:].tolist())
+                for near, doc, a, b in bounds:
                     ids = all_ids[a:b].tobytes() + end
                     for k, (start, length) in enumerate(cut(b - a + 1, capacity)):
                         part = ids[4 * start : 4 * (start + length)]
-                        row = (doc, k, start, length, zlib.crc32(part))
-                        rows.append(row + (part,) if with_ids else row)
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            columns = list(zip(*rows)) if rows else [[] for _ in names]
-            arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, names)
-
-    slim = docs.select(F.col(id_col).cast("long"), F.col(text_col))
+                        row = (near, doc, k, start, length, zlib.crc32(part), part)
+                        rows.append(row[:width])
+                arrays = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, names[:width])
+
+    slim = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).alias("text"),
+        group.cast("long").alias("group"),
+    )
     return slim.mapInArrow(pieces, PIECE + (", ids binary" if with_ids else ""))
 
 
@@ -172,7 +228,10 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """`pieces` with `sequence_id` and `offset`; needs `group`, `doc_id`, `piece`, `length`."""
+    """`pieces` with `sequence_id` and `offset`; needs `group`, `doc_id`, `piece`, `length`.
+
+    A group makes fewer than 2**24 sequences; its number is the upper part of their ids.
+    """
     schema = pieces.drop("group")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema.fields)
 
@@ -180,7 +239,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         group = int(pdf["group"].iloc[0])
         pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True])
         bins, offsets = place(pdf["length"].to_numpy(), capacity)
-        pdf["sequence_id"] = (group << 32) + bins
+        pdf["sequence_id"] = (group << 24) + bins
         pdf["offset"] = offsets
         return pdf.drop(columns="group")
 
@@ -189,6 +248,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
+def neighbours(docs: DataFrame, group_rows: int = GROUP_ROWS) -> Column:
+    """A group for rows that stand together in the files `docs` is read from."""
+    run = F.floor(F.col("_metadata.row_index") / group_rows)
+    return F.pmod(F.xxhash64("_metadata.file_path", run), F.lit(GROUPS))
+
+
 def pack_documents(
     docs: DataFrame,
     spec: str,
@@ -198,13 +263,18 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = True,
+    group: Column | None = None,
 ) -> DataFrame:
-    """Every piece of every document with its place, and its ids if asked for."""
-    groups = max(1, -(-docs.count() // group_rows))
-    pieces = token_pieces(docs, spec, end_id, capacity, id_col, text_col, with_ids)
-    # documents that may be repeated or have no id still spread over all groups
-    key = F.pmod(F.xxhash64("doc_id", "ids_crc32"), F.lit(groups))
-    return pack(pieces.withColumn("group", key), capacity)
+    """Every piece of every document with its place, and its ids if asked for.
+
+    Documents of one `group` (a number below `GROUPS`, some `group_rows` documents)
+    share sequences; by default a hash of id and length deals them out.
+    """
+    if group is None:
+        groups = min(GROUPS, max(1, -(-docs.count() // group_rows)))
+        # rows that repeat an id or have none spread, too
+        group = F.pmod(F.xxhash64(id_col, F.length(text_col)), F.lit(groups))
+    return pack(token_pieces(docs, spec, group, end_id, capacity, id_col, text_col, with_ids))
 
 
 def sequences(packed: DataFrame) -> DataFrame:
