@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_CHARS = 200_000
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
+FILE_ROWS = 10_000
 RESOLUTION = 1_000  # whole-number weights add up to about this
 MAX_SOURCES = 10_000
 
@@ -193,9 +194,10 @@ def mix_sources(
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of `docs` in mixed order: ranges of it are the partitions, sorted."""
+    """The rows of `docs` in mixed order: runs of some `FILE_ROWS` are the partitions, sorted."""
     id_col = settings.get("id_col", "doc_id")
     source_col = settings.get("source_col", "source")
+    files = max(1, -(-docs.count() // FILE_ROWS))
     order = mix_sources(docs, **settings).select(
         F.col("id").alias("_id"),
         F.col("source").alias("_of"),
@@ -204,5 +206,5 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
     )
     same = docs[id_col].eqNullSafe(order["_id"]) & docs[source_col].eqNullSafe(order["_of"])
     joined = docs.join(order, same).drop("_id", "_of")
-    ranged = joined.repartitionByRange("_slot", "_start").sortWithinPartitions("_slot", "_start")
-    return ranged.drop("_slot", "_start")
+    ranged = joined.repartitionByRange(files, "_slot", "_start")
+    return ranged.sortWithinPartitions("_slot", "_start").drop("_slot", "_start")
