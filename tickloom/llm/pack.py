@@ -274,7 +274,8 @@ def pack_documents(
         groups = min(GROUPS, max(1, -(-docs.count() // group_rows)))
         # rows that repeat an id or have none spread, too
         group = F.pmod(F.xxhash64(id_col, F.length(text_col)), F.lit(groups))
-    return pack(token_pieces(docs, spec, group, end_id, capacity, id_col, text_col, with_ids))
+    pieces = token_pieces(docs, spec, group, end_id, capacity, id_col, text_col, with_ids)
+    return pack(pieces, capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
