@@ -281,7 +281,7 @@ def train(
     labels: np.ndarray,
     shape: Shape,
     epochs: int = 10,
-    batch: int = 128,
+    steps: int = 24,
     rate: float = 0.01,
     seed: int = 7,
 ) -> Network:
@@ -310,6 +310,7 @@ def train(
         hard = negative[np.argsort(-logit[negative], kind="stable")][: 2 * len(some)]
         other = rng.permutation(negative)[: 2 * len(some)]
         pick = rng.permutation(np.concatenate([some, hard, other]))
+        batch = min(128, max(8, len(pick) // steps))
         for a in range(0, len(pick), batch):
             chosen = pick[a : a + batch]
             _, grad = gradients(net, text, chosen, window_label[chosen].astype(np.float32))
