@@ -31,6 +31,18 @@ def without_spaces(text: Column) -> Column:
     return text
 
 
+BROADCAST_IDS = 500_000
+
+
+def only(rows: DataFrame, wanted: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose ids are in `wanted` (all its columns), or are not; few are broadcast.
+
+    `wanted` holds some 8 to 40 bytes a row; beyond `BROADCAST_IDS` it is shuffled.
+    """
+    few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(wanted) if few else wanted, wanted.columns, how)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

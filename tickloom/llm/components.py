@@ -1,7 +1,8 @@
 """Connected components of links, by alternating large and small stars.
 
-Links are contracted within each partition first. Every round then points each
-node at the smallest id it knows; rounds are few, as chains halve. Labels of nodes
+Links are dealt into partitions of bounded size and contracted there. If that leaves
+more than one partition, rounds follow in which each node points at the smallest id
+it knows; they are few, as chains halve. Labels of nodes
 are the smallest id reachable. Nulls do not occur; an empty table of links gives an
 empty result; repeated links and self links do no harm.
 """
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import kept
 
+LINKS = 200_000  # of a partition that is contracted
+
 
 def forest(pairs) -> dict[int, int]:
     """Smallest id of the component of each node of `pairs`."""
@@ -37,12 +40,16 @@ def forest(pairs) -> dict[int, int]:
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        tops = forest(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-        stars = [(x, top) for x, top in tops.items() if x != top]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([s[i] for s in stars], pa.int64()) for i in (0, 1)], ["u", "v"]
-        )
+    """The links of a partition as stars; it has some `LINKS` of them."""
+    pairs = (
+        pair
+        for batch in batches
+        for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+    )
+    stars = [(x, top) for x, top in forest(pairs).items() if x != top]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([s[i] for s in stars], pa.int64()) for i in (0, 1)], ["u", "v"]
+    )
 
 
 def _stars(links: DataFrame) -> DataFrame:
@@ -63,16 +70,19 @@ def _stars(links: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """`id, component_id` for every node of the links (first two columns, long)."""
-    links = links.toDF("u", "v").filter("u <> v").mapInArrow(_contract, "u long, v long")
-    links = kept(links.distinct())
+    links = kept(links.toDF("u", "v").filter("u <> v"))
+    partitions = -(-links.count() // LINKS)
+    if not partitions:
+        return links.toDF("id", "component_id")
+    links = kept(links.repartition(partitions).mapInArrow(_contract, "u long, v long"))
 
     def state(df: DataFrame):
         return df.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
         ).first()
 
-    before = state(links)
-    while before[0]:
+    before = state(links) if partitions > 1 else None
+    while partitions > 1:
         links = kept(_stars(links))
         after = state(links)
         if after == before:

@@ -1,16 +1,18 @@
 """N-gram Jaccard join by parity sketches.
 
 A text is the set of its word shingles. A sketch has one 64-bit word per class of
-shingles; each shingle flips one bit of its class, so the Hamming distance of two
-sketches never exceeds the size of their symmetric difference. Sets that are
-similar enough differ in at most d shingles, so with d + 2 classes at least two
-words are equal: documents of a size band meet on equal words (pigeonhole), pass if
-the Hamming distance allows it, and are verified on the sets themselves.
+shingles. Each shingle flips one of 32 bits of its class, so the Hamming distance of
+these bits never exceeds the size of the symmetric difference of two sets; the other
+32 bits are the XOR of shingle hashes and tell unlike classes apart. Sets that are
+similar enough differ in at most d shingles, so with more than d classes some words
+are equal: documents of a size band meet on equal words (pigeonhole), pass if the
+Hamming distance allows it, and are verified on the sets themselves.
 
 Equal sets are one class from the start. Within a group of equal words only a
-spanning forest of pairs that may link and are not yet connected goes on to
-verification; refuted pairs are noted and the next round takes others, until none
-is left. So no link between components is lost and no group emits all its pairs.
+spanning forest of the pairs that may link goes on to verification. A group with a
+refuted pair tries again with the next nearest pairs of what is not connected yet,
+until none is left. So no link between components is lost, and a group emits no
+pairs within what is connected.
 Groups beyond `BLOCK` members are worked through in pairs of blocks.
 
 Defined results: null text, or text without words, has an empty set and links with
@@ -30,12 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import grams
-from tickloom.llm.common import kept, shuffle_partitions
+from tickloom.llm.common import kept, only, shuffle_partitions
 from tickloom.llm.components import components
 
 BLOCK = 2_000
-BROADCAST_IDS = 500_000
-SKETCH = "doc_id long, n long, s1 long, s2 long, band int, own binary, lower binary"
+SIZES = "doc_id long, n long, s1 long, s2 long"
+SKETCH = "doc_id long, n long, band int, words binary"
+FLIPS = np.uint64(0xFFFFFFFF00000000)  # the bits that bound the difference
 
 
 @dataclass(frozen=True)
@@ -58,10 +61,17 @@ class Similarity:
         """Largest symmetric difference of two linked sets with `total` members in all."""
         return total * (self.parts - self.needed) // (self.parts + self.needed)
 
-    def classes(self, first: np.ndarray) -> np.ndarray:
-        """Number of sketch words of each band (as the lower of two neighbours)."""
-        largest = np.append(first[2:], first[-1:].repeat(2)) - 1
-        return self.difference(2 * np.maximum(largest, 1)) + 2
+    def classes(self, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each band, with the one above: sketch words, and how many are equal at least.
+
+        Pairs of one band meet there, pairs of neighbours in the lower one, so the two
+        sizes add up to less than the first sizes of the next two bands. Some more
+        words than needed keep documents from depending on their empty classes.
+        """
+        after = np.append(first[1:], first[-1:].repeat(2))
+        most = self.difference(after[:-1] + after[1:] - 2)[: len(first)]
+        spare = 2 + most * 15 // 100
+        return most + spare, spare
 
 
 def shingles(raw, offsets, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,106 +105,116 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return (total[ends] - total[ends - counts]).view(np.int64)
 
 
-def _parity(hashes: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> list[bytes]:
-    """The sketch of each text, as bytes of its words."""
+def _parity(hashes: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Sketch words of all texts, one after the other; `classes` words each."""
     owner = np.repeat(np.arange(len(counts)), counts)
-    ends = np.cumsum(classes)
-    word = (hashes % classes.astype(np.uint64)[owner]).astype(np.int64) + (ends - classes)[owner]
-    bit = np.uint64(1) << ((hashes >> np.uint64(40)) & np.uint64(63))
+    before = np.cumsum(classes) - classes
+    word = (hashes % classes.astype(np.uint64)[owner]).astype(np.int64) + before[owner]
+    mixed = grams.mix(hashes.copy())
+    flip = np.uint64(1) << ((mixed >> np.uint64(59)) + np.uint64(32))
     out = np.zeros(int(classes.sum()), dtype=np.uint64)
-    np.bitwise_xor.at(out, word, bit)
-    return [out[e - c : e].tobytes() for c, e in zip(classes, ends)]
+    np.bitwise_xor.at(out, word, flip ^ (mixed & ~FLIPS))
+    return out
 
 
-def sketches(docs: DataFrame, rule: Similarity, id_col: str, text_col: str) -> DataFrame:
-    first = rule.bands()
-    classes = rule.classes(first)
+def sizes(docs: DataFrame, rule: Similarity, id_col: str, text_col: str) -> DataFrame:
+    """`doc_id, n, s1, s2`: size of each set, and two sums that equal sets share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, raw, offsets in grams.slices(batch):
                 hashes, n = shingles(raw, offsets, rule.words)
-                band = np.searchsorted(first, n, side="right") - 1
-                some = np.maximum(band, 0)
-                own = _parity(hashes, n, np.where(n > 0, classes[some], 0))
-                below = np.where((n > 0) & (band > 0), classes[np.maximum(some - 1, 0)], 1)
-                lower = _parity(hashes, n, below)
+                one = _sums(grams.mix(hashes.copy()), n)
+                two = _sums(grams.mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), n)
+                arrays = [ids, pa.array(n, pa.int64()), pa.array(one), pa.array(two)]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "s1", "s2"])
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SIZES)
+
+
+def _sketches(batch: pa.RecordBatch, rule: Similarity):
+    """Ids, sizes, bands, words and numbers of words: once for the own band, once for that below."""
+    first = rule.bands()
+    classes, _ = rule.classes(first)
+    for ids, raw, offsets in grams.slices(batch):
+        hashes, n = shingles(raw, offsets, rule.words)
+        ends = np.cumsum(n)
+        band = np.searchsorted(first, n, side="right") - 1
+        for step in (0, 1):
+            use = np.flatnonzero((n > 0) & (band >= step))
+            mine = hashes[np.repeat((ends - n)[use], n[use]) + grams.ranges(n[use])]
+            k = classes[band[use] - step]
+            doc = ids.to_numpy(zero_copy_only=False)[use].astype(np.int64)
+            yield doc, n[use], band[use] - step, _parity(mine, n[use], k), k
+
+
+def sketches(docs: DataFrame, rule: Similarity) -> DataFrame:
+    """`doc_id, n, band, words` of every document (`doc_id`, `text`)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, n, band, words, k in _sketches(batch, rule):
+                ends = np.cumsum(k)
+                cut = [words[e - c : e].tobytes() for c, e in zip(k, ends)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids,
+                        pa.array(doc),
                         pa.array(n, pa.int64()),
-                        pa.array(_sums(grams.mix(hashes.copy()), n)),
-                        pa.array(_sums(grams.mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), n)),
                         pa.array(band, pa.int32()),
-                        pa.array(own, pa.binary()),
-                        pa.array(lower, pa.binary()),
+                        pa.array(cut, pa.binary()),
                     ],
-                    ["doc_id", "n", "s1", "s2", "band", "own", "lower"],
+                    ["doc_id", "n", "band", "words"],
                 )
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SKETCH)
-
-
-def by_band(sketch: DataFrame) -> DataFrame:
-    """`doc_id, n, band, words`: a sketch for its own band and for the one below."""
-    own = sketch.select("doc_id", "n", "band", F.col("own").alias("words"))
-    lower = sketch.filter("band > 0").select(
-        "doc_id", "n", (F.col("band") - 1).alias("band"), F.col("lower").alias("words")
-    )
-    return own.union(lower)
+    return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
 
 
-def candidate_groups(rows: DataFrame, rule: Similarity, parts: int) -> DataFrame:
+def candidate_groups(docs: DataFrame, rule: Similarity, parts: int) -> DataFrame:
     """`band, members`: documents that share a sketch word, or a block pair of them."""
-    classes = rule.classes(rule.bands())
+    _, equal = rule.classes(rule.bands())
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            band = batch.column(2).to_numpy()
-            k = classes[band]
-            words = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint64)
-            owner = np.repeat(np.arange(len(ids)), k)
-            zero = words == 0
-            # Two words are equal; if all equal ones are zero, both sides have two zeros.
-            many = np.bincount(owner[zero], minlength=len(ids)) >= 2
-            use = ~zero | many[owner]
-            place = grams.ranges(k).astype(np.uint64) * np.uint64(2654435761)
-            mixed = grams.mix(words + grams.mix(place + band.astype(np.uint64)[owner]))
-            key = (mixed & ~np.uint64(255)) | band.astype(np.uint64)[owner]
-            key, doc = key[use], ids[owner[use]]
-            part = ((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            key, doc, part = key[order], doc[order], part[order]
-            cuts = np.flatnonzero(np.diff(part, prepend=-1))
-            ends = np.append(cuts[1:], len(part))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(part[cuts], pa.int32()),
-                    pa.array([key[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                    pa.array([doc[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                ],
-                ["part", "keys", "docs"],
-            )
+            for ids, _, band, words, k in _sketches(batch, rule):
+                owner = np.repeat(np.arange(len(ids)), k)
+                zero = words == 0
+                # If all equal words are empty, both sides have at least so many.
+                many = np.bincount(owner[zero], minlength=len(ids)) >= equal[band]
+                use = ~zero | many[owner]
+                place = grams.ranges(k).astype(np.uint64) * np.uint64(2654435761)
+                mixed = grams.mix(words + grams.mix(place + band.astype(np.uint64)[owner]))
+                key = (mixed & ~np.uint64(255)) | band.astype(np.uint64)[owner]
+                key, doc = key[use], ids[owner[use]]
+                part = ((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                key, doc, part = key[order], doc[order], part[order]
+                cuts = np.flatnonzero(np.diff(part, prepend=-1))
+                ends = np.append(cuts[1:], len(part))[: len(cuts)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(part[cuts], pa.int32()),
+                        pa.array([key[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+                        pa.array([doc[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+                    ],
+                    ["part", "keys", "docs"],
+                )
 
     def meet(table: pa.Table) -> pa.Table:
         key = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype=np.uint64)
         doc = np.frombuffer(b"".join(table.column("docs").to_pylist()), dtype=np.int64)
         order = np.lexsort((doc, key))
         key, doc = key[order], doc[order]
-        cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else key
+        cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         ends = np.append(cuts[1:], len(key))
         found = set()
         for a, b in zip(cuts[ends - cuts > 1], ends[ends - cuts > 1]):
-            members, band = doc[a:b], int(key[a] & np.uint64(255))
+            members, band = np.unique(doc[a:b]), int(key[a] & np.uint64(255))
             blocks = [members[i : i + BLOCK] for i in range(0, len(members), BLOCK)]
-            if len(blocks) == 1:
+            if len(members) > 1 and len(blocks) == 1:
                 found.add((band, members.tobytes()))
-            else:
-                for i in range(len(blocks)):
-                    for j in range(i + 1, len(blocks)):
-                        both = np.concatenate([blocks[i], blocks[j]])
-                        found.add((band, both.tobytes()))
+            for i in range(len(blocks)):
+                for j in range(i + 1, len(blocks)):
+                    found.add((band, np.concatenate([blocks[i], blocks[j]]).tobytes()))
         return pa.table(
             {
                 "band": pa.array([f[0] for f in found], pa.int32()),
@@ -202,26 +222,34 @@ def candidate_groups(rows: DataFrame, rule: Similarity, parts: int) -> DataFrame
             }
         )
 
-    packed = rows.mapInArrow(keys, "part int, keys binary, docs binary")
-    return (
-        packed.groupBy("part").applyInArrow(meet, "band int, members binary").distinct()
-    )
+    packed = docs.select("doc_id", "text").mapInArrow(keys, "part int, keys binary, docs binary")
+    return packed.groupBy("part").applyInArrow(meet, "band int, members binary").distinct()
 
 
-def _spanning(words, n, label, refused, rule: Similarity) -> list[tuple[int, int]]:
-    """Pairs of rows that may link, nearest first, as long as they join two labels."""
-    _, group = np.unique(label, return_inverse=True)
+def _pairs(words, n, yes, no, tries: int, rule: Similarity) -> list[tuple[int, int]]:
+    """Pairs of rows that may link and would join what `yes` has not joined yet.
+
+    With one try they are a forest; with more, a row names so many of its nearest.
+    """
+    group = np.arange(len(n))
+    for i, j in yes:
+        group[group == group[j]] = group[i]
+    refused: dict[int, list[int]] = {}
+    for i, j in no:
+        refused.setdefault(min(i, j), []).append(max(i, j))
     out = []
     for i in range(len(n) - 1):
         rest = np.flatnonzero(group[i + 1 :] != group[i]) + i + 1
         if not len(rest):
             continue
-        far = np.bitwise_count(words[rest] ^ words[i]).sum(axis=1, dtype=np.int64)
+        far = np.bitwise_count((words[rest] ^ words[i]) & FLIPS).sum(axis=1, dtype=np.int64)
         may = far <= rule.difference(n[rest] + n[i])
+        if i in refused:
+            may &= ~np.isin(rest, refused[i])
         rest, far = rest[may], far[may]
-        if refused.get(i):
-            new = ~np.isin(rest, list(refused[i]))
-            rest, far = rest[new], far[new]
+        if tries > 1:
+            out.extend((i, int(j)) for j in rest[np.argsort(far, kind="stable")[:tries]])
+            continue
         while len(rest):
             j = rest[far.argmin()]
             out.append((i, int(j)))
@@ -231,41 +259,49 @@ def _spanning(words, n, label, refused, rule: Similarity) -> list[tuple[int, int
     return out
 
 
-def pairs_to_verify(groups: DataFrame, rows: DataFrame, labels, refuted, rule: Similarity):
-    """`a, b` with a < b: per group a forest of pairs that may link what is not linked yet."""
-    unpacked = groups.withColumn("gid", F.xxhash64("band", "members")).mapInArrow(
-        _unpack, "gid long, band int, doc_id long"
-    )
+def pairs_to_verify(groups: DataFrame, rows: DataFrame, checked, tries: int, rule: Similarity):
+    """`gid, a, b` with a < b: what each group wants to have verified next."""
+    unpacked = groups.mapInArrow(_unpack, "gid long, band int, doc_id long")
     members = unpacked.join(rows, ["doc_id", "band"])
-    if labels is None:
-        members = members.withColumn("label", F.col("doc_id")).withColumn(
-            "no", F.lit(None).cast("array<bigint>")
-        )
+    if checked is None:
+        none = F.lit(None).cast("array<bigint>")
+        members = members.withColumns({"yes": none, "no": none})
     else:
-        known = labels.select(F.col("id").alias("doc_id"), F.col("component_id").alias("label"))
-        no = refuted.groupBy(F.col("a").alias("doc_id")).agg(F.collect_set("b").alias("no"))
-        members = (
-            members.join(known, "doc_id", "left")
-            .join(no, "doc_id", "left")
-            .withColumn("label", F.coalesce("label", "doc_id"))
+        results = checked.groupBy(F.col("a").alias("doc_id")).agg(
+            F.collect_set(F.when(F.col("linked"), F.col("b"))).alias("yes"),
+            F.collect_set(F.when(~F.col("linked"), F.col("b"))).alias("no"),
         )
+        members = members.join(results, "doc_id", "left")
 
     def choose(table: pa.Table) -> pa.Table:
-        doc = table.column("doc_id").to_numpy()
-        label = table.column("label").to_numpy()
+        doc = table.column("doc_id").to_pylist()
+        at = {d: i for i, d in enumerate(doc)}
         words = np.stack([np.frombuffer(w, np.uint64) for w in table.column("words").to_pylist()])
-        row = {d: i for i, d in enumerate(doc.tolist())}
-        refused: dict[int, set[int]] = {}
-        for i, partners in enumerate(table.column("no").to_pylist()):
-            for partner in partners or ():
-                if (j := row.get(partner)) is not None:
-                    refused.setdefault(min(i, j), set()).add(max(i, j))
-        chosen = _spanning(words, table.column("n").to_numpy(), label, refused, rule)
-        links = [(min(doc[i], doc[j]), max(doc[i], doc[j])) for i, j in chosen]
-        return pa.table({c: pa.array([x[k] for x in links], pa.int64()) for k, c in enumerate("ab")})
+        known = {
+            side: [
+                (i, at[partner])
+                for i, partners in enumerate(table.column(side).to_pylist())
+                for partner in partners or ()
+                if partner in at
+            ]
+            for side in ("yes", "no")
+        }
+        sizes = table.column("n").to_numpy()
+        pairs = [
+            sorted((doc[i], doc[j]))
+            for i, j in _pairs(words, sizes, known["yes"], known["no"], tries, rule)
+        ]
+        gid = table.column("gid")[0].as_py()
+        return pa.table(
+            {
+                "gid": pa.array([gid] * len(pairs), pa.int64()),
+                "a": pa.array([p[0] for p in pairs], pa.int64()),
+                "b": pa.array([p[1] for p in pairs], pa.int64()),
+            }
+        )
 
-    columns = members.select("gid", "doc_id", "n", "words", "label", "no")
-    return columns.groupBy("gid").applyInArrow(choose, "a long, b long").distinct()
+    columns = members.select("gid", "doc_id", "n", "words", "yes", "no")
+    return columns.groupBy("gid").applyInArrow(choose, "gid long, a long, b long")
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,13 +325,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids)], ["doc_id"])
 
 
-def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose `doc_id` is in `ids`; few ids (8 bytes each) are broadcast."""
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-
-
-def sets_of(docs: DataFrame, ids: DataFrame, rule: Similarity, id_col: str, text_col: str):
+def sets_of(docs: DataFrame, ids: DataFrame, rule: Similarity) -> DataFrame:
     """`doc_id, hashes`: the shingle sets of the documents in `ids`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,8 +339,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, rule: Similarity, id_col: str, text
                     ["doc_id", "hashes"],
                 )
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = _only(slim, ids).mapInArrow(run, "doc_id long, hashes binary")
+    found = only(docs, ids).mapInArrow(run, "doc_id long, hashes binary")
     return found.dropDuplicates(["doc_id"])
 
 
@@ -342,42 +371,51 @@ def jaccard_classes(
     text_col: str = "text",
 ) -> DataFrame:
     """`doc_id, n_shingles, component_id` for every row of `docs`."""
-    sketch = kept(sketches(docs, rule, id_col, text_col))
-    filled = sketch.filter("n > 0 and doc_id is not null")
+    measured = kept(sizes(docs, rule, id_col, text_col))
+    filled = measured.filter("n > 0 and doc_id is not null")
     equal = filled.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    reps = equal.select(F.col("rep").alias("doc_id"))
-    single = filled.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    copies = filled.join(equal, ["n", "s1", "s2"]).filter("doc_id <> rep").select("doc_id")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts.filter("doc_id is not null")
+    single = only(texts, kept(copies.distinct()), "left_anti")
     parts = 2 * shuffle_partitions(docs.sparkSession)
-    groups = kept(candidate_groups(by_band(single), rule, parts))
-    members = groups.mapInArrow(_members, "doc_id long").distinct()
-    rows = kept(by_band(_only(filled, kept(members))).dropDuplicates(["doc_id", "band"]))
-    links = refuted = labels = None
+    groups = kept(
+        candidate_groups(single, rule, parts).withColumn("gid", F.xxhash64("band", "members"))
+    )
+    members = kept(groups.mapInArrow(_members, "doc_id long").distinct())
+    rows = sketches(only(texts, members), rule)
+    rows = kept(rows.dropDuplicates(["doc_id", "band"]))
+    checked, left, tries = None, groups, 1
     while True:
-        pairs = kept(pairs_to_verify(groups, rows, labels, refuted, rule))
+        wanted = kept(pairs_to_verify(left, rows, checked, tries, rule))
+        pairs = wanted.select("a", "b").distinct()
+        if checked is not None:
+            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+        pairs = kept(pairs)
         if pairs.isEmpty():
             break
         ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-        sets = sets_of(docs, ids, rule, id_col, text_col)
-        checked = kept(verify(pairs, sets, rule))
-        good, bad = checked.filter("linked").drop("linked"), checked.filter("not linked")
-        links = good if links is None else links.union(good)
-        refuted = bad if refuted is None else refuted.union(bad)
-        if bad.isEmpty():  # every forest holds, so all that may link is connected
+        sets = sets_of(texts, ids, rule)
+        new = kept(verify(pairs, sets, rule))
+        checked = new if checked is None else kept(checked.union(new))
+        # a group all of whose pairs link is connected; the others try again
+        refuted = wanted.join(checked.filter("not linked"), ["a", "b"]).select("gid").distinct()
+        left = kept(left.join(refuted, "gid", "left_semi"))
+        if left.isEmpty():
             break
-        labels = kept(components(links))
+        tries *= 8
+    links = None if checked is None else checked.filter("linked").select("a", "b")
     keys = ["n", "s1", "s2"]
-    out = sketch.select("doc_id", *keys).join(equal, keys, "left")
+    out = measured.join(equal, keys, "left")
     if links is None:
-        return out.select(
-            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("component_id")
-        )
-    labels = components(links).toDF("rep", "component")
-    return out.join(labels, "rep", "left").select(
+        out = out.withColumn("component", F.lit(None).cast("long"))
+    else:
+        out = out.join(components(links).toDF("rep", "component"), "rep", "left")
+    top = F.coalesce("component", "rep", "doc_id")
+    return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias(
-            "component_id"
-        ),
+        F.when(F.col("doc_id").isNotNull(), top).alias("component_id"),
     )
 
 
