@@ -19,22 +19,18 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import shuffle_partitions
 
 BUCKET_BYTES = 12_000_000
-PARTITION_BUCKETS = 3
 
 
 def bucketed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     """`doc_id, text, bucket`, shuffled by bucket, and the number of buckets."""
     volume = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    partitions = max(
-        shuffle_partitions(docs.sparkSession), -(-volume // (BUCKET_BYTES * PARTITION_BUCKETS))
-    )
-    buckets = partitions * PARTITION_BUCKETS
+    buckets = max(shuffle_partitions(docs.sparkSession), -(-volume // BUCKET_BYTES))
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int").alias("bucket"),
     )
-    return texts.repartition(partitions, "bucket"), buckets
+    return texts.repartition(buckets, "bucket"), buckets
 
 
 ONE = np.uint64(1)
