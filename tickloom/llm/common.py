@@ -40,7 +40,8 @@ def only(rows: DataFrame, wanted: DataFrame, how: str = "left_semi") -> DataFram
     `wanted` holds some 8 to 40 bytes a row; beyond `BROADCAST_IDS` it is shuffled.
     """
     few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(wanted) if few else wanted, wanted.columns, how)
+    found = rows.join(F.broadcast(wanted) if few else wanted, wanted.columns, how)
+    return found.select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

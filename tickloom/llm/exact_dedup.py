@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import kept, without_spaces
+from tickloom.llm.common import kept, only, without_spaces
 
 PREFIX_CHARS = 64
 
@@ -80,23 +80,27 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with their columns; one row of each group."""
-    decisions = kept(exact_dedup(docs, id_col, text_col).filter("kept"))
-    stays = decisions.groupBy("id").agg(F.count(F.lit(1)).alias("times"))
-    once = stays.filter("times = 1").select(F.col("id").alias("_stays"))
-    out = docs.join(once, docs[id_col].eqNullSafe(once["_stays"]), "left_semi")
-    repeated = stays.filter("times > 1").select(F.col("id").alias("_stays"))
-    if repeated.isEmpty():
+    decisions = kept(exact_dedup(docs, id_col, text_col))
+    per_id = decisions.groupBy("id").agg(
+        F.count(F.lit(1)).alias("times"), F.max("kept").alias("stays")
+    )
+    odd = per_id.filter("times > 1 or id is null").select("id")
+    gone = per_id.filter("times > 1 or not stays").filter("id is not null")
+    out = only(
+        docs.filter(F.col(id_col).isNotNull()), kept(gone.select(F.col("id").alias(id_col))), "left_anti"
+    )
+    if odd.isEmpty():
         return out
-    # rows with one id: same text or not, each text stays once
-    more = docs.join(repeated, docs[id_col].eqNullSafe(repeated["_stays"]), "left_semi")
-    key = F.sha2(without_spaces(F.col(text_col)), 256)
-    longest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.length(text_col))
-    firsts = more.groupBy(F.col(id_col).alias("_id"), key.alias("_key")).agg(longest.alias("_row"))
+    # rows that share an id or have none: each text that stays, once
+    odd = odd.withColumnRenamed("id", "_odd")
+    more = docs.join(odd, docs[id_col].eqNullSafe(odd["_odd"]), "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    norm = without_spaces(F.col(text_col))
+    firsts = more.groupBy(F.col(id_col).alias("_id"), F.sha2(norm, 256).alias("_sha")).agg(
+        F.max_by(row, F.length(F.coalesce(F.col(text_col), F.lit("")))).alias("_row")
+    )
+    stays = decisions.filter("kept").select("id", "text_sha256").distinct()
     right = firsts.join(
-        decisions.select(
-            F.col("id").alias("_kept_id"), F.col("text_sha256").alias("_kept_key")
-        ).distinct(),
-        F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_key") == F.col("_kept_key")),
-        "left_semi",
+        stays, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_sha") == F.col("text_sha256")), "left_semi"
     )
     return out.unionByName(right.select("_row.*"))

@@ -427,5 +427,5 @@ def drop_similar(
 ) -> DataFrame:
     """The rows of `docs` whose id is the smallest of its component, with their columns."""
     classes = jaccard_classes(docs, rule, id_col, text_col)
-    gone = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), docs[id_col] == F.col("_gone"), "left_anti")
+    gone = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_col))
+    return only(docs, kept(gone.distinct()), "left_anti")

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import grams, gru
+from tickloom.llm.common import kept, only
 
 SAMPLE = {1: 1_500, 0: 4_500}
 SAMPLE_CHARS = 30_000
@@ -115,7 +116,7 @@ def toxicity(
 def drop_toxic(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of `docs` that are not predicted toxic, with their columns."""
+    """The rows of `docs` that are not predicted toxic, with their columns; a null id stays."""
     found = toxicity(docs, labels, id_col, text_col).filter("predicted = 1")
-    gone = found.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = found.filter("doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
+    return only(docs, kept(gone), "left_anti")
