@@ -10,7 +10,8 @@ ORACLES: dict[str, str] = {}
 
 
 def rnd(expr: str, places: int = 2) -> str:
-    return f"(round(({expr}) + 1e-9, {places}) + 0.0::DOUBLE)"
+    """Half up on the number as written: through its text, as a decimal."""
+    return f"(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 18)), {places})::DOUBLE + 0.0::DOUBLE)"
 
 
 def q(text: str) -> str:
@@ -60,12 +61,18 @@ def frame(n: int) -> str:
 W = q("(PARTITION BY ticker ORDER BY [Date])")
 
 
+CENTS = q("CAST(round([Close] * 100) AS BIGINT) AS m")  # the test prices have two places
+
+
 def mean(n: int, full: bool = False, places: int | None = 2) -> str:
-    """Mean of the micro-unit prices `m` over the last n rows."""
-    value = f"sum(m) OVER {frame(n)} / 1e6::DOUBLE / count(m) OVER {frame(n)}"
-    if places is not None:
-        value = rnd(value, places)
-    return f"CASE WHEN count(m) OVER {frame(n)} >= {n if full else 1} THEN {value} END"
+    """Mean of the whole cents `m` over the last n rows; two places by whole numbers only."""
+    total, rows = f"sum(m) OVER {frame(n)}", f"count(m) OVER {frame(n)}"
+    if places == 2:
+        value = f"((2 * {total} + {rows}) // (2 * {rows}))::DOUBLE / 100.0::DOUBLE"
+    else:
+        value = f"{total}::DOUBLE / 100.0::DOUBLE / {rows}"
+        value = value if places is None else rnd(value, places)
+    return f"CASE WHEN {rows} >= {n if full else 1} THEN {value} END"
 
 
 def chain(source: str, sma=(5, 20, 50, 200), cross=(20, 50), full=False, band_round=True,
@@ -78,17 +85,17 @@ def chain(source: str, sma=(5, 20, 50, 200), cross=(20, 50), full=False, band_ro
     f14 = frame(14)
     if floor is None:
         rsi = ("CASE WHEN l14 = 0 AND g14 > 0 THEN 100.0::DOUBLE "
-               "ELSE 100 - 100 / (1 + g14::DOUBLE / nullif(l14, 0)::DOUBLE) END")
+               "ELSE 100 - 100 / (1 + (g14 / 100.0::DOUBLE) / nullif(l14 / 100.0::DOUBLE, 0)) END")
     else:
-        rsi = (f"100 - 100 / (1 + (g14 / 1e6::DOUBLE / n14) / "
-               f"(CASE WHEN l14 = 0 THEN {floor}::DOUBLE ELSE l14 / 1e6::DOUBLE / n14 END))")
+        rsi = (f"100 - 100 / (1 + (g14 / 100.0::DOUBLE / n14) / "
+               f"(CASE WHEN l14 = 0 THEN {floor}::DOUBLE ELSE l14 / 100.0::DOUBLE / n14 END))")
     rsi = show(rsi)
     if full:
         rsi = f"CASE WHEN n14 = 14 THEN {rsi} END"
     std = f"CASE WHEN n20 >= {20 if full else 1} THEN sd END"
     if band_round:
         std = rnd(std)
-    return q(f"""m0 AS (SELECT *, CAST(round([Close] * 1e6) AS BIGINT) AS m FROM {source}),
+    return q(f"""m0 AS (SELECT *, {CENTS} FROM {source}),
 m1 AS (SELECT *, m - lag(m) OVER {W} AS d, lag([Close]) OVER {W} AS pc FROM m0),
 m2 AS (SELECT *, {smas},
   sum(CASE WHEN d > 0 THEN d ELSE 0 END) OVER {f14} AS g14,
@@ -144,7 +151,7 @@ oracle("describe_tickers", f"""WITH {DB}, {FUND} SELECT db.ticker, db.[Date], db
 
 # Indicators
 
-M = "m0 AS (SELECT *, CAST(round([Close] * 1e6) AS BIGINT) AS m FROM {0})"
+M = "m0 AS (SELECT *, " + CENTS + " FROM {0})"
 
 
 def averages(source: str, periods, full=False, places: int | None = 2) -> str:
@@ -206,7 +213,7 @@ oracle("dividend_ranking", f"""WITH {DB}, latest AS (SELECT ticker, dividend_yie
  SELECT ticker, dividend_yield, CAST(dense_rank() OVER (ORDER BY dividend_yield DESC) AS INT) AS dividend_rank FROM latest""")
 oracle("quality_report", f"""WITH {DB}, {FUND} SELECT db.ticker, company_name, sector, count(*) AS row_count,
  min([Date]) AS first_date, max([Date]) AS last_date,
- {rnd('sum(CAST(round([Close] * 1e6) AS BIGINT))::DOUBLE / 1e6::DOUBLE / count([Close])')} AS avg_close,
+ ((2 * sum(CAST(round([Close] * 100) AS BIGINT)) + count([Close])) // (2 * count([Close])))::DOUBLE / 100.0::DOUBLE AS avg_close,
  {rnd('max(dividend_yield) * 100')} AS div_yield_pct
  FROM db JOIN fund ON db.ticker = fund.ticker GROUP BY 1, 2, 3 ORDER BY 1""")
 oracle("export_summary", f"""WITH {DB} SELECT count(*) AS row_count, count(DISTINCT ticker) AS ticker_count,
@@ -299,6 +306,11 @@ GRID = {
 }
 
 
+def whole_mean(n: int) -> str:
+    """Mean over n full rows times 10,000, so that means compare as whole numbers."""
+    return f"CASE WHEN count(m) OVER {frame(n)} = {n} THEN sum(m) OVER {frame(n)} * {100 // n} END"
+
+
 def strategy_rows(names, source: str = "h3") -> str:
     parts = []
     for name in names:
@@ -306,12 +318,12 @@ def strategy_rows(names, source: str = "h3") -> str:
         position = "1" if rule is None else f"coalesce(lag(CAST(coalesce({rule}, false) AS INT)) OVER {W}, 0)"
         parts.append(f"SELECT ticker, [Date], dr, '{name}' AS strategy, {position} AS position FROM sg")
     f14 = frame(14)
-    return f"""sm0 AS (SELECT *, CAST(round([Close] * 1e6) AS BIGINT) AS m FROM {source}),
+    return f"""sm0 AS (SELECT *, {CENTS} FROM {source}),
 sm1 AS (SELECT *, m - lag(m) OVER {W} AS d, [Close] / nullif(lag([Close]) OVER {W}, 0) - 1 AS dr FROM sm0),
 sm2 AS (SELECT *, sum(greatest(coalesce(d, 0), 0)) OVER {f14} AS g, sum(greatest(coalesce(-d, 0), 0)) OVER {f14} AS l,
-  count(*) OVER {f14} AS c, {mean(5, True, None)} AS f5, {mean(20, True, None)} AS f20, {mean(50, True, None)} AS f50 FROM sm1),
+  count(*) OVER {f14} AS c, {whole_mean(5)} AS f5, {whole_mean(20)} AS f20, {whole_mean(50)} AS f50 FROM sm1),
 sg AS (SELECT *, CASE WHEN c < 14 THEN NULL WHEN l = 0 AND g > 0 THEN 100
-  ELSE 100 - 100 / (1 + g::DOUBLE / nullif(l, 0)::DOUBLE) END AS rsi FROM sm2),
+  ELSE 100 - 100 / (1 + (g / 100.0::DOUBLE) / nullif(l / 100.0::DOUBLE, 0)) END AS rsi FROM sm2),
 st AS (SELECT *, dr * position AS sr FROM ({" UNION ALL ".join(parts)}) WHERE dr IS NOT NULL),
 cu AS (SELECT *, product(1 + sr) OVER (PARTITION BY ticker, strategy ORDER BY [Date]) AS cumulative,
   product(1 + dr) OVER (PARTITION BY ticker, strategy ORDER BY [Date]) AS base_cumulative FROM st)"""

@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Prices are summed as whole micro units, so that sums are exact and do not
-# depend on the order of the rows. Room: 50,000 bars at a price of 10^8.
-MICRO = 1_000_000
-
-# Lifts a half that binary division left just below the tie.
-TIE = 1e-9
+# Prices are summed as decimals, so that sums are exact and do not depend on the
+# order of the rows. Room: 18 places, and sums below 10^20; beyond it Spark fails.
+EXACT = "decimal(38,18)"
 
 # Dividend tier names.
 TIER_HIGH = "高配当(4%+)"
@@ -30,16 +27,21 @@ STRENGTH = {
 }
 
 
-def micros(price: Column) -> Column:
-    return F.round(price * MICRO).cast("bigint")
+def exact(price: Column) -> Column:
+    return price.cast(EXACT)
+
+
+def exact_ratio(total: Column, count: Column) -> Column:
+    """A decimal sum divided once, half up in the 18th place; null for no rows."""
+    return total / F.nullif(count, F.lit(0)).cast("decimal(19,0)")
 
 
 def steady_round(value: Column, places: int = 2) -> Column:
-    """Half-up rounding that gives the same answer whichever way a tie is stored.
+    """Half-up rounding of the number as written, as a double.
 
     `+ 0.0` turns a negative zero into zero.
     """
-    return F.round(value + F.lit(TIE), places) + F.lit(0.0)
+    return F.round(value, places).cast("double") + F.lit(0.0)
 
 
 def ratio(top: Column, bottom: Column) -> Column:

@@ -2,7 +2,7 @@
 
 Two warm-up rules exist for every rolling value: `partial` averages what there
 is from the first bar on, `full` stays null until the window is filled. Rolling
-means come from differences of running whole-number sums, so their cost does not
+means come from differences of running decimal sums, so their cost does not
 depend on the window's length.
 """
 
@@ -14,7 +14,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tickloom.functions.columns import MICRO, micros, ratio, steady_round
+from tickloom.functions.columns import exact, exact_ratio, ratio, steady_round
 from tickloom.operators.chunks import CHUNK, BarGrid, in_chunk, with_lookback
 
 
@@ -47,37 +47,38 @@ def _last(running: str, n: int, w: WindowSpec) -> Column:
 
 
 def rolling_mean(n: int, w: WindowSpec, full: bool, total: str = "_sum", seen: str = "_seen") -> Column:
-    """Mean of the non-null values among the last n rows."""
+    """Mean of the non-null values among the last n rows, a decimal."""
     count = _last(seen, n, w)
-    mean = ratio(_last(total, n, w) / MICRO, count.cast("double"))
+    mean = exact_ratio(_last(total, n, w), count)
     return F.when(count >= (n if full else 1), mean)
 
 
 def relative_strength(gain: Column, loss: Column, rows: Column, floor: float | None) -> Column:
     """100 - 100 / (1 + mean gain / mean loss), from sums over the same `rows` bars."""
+    gain, loss = gain.cast("double"), loss.cast("double")
     if floor is None:
-        strength = ratio(gain.cast("double"), loss.cast("double"))
+        strength = ratio(gain, loss)
         return F.when((loss == 0) & (gain > 0), F.lit(100.0)).otherwise(
             100.0 - 100.0 / (1.0 + strength)
         )
-    mean_loss = F.when(loss == 0, F.lit(floor)).otherwise(loss / MICRO / rows)
-    return 100.0 - 100.0 / (1.0 + gain / MICRO / rows / mean_loss)
+    mean_loss = F.when(loss == 0, F.lit(floor)).otherwise(loss / rows)
+    return 100.0 - 100.0 / (1.0 + gain / rows / mean_loss)
 
 
 def add_indicators(df: DataFrame, spec: IndicatorSpec, w: WindowSpec) -> DataFrame:
     """Add all indicator columns; every window shares `w`, hence one shuffle and sort."""
-    shown = steady_round if spec.rounded else (lambda value: value)
+    shown = steady_round if spec.rounded else (lambda value: value.cast("double"))
     close = F.col("Close")
     running = w.rowsBetween(Window.unboundedPreceding, 0)
-    step = F.col("_micros") - F.lag("_micros", 1).over(w)
+    step = F.col("_exact") - F.lag("_exact", 1).over(w)
 
-    df = df.withColumn("_micros", micros(close)).withColumn("_step", step)
+    df = df.withColumn("_exact", exact(close)).withColumn("_step", step)
     gain = F.when(F.col("_step") > 0, F.col("_step")).otherwise(0)
     loss = F.when(F.col("_step") < 0, -F.col("_step")).otherwise(0)
     df = df.withColumns(
         {
-            "_sum": F.coalesce(F.sum("_micros").over(running), F.lit(0)),
-            "_seen": F.count("_micros").over(running),
+            "_sum": F.coalesce(F.sum("_exact").over(running), F.lit(0)),
+            "_seen": F.count("_exact").over(running),
             "_gains": F.sum(gain).over(running),
             "_losses": F.sum(loss).over(running),
             "_row": F.row_number().over(w),
@@ -142,17 +143,20 @@ def moving_averages(
     w = in_chunk()
     running = w.rowsBetween(Window.unboundedPreceding, 0)
     df = with_lookback(bars, grid, max(periods))
-    df = df.withColumn("_micros", micros(F.col("Close"))).withColumns(
+    df = df.withColumn("_exact", exact(F.col("Close"))).withColumns(
         {
-            "_sum": F.coalesce(F.sum("_micros").over(running), F.lit(0)),
-            "_seen": F.count("_micros").over(running),
+            "_sum": F.coalesce(F.sum("_exact").over(running), F.lit(0)),
+            "_seen": F.count("_exact").over(running),
         }
     )
     mean = {n: rolling_mean(n, w, full) for n in periods}
     df = df.withColumns(
-        {f"sma_{n}": m if places is None else steady_round(m, places) for n, m in mean.items()}
+        {
+            f"sma_{n}": m.cast("double") if places is None else steady_round(m, places)
+            for n, m in mean.items()
+        }
     )
-    return df.filter("is_core").drop("_micros", "_sum", "_seen", CHUNK, "is_core")
+    return df.filter("is_core").drop("_exact", "_sum", "_seen", CHUNK, "is_core")
 
 
 def price_changes(bars: DataFrame, grid: BarGrid, lags: Sequence[int] = (1, 5, 20)) -> DataFrame:

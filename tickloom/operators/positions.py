@@ -20,6 +20,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.columns import TIE
 from tickloom.operators.chunks import CHUNK, BarGrid
 from tickloom.schemas import TRADE
 
@@ -82,8 +82,16 @@ class _Chunk:
 
 
 def cents(value: np.ndarray) -> np.ndarray:
-    """Half-up rounding to two places. It keeps order, so it may follow a maximum."""
-    return np.floor((value + TIE) * 100 + 0.5) / 100
+    """Half-up rounding of the number as written. It keeps order, so it may follow a maximum."""
+    value = np.asarray(value, dtype=float)
+    scaled = np.abs(value) * 100
+    out = np.copysign(np.floor(scaled + 0.5) / 100, value)
+    # Binary arithmetic is not to be trusted near a tie.
+    near = np.isfinite(scaled) & (np.abs(scaled - np.floor(scaled) - 0.5) <= scaled * 1e-15 + 1e-12)
+    for i in zip(*np.nonzero(near)) if value.ndim else ([()] if near else []):
+        written = Decimal(repr(float(value[i])))
+        out[i] = float(written.quantize(Decimal("0.01"), ROUND_HALF_UP))
+    return out + 0.0
 
 
 def _fields(**types: T.DataType) -> T.StructType:

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.columns import MICRO, micros, ratio, steady_round
+from tickloom.functions.columns import exact, exact_ratio, steady_round
 
 
 def exact_mean(price: Column) -> Column:
-    """Mean from a whole-number sum, wide enough for any number of rows."""
-    total = F.sum(micros(price).cast("decimal(20,0)")).cast("double")
-    return ratio(total / MICRO, F.count(price).cast("double"))
+    """Mean from a decimal sum."""
+    return exact_ratio(F.sum(exact(price)), F.count(price))
 
 
 def quality_report(bars: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.columns import micros
+from tickloom.functions.columns import exact
 from tickloom.operators.chunks import recent
 from tickloom.operators.decisions import add_decision, add_row_tier
 from tickloom.operators.indicators import PARTIAL, IndicatorSpec, add_indicators
@@ -63,10 +63,7 @@ def serving_view(snapshot: DataFrame) -> DataFrame:
         F.col("Date").cast("date").alias("decisionDate"),
         F.col("decision").alias("decisionType"),
         F.col("confidence").alias("confidence"),
-        # Through whole micro units: the cast itself must not meet a stored tie.
-        (micros(F.col("Close")).cast("decimal(24,0)") / 1_000_000)
-        .cast("decimal(18,2)")
-        .alias("closePrice"),
+        exact(F.col("Close")).cast("decimal(18,2)").alias("closePrice"),
         F.col("rsi_14").alias("rsi14"),
         F.col("fundamental_score").alias("fundamentalScore"),
     )

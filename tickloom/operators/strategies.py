@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tickloom.functions.columns import flag, json_safe, micros, ratio
+from tickloom.functions.columns import exact, flag, json_safe, ratio
 from tickloom.operators.chunks import CHUNK, BarGrid, carried, in_chunk, with_lookback
 from tickloom.operators.indicators import _last, relative_strength, rolling_mean
 from tickloom.operators.performance import (
@@ -68,13 +68,14 @@ def strategy_returns(bars: DataFrame, grid: BarGrid, strategies: Sequence[Strate
     running = w.rowsBetween(Window.unboundedPreceding, 0)
     rows = max(s.lookback for s in strategies) + 1
     df = with_lookback(bars.select("ticker", "Date", "Close"), grid, rows)
-    df = df.withColumn("_micros", micros(F.col("Close")))
-    df = df.withColumn("_step", F.col("_micros") - F.lag("_micros", 1).over(w))
-    up, down = F.greatest("_step", F.lit(0)), F.greatest(-F.col("_step"), F.lit(0))
+    df = df.withColumn("_exact", exact(F.col("Close")))
+    df = df.withColumn("_step", F.col("_exact") - F.lag("_exact", 1).over(w))
+    nothing = exact(F.lit(0))
+    up, down = F.greatest("_step", nothing), F.greatest(-F.col("_step"), nothing)
     df = df.withColumns(
         {
-            "_sum": F.coalesce(F.sum("_micros").over(running), F.lit(0)),
-            "_seen": F.count("_micros").over(running),
+            "_sum": F.coalesce(F.sum("_exact").over(running), F.lit(0)),
+            "_seen": F.count("_exact").over(running),
             "_gains": F.sum(up).over(running),
             "_losses": F.sum(down).over(running),
             "_row": F.row_number().over(w),
