@@ -3,11 +3,10 @@ from __future__ import annotations
 import random
 
 import pytest
+from llm_helpers import smallest_reachable  # noqa: F401
 
 from tickloom.llm import components as C
 
-from llm_helpers import smallest_reachable
-
 
 @pytest.mark.parametrize("size", [7, 200_000])
 def test_components_equal_union_find(spark, monkeypatch, size):

@@ -3,6 +3,8 @@ from __future__ import annotations
 import hashlib
 import re
 
+from llm_helpers import make_docs  # noqa: F401
+
 from tickloom.llm.exact_dedup import drop_copies, exact_dedup
 
 SPACES = re.compile("[\x20\x09-\x0d]")

@@ -1,12 +1,11 @@
 from __future__ import annotations
 
 import pytest
+from llm_helpers import clashing  # noqa: F401
 from pyspark.sql import functions as F
 
 from tickloom.llm.mix import mix_sources, mixed, one_period, phases, whole_weights
 
-from llm_helpers import clashing
-
 
 def simulated(weights, slots):
     """Earliest deadline first, slot by slot, with released blocks only."""

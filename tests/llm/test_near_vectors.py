@@ -2,11 +2,10 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from llm_helpers import clashing, smallest_reachable  # noqa: F401
 
 from tickloom.llm import near_vectors as N
 
-from llm_helpers import clashing, smallest_reachable
-
 
 def expected(rows, threshold):
     def fine(v):

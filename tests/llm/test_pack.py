@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from llm_helpers import make_docs  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

@@ -4,11 +4,11 @@ import re
 
 import numpy as np
 import pytest
+from llm_helpers import make_docs, prose, smallest_reachable  # noqa: F401
 
 from tickloom.llm import parity_join
 from tickloom.llm.parity_join import Similarity, drop_similar, jaccard_classes
 
-from llm_helpers import smallest_reachable
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

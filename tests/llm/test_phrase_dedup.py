@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from llm_helpers import make_docs, prose  # noqa: F401
 
 from tickloom.llm import buckets
 from tickloom.llm.phrase_dedup import remove_repeated_passages

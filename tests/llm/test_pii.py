@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from llm_helpers import make_docs  # noqa: F401
 
 from tickloom.llm import lstm_crf, pii
 from tickloom.llm.queries import op4_personal_data

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from llm_helpers import make_docs, prose  # noqa: F401
 
 from tickloom.llm import grams, gru
 from tickloom.llm.queries import op3_toxicity

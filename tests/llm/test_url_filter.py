@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from llm_helpers import clashing  # noqa: F401
 from pyspark.sql import functions as F
 
 from tickloom.llm.queries import URL_RULES
@@ -15,7 +16,6 @@ from tickloom.llm.url_filter import (
     template_verdicts,
 )
 
-from llm_helpers import clashing
 
 URLS = [
     "http://A.Example.ORG/es/1?x",
