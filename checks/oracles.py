@@ -135,8 +135,8 @@ oracle("trailing_period", f"""WITH {DB} SELECT ticker, [Date], [Close] FROM db
 oracle("ticker_universe", f"WITH {H} SELECT * FROM h WHERE ticker IN ('click', 'purchase')")
 oracle("ticker_universe_table", f"""WITH {DB}, {FUND} SELECT ticker, [Date], [Close] FROM db
  WHERE ticker IN (SELECT ticker FROM fund WHERE fundamental_score >= 50)""")
-oracle("missing_tickers", """SELECT c_custkey AS ticker FROM customer
- WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+oracle("missing_tickers", """SELECT doc_id AS ticker FROM documents
+ WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 oracle("dedup_bars", """SELECT event_type AS ticker, date_trunc('hour', ts) AS [Date], ts, event_id, value
  FROM events QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY ts) = 1""")
 oracle("union_sources", f"""WITH {H}, {DB} SELECT ticker, [Date], [Close], [Volume], NULL::DOUBLE AS dividend_yield FROM h

@@ -93,8 +93,8 @@ def ticker_universe_table(spark, sf):
 
 @query
 def missing_tickers(spark, sf):
-    wanted = table(spark, sf, "customer").select(F.col("c_custkey").alias("ticker"))
-    seen = table(spark, sf, "orders").select(F.col("o_custkey").alias("ticker"))
+    wanted = table(spark, sf, "documents").select(F.col("doc_id").alias("ticker"))
+    seen = table(spark, sf, "labels").select(F.col("doc_id").alias("ticker"))
     return tables.missing_tickers(wanted, seen)
 
 
@@ -270,7 +270,7 @@ def latest_signals_top20(spark, sf):
 
 @query
 def latest_snapshot(spark, sf):
-    return snapshot.latest_evaluated(hourly_bars(spark, sf))
+    return snapshot.latest_evaluated(hourly_bars(spark, sf), HOURS)
 
 
 @query
@@ -292,7 +292,7 @@ def newest_three(spark, sf):
 def serving_view(spark, sf):
     bars = daily_bars(spark, sf)
     facts = fundamentals(spark, sf).select("ticker", "company_name", "fundamental_score")
-    rows = tables.join_dimension(snapshot.latest_evaluated(bars), facts, "ticker")
+    rows = tables.join_dimension(snapshot.latest_evaluated(bars, DAYS), facts, "ticker")
     return snapshot.serving_view(rows.withColumn("confidence", F.lit(0.5)))
 
 

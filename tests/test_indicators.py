@@ -4,13 +4,15 @@ import math
 import statistics
 
 import pytest
-from conftest import by_date
+from conftest import by_date, day
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from checks.inputs import hourly_bars
-from tickloom.operators.chunks import DAILY, BarGrid
+from checks.queries import REGISTRY
+from tickloom.functions.columns import steady_round
+from tickloom.operators.chunks import DAILY, BarGrid, recent
 from tickloom.operators.decisions import add_latest_tier, evaluate, with_signal_defaults
 from tickloom.operators.indicators import (
     FULL,
@@ -109,7 +111,7 @@ def test_crosses_fire_once(series):
 
 def test_latest_needs_only_the_last_bars(spark, sf):
     bars = hourly_bars(spark, sf)
-    assert table(latest_evaluated(bars)) == table(latest(evaluate(bars, BarGrid(3600))))
+    assert table(latest_evaluated(bars, BarGrid(3600))) == table(latest(evaluate(bars, BarGrid(3600))))
 
 
 def test_tier_of_last_bar(spark, series):
@@ -147,3 +149,33 @@ def test_one_sort_and_one_full_shuffle_for_the_chain(spark, sf, tmp_path):
     assert top.count("Exchange") == 1 and top.count("Sort ") == 1
     assert "SinglePartition" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("scale", [3e-7, 1.0, 1e12])
+def test_sums_are_exact_at_any_price(spark, series, scale):
+    closes = [c * scale for c in (3.0, 4.0, 2.0, 4.0, 1.0)]
+    rows = by_date(moving_averages(series(T=closes), DAILY, [2], places=None))
+    want = [closes[0]] + [(a + b) / 2 for a, b in zip(closes, closes[1:])]
+    assert [r["sma_2"] for r in rows] == pytest.approx(want, rel=1e-12)
+
+
+def test_negative_ties_round_away_from_zero(spark):
+    df = spark.sql("SELECT explode(array(-0.125D, 0.125D, -2.675D, 2.675D, 0.0049999999995D)) AS v")
+    got = [r[0] for r in df.select(steady_round(F.col("v"))).collect()]
+    assert got == [-0.13, 0.13, -2.68, 2.68, 0.0]
+
+
+def test_recent_crosses_sparse_chunks(spark):
+    days = [0, 1, 2, 50, 51, 400, 900]
+    df = spark.createDataFrame([("T", day(n), float(n)) for n in days], "ticker string, Date timestamp_ntz, Close double")
+    for rows in (1, 2, 4, 6, 9):
+        got = [r["Close"] for r in by_date(recent(df, rows, BarGrid(86_400, 7)))]
+        assert got == [float(n) for n in days[-rows:]]
+
+
+@pytest.mark.parametrize("query, table", [("evaluated_bars_full", "lineitem"), ("position_trades", "events")])
+def test_the_fact_table_is_scanned_once(spark, sf, query, table):
+    df = REGISTRY[query](spark, sf)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert sum(f"{table}.parquet" in line for line in plan.splitlines()) == 1

@@ -82,7 +82,10 @@ def _copies(core: DataFrame, rows: int, keys: list[str], nearest, onward) -> Dat
     tails = core.withColumn("_age", F.row_number().over(edge)).filter(F.col("_age") <= rows)
     # One row per chunk: rows it offers, offers of the chunks passed before it,
     # and the next chunks close enough to still need some of its rows.
-    sizes = core.groupBy(*keys, CHUNK).agg(F.least(F.count("*"), F.lit(rows)).alias("_offered"))
+    # The hash makes this branch read the columns the others read, so that Spark
+    # sees one exchange of the bars and does not build them a second time.
+    widest = F.max(F.struct("_age", F.xxhash64(*[F.col(c) for c in core.columns])))
+    sizes = tails.groupBy(*keys, CHUNK).agg(widest["_age"].alias("_offered"))
     earlier = (
         Window.partitionBy(*keys)
         .orderBy(onward(CHUNK))
@@ -103,10 +106,12 @@ def _copies(core: DataFrame, rows: int, keys: list[str], nearest, onward) -> Dat
         "_later", lambda later: later["at"] - F.col("_end") + F.col("_age") <= rows
     )
     values = [c for c in core.columns if c != CHUNK]
-    # A left join: an inner one would add null checks below the tails and keep
-    # Spark from reusing the exchange that builds the bars.
+    # A left join on null-safe keys: others would add null checks below a side and
+    # keep Spark from reusing the exchange that builds the bars.
+    named = feeds.withColumnsRenamed({k: f"_{k}_of" for k in [*keys, CHUNK]})
+    same = [tails[k].eqNullSafe(named[f"_{k}_of"]) for k in [*keys, CHUNK]]
     return (
-        tails.join(feeds, [*keys, CHUNK], "left")
+        tails.join(named, same, "left")
         .select(*values, F.explode(reached).alias("_to"))
         .select(*values, F.col("_to.chunk").alias(CHUNK), F.lit(False).alias("is_core"))
     )
@@ -134,11 +139,26 @@ def carried(
     return df.join(before, [*keys, CHUNK], "left")
 
 
-def recent(bars: DataFrame, rows: int, keys: Sequence[str] = ("ticker",)) -> DataFrame:
-    """The last `rows` bars per ticker. The rank limit cuts before the shuffle."""
+def recent(
+    bars: DataFrame, rows: int, grid: BarGrid, keys: Sequence[str] = ("ticker",)
+) -> DataFrame:
+    """The last `rows` bars per ticker.
+
+    Bars are counted per chunk first, so only the newest chunks that hold `rows`
+    bars are ranked, however long the history is.
+    """
+    keys = list(keys)
+    later = Window.partitionBy(*keys).orderBy(F.desc(CHUNK)).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    core = bars.withColumn(CHUNK, grid.chunk())
+    counts = core.groupBy(*keys, CHUNK).agg(F.count("*").alias("_bars"))
+    near = counts.withColumn("_later", F.coalesce(F.sum("_bars").over(later), F.lit(0)))
+    needed = near.filter(F.col("_later") < rows).select(*keys, CHUNK)
     newest_first = Window.partitionBy(*keys).orderBy(F.desc("Date"))
     return (
-        bars.withColumn("_age", F.row_number().over(newest_first))
+        core.join(needed, [*keys, CHUNK], "left_semi")
+        .withColumn("_age", F.row_number().over(newest_first))
         .filter(F.col("_age") <= rows)
-        .drop("_age")
+        .select(*bars.columns)
     )

@@ -6,24 +6,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import exact
-from tickloom.operators.chunks import recent
+from tickloom.operators.chunks import BarGrid, recent
 from tickloom.operators.decisions import add_decision, add_row_tier
 from tickloom.operators.indicators import PARTIAL, IndicatorSpec, add_indicators
 
 
 def latest(df: DataFrame) -> DataFrame:
-    """The newest row of each ticker."""
-    return recent(df, 1)
+    """The newest row of each ticker. Each task sends one row per ticker."""
+    row = F.struct(*[c for c in df.columns if c != "ticker"])
+    newest_row = df.groupBy("ticker").agg(F.max_by(row, "Date").alias("_row"))
+    return newest_row.select("ticker", "_row.*").select(*df.columns)
 
 
-def latest_evaluated(bars: DataFrame, spec: IndicatorSpec = PARTIAL) -> DataFrame:
+def latest_evaluated(bars: DataFrame, grid: BarGrid, spec: IndicatorSpec = PARTIAL) -> DataFrame:
     """The newest bar of each ticker with indicators and decision.
 
-    Indicators look back a fixed number of bars, so only that many bars per
-    ticker are shuffled, however long the history is.
+    Indicators look back a fixed number of bars, so only the chunks that hold
+    these are ranked, however long the history is.
     """
     w = Window.partitionBy("ticker").orderBy("Date")
-    near = add_indicators(recent(bars, spec.lookback + 1), spec, w)
+    near = add_indicators(recent(bars, spec.lookback + 1, grid), spec, w)
     df = add_decision(latest(near), f"rsi_{spec.rsi}")
     return add_row_tier(df) if "dividend_yield" in bars.columns else df
 

@@ -9,8 +9,8 @@ from tickloom.functions.columns import safe_name
 from tickloom.operators.chunks import BarGrid
 from tickloom.operators.snapshot import latest
 
-# Fixed value: date format of the exported files.
-ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS"
+# Date format of the exported files: ISO, to the microsecond.
+ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 DATES = {"timestampNTZFormat": ISO, "timestampFormat": ISO}
 
 

@@ -9,9 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A dimension of up to this many (narrow) rows is sent to every executor.
-BROADCAST_ROWS = 100_000
-
 
 def read_table(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
     """Catalog table, or the Parquet files at `path` where there is no such table."""
@@ -77,11 +74,9 @@ def join_dimension(
 ) -> DataFrame:
     """Join one row per key onto a large table.
 
-    The dimension is counted first. A small one is broadcast; a larger one goes
-    through a shuffle join, where adaptive execution splits hot keys.
+    The plan is left to adaptive execution: it broadcasts a side that proves small
+    by its size in bytes, and otherwise splits hot keys of the shuffle join.
     """
-    if dimension.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        dimension = F.broadcast(dimension)
     return facts.join(dimension, key, how)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tickloom.operators.chunks import BarGrid, recent
 from tickloom.operators.decisions import evaluate
 from tickloom.operators.indicators import PARTIAL, IndicatorSpec
+from tickloom.sources.bars import first_per_bar
 
 
 def stream_bars(
@@ -78,7 +79,7 @@ def evaluate_batch(
         new = batch.join(seen.select("ticker", "Date"), ["ticker", "Date"], "left_anti")
         since = new.groupBy("ticker").agg(F.min("Date").alias("_since"))
         touched = stored.join(since, "ticker")
-        older = recent(touched.filter("Date < _since"), spec.lookback).drop("_since")
+        older = recent(touched.filter("Date < _since"), spec.lookback, grid).drop("_since")
         later = touched.filter("Date >= _since").drop("_since")
         others = tails.join(since, "ticker", "left_anti")
         around = others.unionByName(older).select("*", not_due)
@@ -87,7 +88,7 @@ def evaluate_batch(
     active = around.filter("is_due").select("ticker").distinct()
     df = evaluate(around.join(active, "ticker", "left_semi"), grid, spec)
     evaluated = df.filter("is_due").drop("is_due")
-    return new, evaluated, recent(around.drop("is_due"), spec.lookback)
+    return new, evaluated, recent(around.drop("is_due"), spec.lookback, grid)
 
 
 def evaluate_stream(
@@ -113,7 +114,8 @@ def evaluate_stream(
             before = spark.read.schema(batch.schema).parquet(f"{folder}/tails/batch={number - 1}")
         else:
             before = batch.limit(0)
-        once = batch.dropDuplicates(["ticker", "Date"]).persist()
+        # of repeated bars the smallest by value, so that a rerun keeps the same one
+        once = first_per_bar(batch, F.struct(*batch.drop("ticker", "Date").columns)).persist()
         new, evaluated, tails = evaluate_batch(before, history, once, grid, spec)
         evaluated.write.mode("overwrite").parquet(f"{folder}/evaluated/batch={number}")
         tails.write.mode("overwrite").parquet(f"{folder}/tails/batch={number}")
