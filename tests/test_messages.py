@@ -68,6 +68,8 @@ CASES = {
     "price and cast": (message(bar(Close=-1, Volume="x")), ["invalid_close:Close", "type_error:Volume"]),
     "low text": (message(bar(Low="x")), ["type_error:Low"]),
     "bar is a number": (message(5), ["type_error:None"]),
+    "bad date": (message(bar(Date="some day")), ["type_error:Date"]),
+    "bad later date": (message(bar(), bar(Date="2024-13-01")), ["type_error:Date"]),
     "broken": ("{bad", ["broken_json"]),
     "list": ("[1]", ["not_an_object"]),
 }

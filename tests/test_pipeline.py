@@ -143,6 +143,24 @@ def test_auc_with_ties_and_near_scores(spark):
     assert classification.auc(one_class).first().auc is None
 
 
+def test_auc_of_scores_outside_0_1_and_without_a_score(spark):
+    pairs = [(i % 3 == 0, (i * 37 % 101) * 1e6 - 5e7) for i in range(300)]
+    df = spark.createDataFrame([(int(y), x) for y, x in pairs], "label int, score double")
+    assert classification.auc(df).first().auc == pytest.approx(brute_auc(pairs), abs=1e-6)
+    unknown = df.unionByName(spark.sql("SELECT 1 AS label, CAST(NULL AS DOUBLE) AS score"))
+    with pytest.raises(Exception, match="no score"):
+        classification.auc(unknown).first()
+
+
+def test_ingest_stores_each_bar_once(spark, series):
+    bars = series(T=[2.0, 3.0], U=[5.0])
+    again = bars.withColumn("Close", F.col("Close") + 1)
+    for rows in (bars.unionByName(again), again.unionByName(bars).repartition(3)):
+        pipeline.ingest(spark, rows)
+        stored = spark.table(pipeline.RAW).select("ticker", "Date", "Close")
+        assert sorted(stored.collect()) == sorted(bars.select("ticker", "Date", "Close").collect())
+
+
 def test_report_without_positives(spark):
     df = spark.createDataFrame([(0, 0), (0, 0)], "label int, prediction int")
     rows = {r["class"]: r for r in classification.classification_report(classification.confusion(df)).collect()}

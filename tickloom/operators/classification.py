@@ -82,16 +82,22 @@ def auc(rows: DataFrame, label: str = "label", score: str = "score") -> DataFram
     """One row: area under the ROC curve, exact, equal scores sharing their rank.
 
     Rows are first counted per score. The negatives below each score are then
-    summed over 2^10 wide score ranges, 2^20 narrow ones, and the distinct scores
-    within a narrow range, so no task holds all scores.
+    summed over 2^10 wide ranges between the lowest and the highest score, 2^20
+    narrow ones, and the distinct scores within a narrow range, so no task holds
+    all scores. A row without a score is an error, as its rank is unknown.
     """
-    scores = rows.groupBy(F.col(score).alias("score")).agg(
+    known = F.when(F.col(score).isNull(), F.raise_error(F.lit("a row has no score"))).otherwise(
+        F.col(score)
+    )
+    scores = rows.groupBy(known.cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    scores = scores.withColumns(
+    low, high = scores.agg(F.min("score")).scalar(), scores.agg(F.max("score")).scalar()
+    place = F.coalesce(ratio(F.col("score") - low, high - low), F.lit(0.0))
+    scores = scores.withColumn("_place", place).withColumns(
         {
-            "wide": F.floor(F.col("score") * 2**10),
-            "narrow": F.floor(F.col("score") * 2**20),
+            "wide": F.floor(F.col("_place") * (2**10 - 1)),
+            "narrow": F.floor(F.col("_place") * (2**20 - 1)),
         }
     )
 

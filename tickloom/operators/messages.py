@@ -215,6 +215,8 @@ def _bar_errors(bar: Column, index: Column) -> Column:
     close, volume = bar["Close"]["value"], bar["Volume"]["value"]
     high, low = bar["High"]["value"], bar["Low"]["value"]
     crossed = ~F.isnan(high) & ~F.isnan(low) & (high < low)
+    unread = bar["Date"].isNotNull() & bar["Date"].try_cast("timestamp_ntz").isNull()
+    date = only(unread, _error("type_error", index, "Date", bar["Date"]))
     price = only(close <= 0, _error("invalid_close", index, "Close", close))
     amount = only(volume < 0, _error("negative_volume", index, "Volume", volume))
     span = only(crossed, _error("high_below_low", index, "High", high))
@@ -224,7 +226,7 @@ def _bar_errors(bar: Column, index: Column) -> Column:
         .when(volume.isNull(), F.concat(price, bad("Volume")))
         .when(high.isNull(), F.concat(price, amount, bad("High")))
         .when(low.isNull(), F.concat(price, amount, bad("Low")))
-        .otherwise(F.concat(price, amount, span))
+        .otherwise(F.concat(price, amount, span, date))
         .cast(ERRORS)
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.operators import classification, features, model, performance, positions, reports
 from tickloom.operators.chunks import BarGrid
@@ -12,7 +13,9 @@ from tickloom.operators.decisions import evaluate, with_signal_defaults
 from tickloom.operators.indicators import PARTIAL, IndicatorSpec
 from tickloom.operators.positions import TradeRules
 from tickloom.operators.snapshot import latest, serving_view
+from tickloom.session import use_checkpoints
 from tickloom.sinks.writers import export, replace_serving, write_table
+from tickloom.sources.bars import first_per_bar
 from tickloom.sources.tables import (
     missing_tickers,
     nulls_for_nan,
@@ -32,8 +35,13 @@ class Ingested:
 
 
 def ingest(spark: SparkSession, bars: DataFrame, tickers: DataFrame | None = None) -> Ingested:
-    """Store raw bars; report their quality and the tickers without any bar."""
-    write_table(with_fundamental_defaults(nulls_for_nan(bars)), RAW)
+    """Store raw bars; report their quality and the tickers without any bar.
+
+    Of several rows for one (ticker, Date) the smallest by value is stored.
+    """
+    rows = with_fundamental_defaults(nulls_for_nan(bars))
+    values = [c for c in rows.columns if c not in ("ticker", "Date")]
+    write_table(first_per_bar(rows, F.struct(*values)).select(*rows.columns), RAW)
     stored = spark.table(RAW)
     missing = None if tickers is None else missing_tickers(tickers, stored)
     return Ingested(reports.quality_report(stored), missing)
@@ -62,8 +70,9 @@ def publish_serving(spark: SparkSession, scored: DataFrame) -> int:
 def run_backtest(
     signals: DataFrame, grid: BarGrid, rules: TradeRules = TradeRules()
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(metrics, trades, equity curve) of all tickers of `signals` in one job."""
-    replayed = positions.replay(with_signal_defaults(signals, grid), grid, rules)
+    """(metrics, trades, equity curve) of all tickers of `signals`; the fold runs once."""
+    use_checkpoints(signals.sparkSession)
+    replayed = positions.replay(with_signal_defaults(signals, grid), grid, rules).checkpoint()
     return (
         performance.backtest_metrics(replayed, rules),
         positions.trades(replayed),

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.chunks import BarGrid
 from tickloom.operators.positions import TradeRules, end_states, equity_curve, replay, trades
+from tickloom.session import use_checkpoints
 
 
 def position_stream(
@@ -23,13 +24,15 @@ def position_stream(
     open at the end of a batch.
     """
 
+    use_checkpoints(spark)
+
     def write(batch: DataFrame, number: int) -> None:
         initial = spark.read.parquet(f"{folder}/states/batch={number - 1}") if number else None
         batch = batch.persist()
         ends = end_states(batch, grid, rules, initial)
         if initial is not None:
             ends = ends.unionByName(initial.join(ends.select("ticker"), "ticker", "left_anti"))
-        replayed = replay(batch, grid, rules, initial, ended=False)
+        replayed = replay(batch, grid, rules, initial, ended=False).checkpoint()
         trades(replayed).write.mode("overwrite").parquet(f"{folder}/trades/batch={number}")
         equity_curve(replayed).write.mode("overwrite").parquet(f"{folder}/equity/batch={number}")
         ends.write.mode("overwrite").parquet(f"{folder}/states/batch={number}")
