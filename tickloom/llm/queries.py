@@ -156,4 +156,66 @@ ORACLES: dict[str, str] = {
                      sha256(norm) AS text_sha256
               FROM t)
     """,
+    "op6_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x20\x09-\x0D]+') AS words
+          FROM documents),
+        g AS (
+          SELECT DISTINCT doc_id, array_to_string(words[i : i + 2], ' ') AS shingle
+          FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i
+                FROM w WHERE len(words) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        links AS (
+          SELECT a, b FROM (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+            FROM g x JOIN g y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+          JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+          WHERE 100 * common >= 90 * (na.n + nb.n - common)),
+        reach(id, c) AS (
+          SELECT doc_id, doc_id FROM documents
+          UNION
+          SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.id)
+        SELECT id AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id
+        FROM reach LEFT JOIN n ON n.doc_id = id GROUP BY id
+    """,
+    "op8_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        p AS (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM d),
+        s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS byte,
+                CASE WHEN 2 * i + 100 <= length(h) THEN substr(h, 2 * i + 1, 100) END AS string
+              FROM p),
+        f AS (SELECT string, min(doc_id) AS first FROM s WHERE string IS NOT NULL GROUP BY string),
+        r AS (SELECT s.doc_id, i, byte, coalesce(first < s.doc_id, false) AS repeated
+              FROM s LEFT JOIN f ON f.string = s.string),
+        m AS (SELECT doc_id, i, byte, bool_or(repeated) OVER (
+                PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM r),
+        e AS (SELECT *, gone AND NOT coalesce(
+                lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM m),
+        k AS (SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS removed,
+                count(*) FILTER (begins) AS spans,
+                string_agg(byte, '' ORDER BY i) FILTER (NOT gone) AS kept FROM e GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n, 0) AS n_bytes, coalesce(removed, 0) AS n_removed,
+               coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+        FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+    """,
+    "op10_phrase_dedup": r"""
+        WITH d AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+          FROM documents),
+        s AS (SELECT doc_id, i, words[i] AS word,
+                CASE WHEN i + 49 <= len(words) THEN array_to_string(words[i : i + 49], ' ') END AS passage
+              FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM d)),
+        f AS (SELECT passage, min(doc_id) AS first FROM s WHERE passage IS NOT NULL GROUP BY passage),
+        r AS (SELECT s.doc_id, i, word, coalesce(first < s.doc_id, false) AS repeated
+              FROM s LEFT JOIN f ON f.passage = s.passage),
+        m AS (SELECT doc_id, i, word, bool_or(repeated) OVER (
+                PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM r),
+        k AS (SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS removed,
+                string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM m GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n, 0) AS n_words, coalesce(removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+    """,
 }
