@@ -378,6 +378,14 @@ CODES = f"""CASE event_id % 11 WHEN 1 THEN concat_ws('|', {ZERO}, 'high_below_lo
  WHEN 5 THEN concat_ws('|', {ZERO}, 'type_error') WHEN 6 THEN concat_ws('|', {ZERO}, 'negative_volume')
  WHEN 7 THEN concat_ws('|', 'missing_field', {ZERO}) WHEN 8 THEN 'missing_ticker' WHEN 9 THEN 'missing_ohlcv'
  WHEN 10 THEN 'broken_json' ELSE concat_ws('|', {ZERO}) END"""
+oracle("envelope_fields", f"""WITH {H} SELECT h.ticker, 'yfinance' AS source, '1.0' AS schema_version,
+ TIMESTAMP '2024-01-02 03:04:05' AS published_at FROM h GROUP BY h.ticker, {PART_OF}""")
+oracle("zone_times", "SELECT event_id, ts AS utc, ts + INTERVAL 9 HOUR AS tokyo FROM events")
+oracle("message_more_fields", f"""WITH {H}, x AS (
+ SELECT ticker, max([High]) AS beta, min([Low]) AS per FROM h GROUP BY 1)
+ SELECT h.ticker, [Date], [Close], [Close] * 2 AS adjusted, per, beta FROM h JOIN x ON h.ticker = x.ticker""")
+oracle("message_rejects", f"""SELECT code, count(*) AS n FROM (
+ SELECT unnest(string_split(codes, '|')) AS code FROM (SELECT {CODES} AS codes FROM events) WHERE codes <> '') GROUP BY 1""")
 oracle("message_validation", f"""SELECT event_id, codes = '' AS is_valid,
  CASE WHEN codes = '' THEN 0 ELSE len(string_split(codes, '|')) END::BIGINT AS n_errors, codes
  FROM (SELECT event_id, {CODES} AS codes FROM events)""")

@@ -23,9 +23,11 @@ from tickloom.functions.columns import (
     clip,
     dividend_tier,
     json_safe,
+    local_naive,
     or_default,
     safe_name,
     steady_round,
+    utc_naive,
 )
 from tickloom.operators import classification, decisions, features, indicators, messages, model
 from tickloom.operators import performance, positions, reports, snapshot, strategies
@@ -488,6 +490,48 @@ def message_flatten(spark, sf):
     )
 
 
+@query
+def envelope_fields(spark, sf):
+    at = F.lit("2024-01-02T03:04:05Z").cast("timestamp")
+    doc = F.try_parse_json("value")
+    wrapped = messages.add_envelope(_messages(spark, sf), at)
+    field = {name: f"$.publish_metadata.{name}" for name in ("source", "schema_version", "published_at")}
+    return wrapped.select(
+        "ticker", *[F.try_variant_get(doc, path, "string").alias(name) for name, path in field.items()]
+    ).withColumn("published_at", F.col("published_at").cast("timestamp").cast("timestamp_ntz"))
+
+
+@query
+def zone_times(spark, sf):
+    """Instants as UTC and as the market's own wall-clock time."""
+    rows = table(spark, sf, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    return rows.select(
+        "event_id",
+        utc_naive(F.col("at")).alias("utc"),
+        local_naive(F.col("at"), F.lit("Asia/Tokyo")).alias("tokyo"),
+    )
+
+
+@query
+def message_more_fields(spark, sf):
+    """Keys of bars and fundamentals that are not in the usual lists."""
+    bars = hourly_bars(spark, sf).withColumn("Adj Close", F.col("Close") * 2)
+    facts = bars.groupBy("ticker").agg(F.max("High").alias("beta"), F.min("Low").alias("per"))
+    built = messages.build_messages(bars, HOURS, None, facts)
+    checked = messages.validate_messages(messages.parse_messages(built.drop("ticker")))
+    return messages.flatten_messages(
+        checked, more_bar_fields=["Adj Close"], more_fundamentals=["beta"]
+    ).select("ticker", "Date", "Close", F.col("Adj Close").alias("adjusted"), "per", "beta")
+
+
+@query
+def message_rejects(spark, sf):
+    """What is wrong with the messages that fail, error by error."""
+    checked = messages.validate_messages(messages.parse_messages(_event_messages(spark, sf)))
+    errors = messages.rejected_messages(checked).select(F.explode("errors").alias("e"))
+    return errors.groupBy(F.col("e.code").alias("code")).agg(F.count("*").alias("n"))
+
+
 @query
 def message_validation(spark, sf):
     checked = messages.validate_messages(messages.parse_messages(_event_messages(spark, sf)))

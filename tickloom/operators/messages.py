@@ -6,6 +6,8 @@ batch tables and streams.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -291,13 +293,24 @@ def rejected_messages(validated: DataFrame) -> DataFrame:
     return validated.filter(~F.col("is_valid")).drop("doc", "bars", "is_valid")
 
 
-def flatten_messages(validated: DataFrame, *keep: str) -> DataFrame:
+def flatten_messages(
+    validated: DataFrame,
+    *keep: str,
+    more_bar_fields: Sequence[str] = (),
+    more_fundamentals: Sequence[str] = (),
+) -> DataFrame:
     """One row per bar of the valid messages.
 
     Of bars with the same date in a message the first is kept. The message's
     fundamentals, name and sector are repeated on every bar. `keep` names
-    further columns of the input to carry along.
+    further columns of the input to carry along, `more_…` further numbers of a
+    bar or of the fundamentals; names such as "Adj Close" may hold spaces.
     """
+    elements = F.try_variant_get("doc", "$.ohlcv", "array<variant>")
+
+    def number(value: Column, name: str) -> Column:
+        return F.try_variant_get(value, f'$["{name}"]', "double").alias(name)
+
     def typed(bar: Column, index: Column) -> Column:
         def given(field: str, kind: str) -> Column:
             value = F.when(bar[field]["given"], bar[field]["value"]).try_cast(kind)
@@ -308,6 +321,7 @@ def flatten_messages(validated: DataFrame, *keep: str) -> DataFrame:
             index.alias("at"),
             *[given(c, "double").alias(c) for c in NUMBERS if c != "Volume"],
             given("Volume", "bigint").alias("Volume"),
+            *[number(F.try_element_at(elements, index + 1), c) for c in more_bar_fields],
         )
 
     facts = F.coalesce(
@@ -335,8 +349,8 @@ def flatten_messages(validated: DataFrame, *keep: str) -> DataFrame:
     return df.select(
         *keep,
         "ticker",
-        *[F.col(f"bar.{c}").alias(c) for c in BAR_FIELDS],
-        *[_get(F.col("facts"), name, "double").alias(name) for name in FUNDAMENTAL_VALUES],
+        *[F.col("bar")[c].alias(c) for c in [*BAR_FIELDS, *more_bar_fields]],
+        *[number(F.col("facts"), name) for name in [*FUNDAMENTAL_VALUES, *more_fundamentals]],
         "company_name",
         "sector",
     )
