@@ -10,8 +10,8 @@ Every kind contains a digit or an at sign, in the patterns and in the labels. So
 windows are laid over the stretches within a window's length of such a character;
 the rest of a text cannot hold a span. This depends on the characters alone.
 
-The sample: at most `SAMPLE` documents with a digit or an at sign, of at most
-`SAMPLE_CHARS` characters, the first by a hash of their id.
+The sample: at most `SAMPLE` documents with an id and a digit or an at sign, of at
+most `SAMPLE_CHARS` characters, the first by a hash of their id.
 
 Defined results: null text is empty and has no spans. Repeated rows and null ids are
 treated like any other. Without a sample nothing is added to the base spans. An
@@ -129,13 +129,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """Weights trained on the base spans of the sample; None where there is none."""
     shape = lstm_crf.Shape()
     text = F.col(text_col)
-    rows = (
-        docs.filter(text.rlike("[0-9@]") & (F.length(text) <= SAMPLE_CHARS))
-        .select(F.col(id_col).alias("doc_id"), text.alias("text"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-        .limit(SAMPLE)
-        .toArrow()
+    usable = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).filter(
+        F.col("doc_id").isNotNull()
+        & F.col("text").rlike("[0-9@]")
+        & (F.length("text") <= SAMPLE_CHARS)
     )
+    ids = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    rows = usable.join(F.broadcast(ids), "doc_id").orderBy("doc_id", "text").toArrow()
     chars, masks, tags = [], [], []
     for value in rows.column("text").to_pylist():
         codes = _codes(value)
