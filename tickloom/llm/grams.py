@@ -19,6 +19,8 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
+SLICE_BYTES = 2_000_000
+
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string array and the offset of each text; null is empty."""
@@ -114,7 +116,15 @@ class Words:
     @property
     def hash(self) -> np.ndarray:
         if self._hash is None:
-            self._hash = Rolling(byte_values(self.raw)).spans(self.start, self.end)
+            self._hash = np.empty(len(self.start), dtype=np.uint64)
+            first = 0
+            while first < len(self.start):  # some bytes at a time, as sums take eight each
+                a = self.start[first]
+                last = max(int(np.searchsorted(self.end, a + SLICE_BYTES, side="right")), first + 1)
+                some = slice(first, last)
+                rolling = Rolling(byte_values(self.raw[a : self.end[last - 1]]))
+                self._hash[some] = rolling.spans(self.start[some] - a, self.end[some] - a)
+                first = last
         return self._hash
 
     @property
@@ -137,9 +147,6 @@ def ranges(counts: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(before, counts)
 
 
-SLICE_BYTES = 2_000_000
-
-
 def slices(batch: pa.RecordBatch | pa.Table, ids: int = 0, texts: int = 1):
     """Ids (Arrow), bytes and offsets of runs of whole texts, each about `SLICE_BYTES` long.
 
@@ -161,3 +168,4 @@ def slices(batch: pa.RecordBatch | pa.Table, ids: int = 0, texts: int = 1):
                 offsets[begin : end + 1] - offsets[begin],
             )
             begin = end
+    pa.default_memory_pool().release_unused()  # workers are kept and would hold on to it

@@ -14,6 +14,8 @@ import numpy as np
 from tickloom.llm import grams
 
 GRAM_SIZES = (3, 4, 5)
+WINDOWS_AT_ONCE = 8_192
+WORDS_AT_ONCE = 20_000
 SEPARATORS = np.ones(256, dtype=bool)
 SEPARATORS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
@@ -49,8 +51,8 @@ def ngrams(raw: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int):
         key = np.full(len(at), n, dtype=np.uint64)
         for k in range(n):
             key = key * np.uint64(0x100000001B3) + text[at + k]
-        out.append((grams.mix(key) % np.uint64(buckets)).astype(np.int64))
-        owner.append(np.repeat(np.arange(len(start)), have))
+        out.append((grams.mix(key) % np.uint64(buckets)).astype(np.int32))
+        owner.append(np.repeat(np.arange(len(start), dtype=np.int32), have))
         counts += have
     order = np.argsort(np.concatenate(owner), kind="stable")
     return np.concatenate(out)[order], counts
@@ -78,11 +80,10 @@ class Text:
         self.owner = np.repeat(np.arange(len(per)), per)
         begin = grams.ranges(per) * shape.stride
         length = np.minimum(self.counts[self.owner] - begin, shape.window)
-        step = np.arange(shape.window)
-        self.mask = step < length[:, None]
-        at = np.where(self.mask, words.offsets[:-1][self.owner][:, None] + begin[:, None] + step, 0)
-        padding = len(self.hash)
-        self.windows = np.where(self.mask, self.word[at] if len(self.word) else padding, padding)
+        self.mask = np.arange(shape.window) < length[:, None]
+        self.windows = np.full(self.mask.shape, len(self.hash), dtype=np.int32)  # padding
+        at = np.repeat(words.offsets[:-1][self.owner] + begin, length) + grams.ranges(length)
+        self.windows[self.mask] = self.word[at]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -129,29 +130,39 @@ class Network:
         """Input vector of each distinct word."""
         w = self.weights
         mean = np.zeros((len(counts), self.shape.gram_dim), dtype=np.float32)
-        if len(gram):  # every word has n-grams, as its marks count
-            mean = np.add.reduceat(w["gram"][gram], np.cumsum(counts) - counts, axis=0)
-            mean /= counts[:, None].astype(np.float32)
+        ends = np.cumsum(counts)  # every word has n-grams, as its marks count
+        for a in range(0, len(counts), WORDS_AT_ONCE):
+            some = slice(a, a + WORDS_AT_ONCE)
+            begin = ends[a] - counts[a]
+            own = w["gram"][gram[begin : ends[some][-1]]]
+            mean[some] = np.add.reduceat(own, ends[some] - counts[some] - begin, axis=0)
+            mean[some] /= counts[some, None].astype(np.float32)
         return np.concatenate([w["word"][self.word_rows(hashes)], mean], axis=1)
 
     def logits(self, text: Text) -> np.ndarray:
         """One number per window of `text`."""
         w, h = self.weights, self.shape.hidden
         x = self.inputs(text.hash, text.grams, text.gram_counts)
-        steps = np.ascontiguousarray(text.windows.T)
-        longest = int(text.mask.any(axis=0).sum())
-        states = np.zeros((max(longest, 1), len(text.windows), 2 * h), dtype=np.float32)
-        for side, order in (("f", range(longest)), ("b", range(longest - 1, -1, -1))):
-            gates = np.concatenate(
-                [x @ w["in_" + side] + w["bias_" + side], np.zeros((1, 3 * h), np.float32)]
-            )
-            gates[-1, :h] = 30  # padding keeps the state
-            state = np.zeros((len(text.windows), h), dtype=np.float32)
-            column = slice(0, h) if side == "f" else slice(h, 2 * h)
-            for t in order:
-                state, _ = _step(gates[steps[t]], state, w["state_" + side], h)
-                states[t][:, column] = state
-        return self.pool(states, text.mask.T[: len(states)])[0]
+        gates = {}
+        for side in "fb":
+            own = x @ w["in_" + side] + w["bias_" + side]
+            gates[side] = np.concatenate([own, np.zeros((1, 3 * h), np.float32)])
+            gates[side][-1, :h] = 30  # padding keeps the state
+        out = np.empty(len(text.windows), dtype=np.float32)
+        for a in range(0, len(out), WINDOWS_AT_ONCE):
+            some = slice(a, a + WINDOWS_AT_ONCE)
+            mask = text.mask[some].T
+            mask = mask[: max(int(mask.any(axis=1).sum()), 1)]
+            steps = np.ascontiguousarray(text.windows[some].T)
+            states = np.empty((*mask.shape, 2 * h), dtype=np.float32)
+            for side, order in (("f", range(len(mask))), ("b", range(len(mask) - 1, -1, -1))):
+                state = np.zeros((mask.shape[1], h), dtype=np.float32)
+                column = slice(0, h) if side == "f" else slice(h, 2 * h)
+                for t in order:
+                    state, _ = _step(gates[side][steps[t]], state, w["state_" + side], h)
+                    states[t][:, column] = state
+            out[some] = self.pool(states, mask)[0]
+        return out
 
     def pool(self, states: np.ndarray, mask: np.ndarray):
         w = self.weights

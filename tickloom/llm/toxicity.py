@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from tickloom.llm import grams, gru
 from tickloom.llm.common import kept, only
 
-SAMPLE = {1: 1_500, 0: 4_500}
-SAMPLE_CHARS = 30_000
+SAMPLE = {1: 1_500, 0: 3_500}
+SAMPLE_CHARS = 20_000
 THRESHOLD = 0.7
 
 
