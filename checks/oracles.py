@@ -398,8 +398,7 @@ oracle("publish_stats", """WITH c AS (SELECT count(*) AS n, count(*) FILTER (eve
 oracle("json_props", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
  coalesce(json_extract_string(props, '$.missing'), 'none') AS missing FROM events""")
 
-oracle("bar_stream", f"""WITH {H} SELECT * FROM h
- WHERE [Date] + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 1 HOUR""")
+oracle("bar_stream", f"WITH {H} SELECT * FROM h")
 oracle("evaluation_stream", f"WITH {H}, {PART}, {DEC} SELECT * FROM dst")
 oracle("history_export", f"WITH {H} SELECT *, ticker AS safe_ticker FROM h")
 oracle("csv_export", f"WITH {H} SELECT * FROM h")

@@ -581,16 +581,18 @@ def message_stream(spark, sf):
 
 @query
 def bar_stream(spark, sf):
-    """Hourly bars from a stream of events, as far as the watermark closes them."""
+    """Hourly bars from a stream of events, and those the watermark still keeps open."""
     folder = f"{checkpoint_dir(spark)}/bar_stream_{uuid.uuid4().hex}"
     events = (
         spark.readStream.schema(table(spark, sf, "events").schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf)
     )
-    built = bar_streams.stream_bars(events, F.col("event_type"), F.col("ts"), F.col("value"))
+    fields = F.col("event_type"), F.col("ts"), F.col("value")
+    built = bar_streams.stream_bars(events, *fields)
     _drain(built.writeStream.format("parquet").option("path", f"{folder}/out"), folder)
-    return spark.read.parquet(f"{folder}/out")
+    emitted = spark.read.schema(built.schema).parquet(f"{folder}/out")
+    return bar_streams.with_open_bars(emitted, table(spark, sf, "events"), *fields)
 
 
 @query

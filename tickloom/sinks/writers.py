@@ -88,12 +88,13 @@ def replace_serving(spark: SparkSession, rows: DataFrame, table: str) -> int:
     return spark.table(table).count()
 
 
-def publish(messages: DataFrame, path: str) -> DataFrame:
-    """Append messages to a queue folder as `key, value` rows.
+def publish(messages: DataFrame, path: str, batch: str) -> DataFrame:
+    """Put messages into a queue folder as `key, value` rows of one named batch.
 
-    Returns the messages with `sent`: a message goes out if it is valid JSON.
+    A batch that is published again after a failure replaces itself. Returns the
+    messages with `sent`: a message goes out if it is valid JSON.
     """
     status = messages.withColumn("sent", F.try_parse_json("value").isNotNull())
     rows = status.filter("sent").select(F.col("ticker").alias("key"), "value")
-    rows.write.mode("append").parquet(path)
+    rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
     return status

@@ -41,6 +41,21 @@ def stream_bars(
     return bars.select("ticker", date, "Open", "High", "Low", "Close", "Volume")
 
 
+def with_open_bars(
+    emitted: DataFrame, rows: DataFrame, ticker: Column, ts: Column, price: Column, width: str = "1 hour"
+) -> DataFrame:
+    """The bars a finished stream has emitted, and those the watermark still kept open.
+
+    Open windows are younger than the last emitted one, so only the newest of the
+    stored `rows` are read for them, as a batch.
+    """
+    last = emitted.agg(F.max("Date")).scalar()
+    newest = rows.filter(last.isNull() | (ts.cast("timestamp_ntz") >= last))
+    built = stream_bars(newest, ticker, ts, price, width)
+    still_open = built.join(emitted.select("ticker", "Date"), ["ticker", "Date"], "left_anti")
+    return emitted.unionByName(still_open)
+
+
 def first_bars(bars: DataFrame, late: str = "2 days") -> DataFrame:
     """Drop repeats of a (ticker, Date) across messages, within a watermark."""
     return (
