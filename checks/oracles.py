@@ -76,13 +76,13 @@ def mean(n: int, full: bool = False, places: int | None = 2) -> str:
 
 
 def chain(source: str, sma=(5, 20, 50, 200), cross=(20, 50), full=False, band_round=True,
-          floor: float | None = 0.001, rounded=True, keep="") -> str:
+          floor: float | None = 0.001, rounded=True, keep="", rsi_bars=14, band_bars=20) -> str:
     """CTEs `ind` (indicators) over bars `source`."""
     show = rnd if rounded else (lambda e, p=2: f"({e})")
-    means = sorted({*sma, *cross, 20})
+    means = sorted({*sma, *cross, band_bars})
     smas = ", ".join(f"{mean(n, full, 2 if rounded else None)} AS s{n}" for n in means)
     a, b = cross
-    f14 = frame(14)
+    f14, bands = frame(rsi_bars), frame(band_bars)
     if floor is None:
         rsi = ("CASE WHEN l14 = 0 AND g14 > 0 THEN 100.0::DOUBLE "
                "ELSE 100 - 100 / (1 + (g14 / 100.0::DOUBLE) / nullif(l14 / 100.0::DOUBLE, 0)) END")
@@ -91,8 +91,8 @@ def chain(source: str, sma=(5, 20, 50, 200), cross=(20, 50), full=False, band_ro
                f"(CASE WHEN l14 = 0 THEN {floor}::DOUBLE ELSE l14 / 100.0::DOUBLE / n14 END))")
     rsi = show(rsi)
     if full:
-        rsi = f"CASE WHEN n14 = 14 THEN {rsi} END"
-    std = f"CASE WHEN n20 >= {20 if full else 1} THEN sd END"
+        rsi = f"CASE WHEN n14 = {rsi_bars} THEN {rsi} END"
+    std = f"CASE WHEN n20 >= {band_bars if full else 1} THEN sd END"
     if band_round:
         std = rnd(std)
     return q(f"""m0 AS (SELECT *, {CENTS} FROM {source}),
@@ -100,15 +100,15 @@ m1 AS (SELECT *, m - lag(m) OVER {W} AS d, lag([Close]) OVER {W} AS pc FROM m0),
 m2 AS (SELECT *, {smas},
   sum(CASE WHEN d > 0 THEN d ELSE 0 END) OVER {f14} AS g14,
   sum(CASE WHEN d < 0 THEN -d ELSE 0 END) OVER {f14} AS l14,
-  count(*) OVER {f14} AS n14, count(m) OVER {frame(20)} AS n20,
-  stddev_samp([Close]) OVER {frame(20)} AS sd FROM m1),
+  count(*) OVER {f14} AS n14, count(m) OVER {bands} AS n20,
+  stddev_samp([Close]) OVER {bands} AS sd FROM m1),
 m3 AS (SELECT *, lag(s{a}) OVER {W} AS pa, lag(s{b}) OVER {W} AS pb, {std} AS bsd FROM m2),
 ind AS (SELECT ticker, [Date], [Close], {keep}
   {", ".join(f"s{n} AS sma_{n}" for n in sma)},
   coalesce(s{a} > s{b} AND pa <= pb, false) AS golden_cross,
   coalesce(s{a} < s{b} AND pa >= pb, false) AS dead_cross,
-  {rsi} AS rsi_14,
-  {show("s20 + 2 * bsd")} AS bb_upper, {show("s20 - 2 * bsd")} AS bb_lower,
+  {rsi} AS rsi_{rsi_bars},
+  {show(f"s{band_bars} + 2 * bsd")} AS bb_upper, {show(f"s{band_bars} - 2 * bsd")} AS bb_lower,
   {show("([Close] - pc) * 100 / nullif(pc, 0)")} AS daily_return_pct FROM m3)""")
 
 
@@ -178,6 +178,9 @@ UNG = chain("h", full=True, band_round=False, floor=None, rounded=False)
 oracle("rsi_unguarded", f"WITH {H}, {UNG} SELECT ticker, [Date], {rnd('rsi_14', 6)} AS rsi_14 FROM ind")
 oracle("bollinger_partial", f"WITH {H}, {PART} SELECT ticker, [Date], bb_upper, bb_lower FROM ind")
 oracle("bollinger_full", f"WITH {H}, {FULL} SELECT ticker, [Date], bb_upper, bb_lower FROM ind")
+OTHER = chain("h", sma=(3, 10), cross=(3, 10), full=True, band_round=False, rsi_bars=7, band_bars=12)
+oracle("other_periods", f"""WITH {H}, {OTHER}
+ SELECT ticker, [Date], sma_3, sma_10, golden_cross, dead_cross, rsi_7, bb_upper, bb_lower FROM ind""")
 oracle("daily_returns", f"WITH {H}, {PART} SELECT ticker, [Date], daily_return_pct FROM ind")
 oracle("returns", f"""WITH {DB} SELECT ticker, [Date], """ + ", ".join(
     rnd(f"[Close] / nullif(lag([Close], {k}) OVER {W}, 0) - 1", 6) + f" AS return_{k}" for k in (1, 5, 20)) + " FROM db")

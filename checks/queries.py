@@ -210,6 +210,16 @@ def bollinger_full(spark, sf):
     return _indicators(spark, sf, FULL).select("ticker", "Date", "bb_upper", "bb_lower")
 
 
+@query
+def other_periods(spark, sf):
+    spec = IndicatorSpec(
+        sma=(3, 10), cross=(3, 10), rsi=7, bands=12, full_windows=True, round_band_std=False
+    )
+    return indicators.indicators(hourly_bars(spark, sf), HOURS, spec).select(
+        "ticker", "Date", "sma_3", "sma_10", "golden_cross", "dead_cross", "rsi_7", "bb_upper", "bb_lower"
+    )
+
+
 @query
 def daily_returns(spark, sf):
     return _indicators(spark, sf, PARTIAL).select("ticker", "Date", "daily_return_pct")
