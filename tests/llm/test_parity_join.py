@@ -81,17 +81,24 @@ def test_bands_of_linked_sets_are_neighbours():
                 assert classes[low] - equal[low] >= rule.difference(a + b)
 
 
-def test_hamming_distance_never_exceeds_the_difference(prose):
-    a, b = (shingles(prose(200, s), 3) for s in (1, 1))
+def test_hamming_distance_never_exceeds_the_difference():
     rng = np.random.default_rng(3)
     for _ in range(50):
         one = rng.integers(0, 2**63, 300, dtype=np.uint64)
         two = np.concatenate([one[20:], rng.integers(0, 2**63, 9, dtype=np.uint64)])
-        k = np.array([40])
-        words = [parity_join._parity(x, np.array([len(x)]), k) for x in (one, two)]
-        far = np.bitwise_count((words[0] ^ words[1]) & parity_join.FLIPS).sum()
-        assert far <= 29
-    assert a == b
+        words = [parity_join._flips(x, np.array([len(x)]), np.array([4])) for x in (one, two)]
+        assert np.bitwise_count(words[0] ^ words[1]).sum() <= 29
+        classes = [parity_join._classes(x, np.array([len(x)]), np.array([40])) for x in (one, two)]
+        assert (classes[0] != classes[1]).sum() <= 29
+
+
+def test_keys_survive_packing():
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 2**40, 90_000, dtype=np.uint64)
+    for documents in (5, 80_000):
+        docs = rng.integers(-(2**62), 2**62, documents)[rng.integers(0, documents, len(keys))]
+        got = parity_join._unpacked(*parity_join._packed(keys, docs))
+        assert np.array_equal(got[0], keys) and np.array_equal(got[1], docs)
 
 
 def test_one_of_each_component_stays(make_docs, rows):

@@ -1,12 +1,12 @@
 """N-gram Jaccard join by parity sketches.
 
-A text is the set of its word shingles. A sketch has one 64-bit word per class of
-shingles. Each shingle flips one of 32 bits of its class, so the Hamming distance of
-these bits never exceeds the size of the symmetric difference of two sets; the other
-32 bits are the XOR of shingle hashes and tell unlike classes apart. Sets that are
-similar enough differ in at most d shingles, so with more than d classes some words
-are equal: documents of a size band meet on equal words (pigeonhole), pass if the
-Hamming distance allows it, and are verified on the sets themselves.
+A text is the set of its word shingles. Two parity sketches are made of it. In the
+long one, each shingle flips one bit, so the Hamming distance of two sketches never
+exceeds the symmetric difference of the sets. In the short one, shingles are dealt
+into classes and a class is the XOR of its shingles' hashes. Sets that are similar
+enough differ in at most d shingles, so with more than d classes some are equal:
+documents of a size band meet on equal classes (pigeonhole), pass if the Hamming
+distance allows it, and are verified on the sets themselves.
 
 Equal sets are one class from the start. Within a group of equal words only a
 spanning forest of the pairs that may link goes on to verification. A group with a
@@ -38,7 +38,7 @@ from tickloom.llm.components import components
 BLOCK = 2_000
 SIZES = "doc_id long, n long, s1 long, s2 long"
 SKETCH = "doc_id long, n long, band int, words binary"
-FLIPS = np.uint64(0xFFFFFFFF00000000)  # the bits that bound the difference
+FLIP_BITS = 16  # bits of the long sketch per shingle that may differ
 
 
 @dataclass(frozen=True)
@@ -105,15 +105,24 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return (total[ends] - total[ends - counts]).view(np.int64)
 
 
-def _parity(hashes: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Sketch words of all texts, one after the other; `classes` words each."""
+def _classes(hashes: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The short sketches of all texts, one after the other; `classes` words each."""
     owner = np.repeat(np.arange(len(counts)), counts)
     before = np.cumsum(classes) - classes
     word = (hashes % classes.astype(np.uint64)[owner]).astype(np.int64) + before[owner]
-    mixed = grams.mix(hashes.copy())
-    flip = np.uint64(1) << ((mixed >> np.uint64(59)) + np.uint64(32))
     out = np.zeros(int(classes.sum()), dtype=np.uint64)
-    np.bitwise_xor.at(out, word, flip ^ (mixed & ~FLIPS))
+    np.bitwise_xor.at(out, word, grams.mix(hashes.copy()))
+    return out
+
+
+def _flips(hashes: np.ndarray, counts: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The long sketches of all texts, one after the other; `words` words of 64 bits each."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    before = np.cumsum(words) - words
+    bit = grams.mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) % (64 * words.astype(np.uint64))[owner]
+    out = np.zeros(int(words.sum()), dtype=np.uint64)
+    word = (bit >> np.uint64(6)).astype(np.int64) + before[owner]
+    np.bitwise_xor.at(out, word, np.uint64(1) << (bit & np.uint64(63)))
     return out
 
 
@@ -132,29 +141,30 @@ def sizes(docs: DataFrame, rule: Similarity, id_col: str, text_col: str) -> Data
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SIZES)
 
 
-def _sketches(batch: pa.RecordBatch, rule: Similarity):
-    """Ids, sizes, bands, words and numbers of words: once for the own band, once for that below."""
+def _banded(batch: pa.RecordBatch, rule: Similarity):
+    """Ids, sizes, bands and shingles of texts: once for the own band, once for that below."""
     first = rule.bands()
-    classes, _ = rule.classes(first)
     for ids, raw, offsets in grams.slices(batch):
         hashes, n = shingles(raw, offsets, rule.words)
         ends = np.cumsum(n)
         band = np.searchsorted(first, n, side="right") - 1
+        doc = ids.to_numpy(zero_copy_only=False).astype(np.int64)
         for step in (0, 1):
             use = np.flatnonzero((n > 0) & (band >= step))
             mine = hashes[np.repeat((ends - n)[use], n[use]) + grams.ranges(n[use])]
-            k = classes[band[use] - step]
-            doc = ids.to_numpy(zero_copy_only=False)[use].astype(np.int64)
-            yield doc, n[use], band[use] - step, _parity(mine, n[use], k), k
+            yield doc[use], n[use], band[use] - step, mine
 
 
 def sketches(docs: DataFrame, rule: Similarity) -> DataFrame:
-    """`doc_id, n, band, words` of every document (`doc_id`, `text`)."""
+    """`doc_id, n, band, words`: long sketches of every document (`doc_id`, `text`)."""
+    classes, spare = rule.classes(rule.bands())
+    length = FLIP_BITS * (classes - spare) // 64 + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, n, band, words, k in _sketches(batch, rule):
-                ends = np.cumsum(k)
+            for doc, n, band, hashes in _banded(batch, rule):
+                k = length[band]
+                words, ends = _flips(hashes, n, k), np.cumsum(k)
                 cut = [words[e - c : e].tobytes() for c, e in zip(k, ends)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -169,60 +179,89 @@ def sketches(docs: DataFrame, rule: Similarity) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
 
 
+KEY_BYTES = 5  # four of a hash, one of the band
+BAND = np.uint64(255)
+
+
+def _packed(keys: np.ndarray, docs: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Short keys, the distinct documents, and for each key the place of its document."""
+    short = np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+    ids, place = np.unique(docs, return_inverse=True)
+    return short.tobytes(), ids.tobytes(), place.astype(_place_kind(len(ids))).tobytes()
+
+
+def _place_kind(ids: int):
+    return np.uint16 if ids <= 2**16 else np.uint32
+
+
+def _unpacked(keys: bytes, ids: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
+    short = np.frombuffer(keys, np.uint8).reshape(-1, KEY_BYTES)
+    wide = np.zeros((len(short), 8), dtype=np.uint8)
+    wide[:, :KEY_BYTES] = short
+    ids = np.frombuffer(ids, np.int64)
+    return wide.view(np.uint64).ravel(), ids[np.frombuffer(places, _place_kind(len(ids)))]
+
+
 def candidate_groups(docs: DataFrame, rule: Similarity, parts: int) -> DataFrame:
-    """`band, members`: documents that share a sketch word, or a block pair of them."""
-    _, equal = rule.classes(rule.bands())
+    """`band, members`: documents that share a class, or a block pair of them."""
+    classes, equal = rule.classes(rule.bands())
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, _, band, words, k in _sketches(batch, rule):
+            for ids, n, band, hashes in _banded(batch, rule):
+                k = classes[band]
+                words = _classes(hashes, n, k)
                 owner = np.repeat(np.arange(len(ids)), k)
                 zero = words == 0
-                # If all equal words are empty, both sides have at least so many.
+                # If all equal classes are empty, both sides have at least so many.
                 many = np.bincount(owner[zero], minlength=len(ids)) >= equal[band]
                 use = ~zero | many[owner]
                 place = grams.ranges(k).astype(np.uint64) * np.uint64(2654435761)
                 mixed = grams.mix(words + grams.mix(place + band.astype(np.uint64)[owner]))
-                key = (mixed & ~np.uint64(255)) | band.astype(np.uint64)[owner]
+                key = (mixed & ~BAND) | band.astype(np.uint64)[owner]
                 key, doc = key[use], ids[owner[use]]
-                part = ((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+                part = ((key >> np.uint64(8 * KEY_BYTES)) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 key, doc, part = key[order], doc[order], part[order]
                 cuts = np.flatnonzero(np.diff(part, prepend=-1))
                 ends = np.append(cuts[1:], len(part))[: len(cuts)]
+                packed = [_packed(key[a:b], doc[a:b]) for a, b in zip(cuts, ends)]
+                columns = [pa.array([x[i] for x in packed], pa.binary()) for i in range(3)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(part[cuts], pa.int32()),
-                        pa.array([key[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                        pa.array([doc[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                    ],
-                    ["part", "keys", "docs"],
+                    [pa.array(part[cuts], pa.int32()), *columns], ["part", "keys", "ids", "places"]
                 )
 
     def meet(table: pa.Table) -> pa.Table:
-        key = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype=np.uint64)
-        doc = np.frombuffer(b"".join(table.column("docs").to_pylist()), dtype=np.int64)
+        rows = zip(*(table.column(c).to_pylist() for c in ("keys", "ids", "places")))
+        pairs = [_unpacked(*row) for row in rows]
+        key = np.concatenate([p[0] for p in pairs])
+        doc = np.concatenate([p[1] for p in pairs])
         order = np.lexsort((doc, key))
         key, doc = key[order], doc[order]
         cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         ends = np.append(cuts[1:], len(key))
         found = set()
         for a, b in zip(cuts[ends - cuts > 1], ends[ends - cuts > 1]):
-            members, band = np.unique(doc[a:b]), int(key[a] & np.uint64(255))
+            members, band = np.unique(doc[a:b]), int(key[a] & BAND)
             blocks = [members[i : i + BLOCK] for i in range(0, len(members), BLOCK)]
             if len(members) > 1 and len(blocks) == 1:
                 found.add((band, members.tobytes()))
             for i in range(len(blocks)):
                 for j in range(i + 1, len(blocks)):
                     found.add((band, np.concatenate([blocks[i], blocks[j]]).tobytes()))
-        return pa.table(
+        out = pa.table(
             {
                 "band": pa.array([f[0] for f in found], pa.int32()),
                 "members": pa.array([f[1] for f in found], pa.binary()),
             }
         )
+        del pairs, key, doc, order, cuts, ends, found
+        grams.settle()
+        return out
 
-    packed = docs.select("doc_id", "text").mapInArrow(keys, "part int, keys binary, docs binary")
+    packed = docs.select("doc_id", "text").mapInArrow(
+        keys, "part int, keys binary, ids binary, places binary"
+    )
     return packed.groupBy("part").applyInArrow(meet, "band int, members binary").distinct()
 
 
@@ -242,7 +281,7 @@ def _pairs(words, n, yes, no, tries: int, rule: Similarity) -> list[tuple[int, i
         rest = np.flatnonzero(group[i + 1 :] != group[i]) + i + 1
         if not len(rest):
             continue
-        far = np.bitwise_count((words[rest] ^ words[i]) & FLIPS).sum(axis=1, dtype=np.int64)
+        far = np.bitwise_count(words[rest] ^ words[i]).sum(axis=1, dtype=np.int64)
         may = far <= rule.difference(n[rest] + n[i])
         if i in refused:
             may &= ~np.isin(rest, refused[i])
@@ -349,14 +388,18 @@ def verify(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            x_all, x_at = grams.text_bytes(batch.column(2))
+            y_all, y_at = grams.text_bytes(batch.column(3))
+            for i in range(batch.num_rows):
+                x = x_all[x_at[i] : x_at[i + 1]].view(np.uint64)
+                y = y_all[y_at[i] : y_at[i + 1]].view(np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(rule.parts * both >= rule.needed * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())],
                 ["a", "b", "linked"],
             )
+            grams.settle()
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y"))
@@ -378,7 +421,7 @@ def jaccard_classes(
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     texts = texts.filter("doc_id is not null")
     single = only(texts, kept(copies.distinct()), "left_anti")
-    parts = 2 * shuffle_partitions(docs.sparkSession)
+    parts = shuffle_partitions(docs.sparkSession)
     groups = kept(
         candidate_groups(single, rule, parts).withColumn("gid", F.xxhash64("band", "members"))
     )
