@@ -13,7 +13,17 @@ from tickloom.session import use_checkpoints
 SPACES = " \t\n\x0b\f\r"
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold 2,000 rows, as rows are whole texts, unless the cluster says more."""
+    if not spark.sparkContext.getConf().contains(BATCH):
+        spark.conf.set(BATCH, 2_000)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -20,7 +20,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +30,7 @@ from tickloom.llm.common import worker_state
 CAPACITY = 1024
 GROUP_ROWS = 40_000  # documents of a packing group, on average
 GROUPS = 1 << 38
-CACHED_WORDS = 3_000_000  # of some 40 bytes
+CACHED_WORDS = 800_000  # of some 40 bytes
 PIECE = "group long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -232,21 +231,22 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     A group makes fewer than 2**24 sequences; its number is the upper part of their ids.
     """
-    schema = pieces.drop("group")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema.fields)
-
-    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        group = int(pdf["group"].iloc[0])
-        pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True])
-        bins, offsets = place(pdf["length"].to_numpy(), capacity)
-        pdf["sequence_id"] = (group << 24) + bins
-        pdf["offset"] = offsets
-        return pdf.drop(columns="group")
-
-    return pieces.groupBy("group").applyInPandas(
-        packed, fields + ", sequence_id long, offset long"
+    fields = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields if f.name != "group"
     )
 
+    def packed(table: pa.Table) -> pa.Table:
+        group = table.column("group")[0].as_py()
+        length = table.column("length").to_numpy()
+        doc = table.column("doc_id").fill_null(np.iinfo(np.int64).max).to_numpy()
+        order = np.lexsort((table.column("piece").to_numpy(), doc, -length))
+        bins, offsets = place(length[order], capacity)
+        table = table.drop_columns("group").take(pa.array(order))
+        table = table.append_column("sequence_id", pa.array((group << 24) + bins))
+        return table.append_column("offset", pa.array(offsets))
+
+    return pieces.groupBy("group").applyInArrow(packed, fields + ", sequence_id long, offset long")
+
 
 def neighbours(docs: DataFrame, group_rows: int = GROUP_ROWS) -> Column:
     """A group for rows that stand together in the files `docs` is read from."""
