@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 from llm_helpers import make_docs, prose, smallest_reachable  # noqa: F401
+from pyspark.sql import functions as F
 
 from tickloom.llm import parity_join
 from tickloom.llm.parity_join import Similarity, drop_similar, jaccard_classes
@@ -70,6 +71,40 @@ def test_split_groups_lose_no_link(make_docs, rows, monkeypatch):
     assert got(jaccard_classes(make_docs(rows))) == expected(rows, Similarity())
 
 
+def test_rows_beyond_the_named_ones_are_verified(spark, make_docs, monkeypatch):
+    """Document 1 links with eight at distance 8 and with document 10 at distance 10.
+
+    The sketch of document 0 collides with that of document 1, so all its pairs are refuted.
+    """
+    words = [f"v{i}" for i in range(102)]
+    spans = [(at, 2) for at in range(5, 85, 10)] + [(92, 3)]
+    edited = [words[:at] + [f"e{at}-{i}" for i in range(n)] + words[at + n :] for at, n in spans]
+    rows = list(enumerate(" ".join(w) for w in [[f"x{i}" for i in range(102)], words, *edited]))
+    rule, real = Similarity(), parity_join.sketches
+
+    def collided(docs, rule):
+        found = real(docs, rule)
+        other = found.filter("doc_id = 1").select("band", F.col("words").alias("w"))
+        words = F.when(F.col("doc_id") == 0, F.col("w")).otherwise(F.col("words"))
+        return found.join(other, "band").select("doc_id", "n", "band", words.alias("words"))
+
+    def one_group(docs, rule, parts):
+        band = int(np.searchsorted(rule.bands(), 100, side="right")) - 1
+        members = bytearray(np.arange(len(rows)).tobytes())
+        return docs.sparkSession.createDataFrame([(band, members)], "band int, members binary")
+
+    monkeypatch.setattr(parity_join, "sketches", collided)
+    monkeypatch.setattr(parity_join, "candidate_groups", one_group)
+    want = expected(rows, rule)
+    assert [top for _, top in want.values()] == [0] + [1] * 10
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # rows of the group in order
+    try:
+        assert got(jaccard_classes(make_docs(rows), rule)) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
 def test_bands_of_linked_sets_are_neighbours():
     for rule in (Similarity(), Similarity(5, 80, 100)):
         first = rule.bands()

@@ -10,9 +10,9 @@ distance allows it, and are verified on the sets themselves.
 
 Equal sets are one class from the start. Within a group of equal words only a
 spanning forest of the pairs that may link goes on to verification. A group with a
-refuted pair tries again with the next nearest pairs of what is not connected yet,
-until none is left. So no link between components is lost, and a group emits no
-pairs within what is connected.
+refuted pair tries again with the next nearest pairs of what is not connected yet, as
+does a group with a row that had more of them than it named, until none is left. So no
+link between components is lost, and a group emits no pairs within what is connected.
 Groups beyond `BLOCK` members are worked through in pairs of blocks.
 
 Defined results: null text, or text without words, has an empty set and links with
@@ -265,10 +265,13 @@ def candidate_groups(docs: DataFrame, rule: Similarity, parts: int) -> DataFrame
     return packed.groupBy("part").applyInArrow(meet, "band int, members binary").distinct()
 
 
-def _pairs(words, n, yes, no, tries: int, rule: Similarity) -> list[tuple[int, int]]:
+def _pairs(
+    words, n, yes, no, tries: int, rule: Similarity
+) -> tuple[list[tuple[int, int]], bool]:
     """Pairs of rows that may link and would join what `yes` has not joined yet.
 
     With one try they are a forest; with more, a row names so many of its nearest.
+    Also whether some row had more than it named.
     """
     group = np.arange(len(n))
     for i, j in yes:
@@ -276,7 +279,7 @@ def _pairs(words, n, yes, no, tries: int, rule: Similarity) -> list[tuple[int, i
     refused: dict[int, list[int]] = {}
     for i, j in no:
         refused.setdefault(min(i, j), []).append(max(i, j))
-    out = []
+    out, more = [], False
     for i in range(len(n) - 1):
         rest = np.flatnonzero(group[i + 1 :] != group[i]) + i + 1
         if not len(rest):
@@ -287,6 +290,7 @@ def _pairs(words, n, yes, no, tries: int, rule: Similarity) -> list[tuple[int, i
             may &= ~np.isin(rest, refused[i])
         rest, far = rest[may], far[may]
         if tries > 1:
+            more |= len(rest) > tries
             out.extend((i, int(j)) for j in rest[np.argsort(far, kind="stable")[:tries]])
             continue
         while len(rest):
@@ -295,11 +299,14 @@ def _pairs(words, n, yes, no, tries: int, rule: Similarity) -> list[tuple[int, i
             group[group == group[j]] = group[i]
             apart = group[rest] != group[i]
             rest, far = rest[apart], far[apart]
-    return out
+    return out, more
 
 
 def pairs_to_verify(groups: DataFrame, rows: DataFrame, checked, tries: int, rule: Similarity):
-    """`gid, a, b` with a < b: what each group wants to have verified next."""
+    """`gid, a, b, more` with a < b: what each group wants to have verified next.
+
+    `more` says that the group has further pairs to name even if all of these link.
+    """
     unpacked = groups.mapInArrow(_unpack, "gid long, band int, doc_id long")
     members = unpacked.join(rows, ["doc_id", "band"])
     if checked is None:
@@ -313,6 +320,7 @@ def pairs_to_verify(groups: DataFrame, rows: DataFrame, checked, tries: int, rul
         members = members.join(results, "doc_id", "left")
 
     def choose(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id")
         doc = table.column("doc_id").to_pylist()
         at = {d: i for i, d in enumerate(doc)}
         words = np.stack([np.frombuffer(w, np.uint64) for w in table.column("words").to_pylist()])
@@ -326,21 +334,20 @@ def pairs_to_verify(groups: DataFrame, rows: DataFrame, checked, tries: int, rul
             for side in ("yes", "no")
         }
         sizes = table.column("n").to_numpy()
-        pairs = [
-            sorted((doc[i], doc[j]))
-            for i, j in _pairs(words, sizes, known["yes"], known["no"], tries, rule)
-        ]
+        chosen, more = _pairs(words, sizes, known["yes"], known["no"], tries, rule)
+        pairs = [sorted((doc[i], doc[j])) for i, j in chosen]
         gid = table.column("gid")[0].as_py()
         return pa.table(
             {
                 "gid": pa.array([gid] * len(pairs), pa.int64()),
                 "a": pa.array([p[0] for p in pairs], pa.int64()),
                 "b": pa.array([p[1] for p in pairs], pa.int64()),
+                "more": pa.array([more] * len(pairs), pa.bool_()),
             }
         )
 
     columns = members.select("gid", "doc_id", "n", "words", "yes", "no")
-    return columns.groupBy("gid").applyInArrow(choose, "gid long, a long, b long")
+    return columns.groupBy("gid").applyInArrow(choose, "gid long, a long, b long, more boolean")
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,9 +448,10 @@ def jaccard_classes(
         sets = sets_of(texts, ids, rule)
         new = kept(verify(pairs, sets, rule))
         checked = new if checked is None else kept(checked.union(new))
-        # a group all of whose pairs link is connected; the others try again
-        refuted = wanted.join(checked.filter("not linked"), ["a", "b"]).select("gid").distinct()
-        left = kept(left.join(refuted, "gid", "left_semi"))
+        # a group that named all its pairs is connected if they link; the others try again
+        refuted = wanted.join(checked.filter("not linked"), ["a", "b"]).select("gid")
+        again = refuted.union(wanted.filter("more").select("gid")).distinct()
+        left = kept(left.join(again, "gid", "left_semi"))
         if left.isEmpty():
             break
         tries *= 8
