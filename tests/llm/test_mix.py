@@ -4,7 +4,7 @@ import pytest
 from llm_helpers import clashing  # noqa: F401
 from pyspark.sql import functions as F
 
-from tickloom.llm.mix import mix_sources, mixed, one_period, phases, whole_weights
+from tickloom.llm.mix import mix_sources, mixed, one_period, phases, schedule, whole_weights
 
 
 def simulated(weights, slots):
@@ -55,6 +55,31 @@ def test_whole_weights_need_positive_shares():
         whole_weights({"a": 1, "b": 0})
 
 
+def furthest(blocks, weights):
+    """Largest distance from the given shares until the first source runs out, in blocks."""
+    total, slots = sum(weights.values()), schedule(blocks, whole_weights(weights))
+    assert sorted(s for mine in slots.values() for s in mine) == list(range(sum(blocks.values())))
+    end = min(mine[-1] for mine in slots.values())
+    return max(
+        abs(i + after - (s + after) * weights[k] / total)
+        for k, mine in slots.items()
+        for i, s in enumerate(mine)
+        for after in (0, 1)
+        if s <= end
+    )
+
+
+def test_shares_hold_over_many_slots():
+    weights = {f"s{i}": float((1_000 + 977 * i) ** 0.7) for i in range(20)}
+    total = sum(weights.values())
+    assert furthest({k: int(60_000 * w / total) for k, w in weights.items()}, weights) < 1
+
+
+def test_many_small_sources_keep_their_weights():
+    weights = {f"s{i}": 1.0 + i / 100 for i in range(2_000)}
+    assert furthest({k: int(10 * w) for k, w in weights.items()}, weights) < 1
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     rows = [(i, "x" * (i % 50), "hot" if i % 3 == 0 else f"s{i % 4}") for i in range(1_200)]

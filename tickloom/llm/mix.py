@@ -3,9 +3,9 @@
 A source is a run of blocks of equal volume. With weight w its block i is released
 at slot floor(i / w) and due at slot ceil((i + 1) / w); the earliest deadline among
 the released blocks gets the slot. So at every slot each source is less than one
-block away from its share. Weights are whole numbers, so the order repeats after
-their sum: one period is worked out on the driver, and the slot of any block
-follows from it by arithmetic, in parallel.
+block away from its share. Weights are brought to whole numbers without rounding, so
+the order repeats after their sum. The driver works out one period, or all slots of
+a phase that ends before, a step a block; documents look up the slot of their block.
 
 When a source runs out, a new phase begins: the others go on in their proportions.
 Every document is placed once; none is dropped or repeated.
@@ -24,8 +24,11 @@ Extra columns are ignored.
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
+from collections.abc import Iterator
 from dataclasses import dataclass
-from math import gcd
+from fractions import Fraction
+from math import gcd, lcm
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,13 +36,16 @@ from pyspark.sql import functions as F
 BLOCK_CHARS = 200_000
 BUCKET_ROWS = 4_000
 FILE_ROWS = 10_000
-RESOLUTION = 1_000  # whole-number weights add up to about this
+PAGE_BLOCKS = 4_096  # blocks in one row of the plan
 MAX_SOURCES = 10_000
 
 
 @dataclass(frozen=True)
 class Phase:
-    """Slots from `begin`; source k owns `slots[k]` of each period, from block `first[k]`."""
+    """Slots from `begin`; source k owns `slots[k]` of each period, from block `first[k]`.
+
+    A phase shorter than its period has its own slots only.
+    """
 
     begin: int
     period: int
@@ -48,23 +54,35 @@ class Phase:
     slots: dict[str, list[int]]
 
 
-def whole_weights(weights: dict[str, float], resolution: int = RESOLUTION) -> dict[str, int]:
-    total = sum(weights.values())
+def whole_weights(weights: dict[str, float], resolution: int | None = None) -> dict[str, int]:
+    """Whole numbers in the same proportions; with `resolution`, rounded to add up to about it."""
     if not weights or min(weights.values()) <= 0:
         raise ValueError("weights must be positive")
-    whole = {k: max(1, round(w * resolution / total)) for k, w in weights.items()}
+    exact = {k: Fraction(w) for k, w in weights.items()}
+    if resolution is None:
+        shared = lcm(*(w.denominator for w in exact.values()))
+        whole = {k: int(w * shared) for k, w in exact.items()}
+    else:
+        total = sum(exact.values())
+        whole = {k: max(1, round(w * resolution / total)) for k, w in exact.items()}
     shared = gcd(*whole.values())
     return {k: w // shared for k, w in whole.items()}
 
 
-def one_period(weights: dict[str, int]) -> dict[str, list[int]]:
-    """Slots of each source in one period, earliest deadline first, then by name."""
+def one_period(
+    weights: dict[str, int], blocks: dict[str, int] | None = None
+) -> dict[str, list[int]]:
+    """Slots of each source in one period, earliest deadline first, then by name.
+
+    Ends early when a source has had its `blocks`.
+    """
     period = sum(weights.values())
     waiting = [(0, k, 0) for k in sorted(weights)]  # release, source, block
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []  # deadline, source, block
     slots: dict[str, list[int]] = {k: [] for k in weights}
-    for slot in range(period):
+    slot = 0
+    while slot < period:
         while waiting and waiting[0][0] <= slot:
             _, k, i = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(i + 1) * period // weights[k]), k, i))
@@ -72,28 +90,49 @@ def one_period(weights: dict[str, int]) -> dict[str, list[int]]:
         if due <= slot:
             raise AssertionError("a deadline was missed")
         slots[k].append(slot)
+        slot += 1
+        if blocks and i + 1 == blocks[k]:
+            break
         if i + 1 < weights[k]:
             heapq.heappush(waiting, ((i + 1) * period // weights[k], k, i + 1))
     return slots
 
 
-def phases(blocks: dict[str, int], weights: dict[str, int]) -> list[Phase]:
-    """The schedule of `blocks[k]` blocks per source; at most one phase per source."""
+def _phases(blocks: dict[str, int], weights: dict[str, int]) -> Iterator[Phase]:
     done = dict.fromkeys(blocks, 0)
-    begin, out = 0, []
+    begin = 0
     while live := {k: weights[k] for k in blocks if done[k] < blocks[k]}:
-        slots, period = one_period(live), sum(live.values())
+        left = {k: blocks[k] - done[k] for k in live}
+        slots, period = one_period(live, left), sum(live.values())
 
         def last(k: str) -> int:
-            rounds, rest = divmod(blocks[k] - done[k] - 1, live[k])
+            rounds, rest = divmod(left[k] - 1, live[k])
             return rounds * period + slots[k][rest] + 1
 
-        length = min(map(last, live))
-        out.append(Phase(begin, period, length, {k: done[k] for k in live}, slots))
+        worked_out = sum(map(len, slots.values()))
+        length = worked_out if worked_out < period else min(map(last, live))
+        yield Phase(begin, period, length, {k: done[k] for k in live}, slots)
         rounds, rest = divmod(length, period)
         for k in live:
-            done[k] += rounds * live[k] + sum(s < rest for s in slots[k])
+            done[k] += rounds * live[k] + bisect_left(slots[k], rest)
         begin += length
+
+
+def phases(blocks: dict[str, int], weights: dict[str, int]) -> list[Phase]:
+    """The schedule of `blocks[k]` blocks per source; at most one phase per source."""
+    return list(_phases(blocks, weights))
+
+
+def schedule(blocks: dict[str, int], weights: dict[str, int]) -> dict[str, list[int]]:
+    """The slot of every block of each source."""
+    out: dict[str, list[int]] = {k: [] for k in blocks}
+    for p in _phases(blocks, weights):
+        rounds, rest = divmod(p.length, p.period)
+        for k, mine in p.slots.items():
+            for begin in range(p.begin, p.begin + rounds * p.period, p.period):
+                out[k].extend(begin + s for s in mine)
+            begin = p.begin + rounds * p.period
+            out[k].extend(begin + s for s in mine[: bisect_left(mine, rest)])
     return out
 
 
@@ -143,20 +182,14 @@ def mix_sources(
     plan = []
     if totals:
         blocks = {r["_source"]: -(-r["v"] // block_chars) for r in totals}
-        steps = phases(blocks, whole_weights(chosen))
-        for i, p in enumerate(steps):
-            for k, first in p.first.items():
-                after = steps[i + 1].first.get(k) if i + 1 < len(steps) else None
-                until = blocks[k] if after is None else after
-                plan.append((k, first, until, p.begin, p.period, p.slots[k]))
-    # at most MAX_SOURCES rows, and one row per source and phase
+        for k, slots in schedule(blocks, whole_weights(chosen)).items():
+            for page, at in enumerate(range(0, blocks[k], PAGE_BLOCKS)):
+                plan.append((k, page, slots[at : at + PAGE_BLOCKS]))
+    # at most MAX_SOURCES rows, and 8 bytes a block
     deal = spark.createDataFrame(
         [(r["_source"], -(-r["n"] // bucket_rows)) for r in totals], "_source string, buckets long"
     )
-    table = spark.createDataFrame(
-        plan,
-        "_source string, first long, until long, begin long, period long, slots array<int>",
-    )
+    table = spark.createDataFrame(plan, "_source string, page long, slots array<long>")
     keyed = sized.join(F.broadcast(deal), "_source").withColumn(
         "bucket", F.pmod(F.xxhash64("id"), F.col("buckets"))
     )
@@ -174,17 +207,11 @@ def mix_sources(
         keyed.join(offsets, ["_source", "bucket"])
         .withColumn("start", F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0)))
         .withColumn("block", F.floor(F.col("start") / block_chars))
+        .withColumn("page", F.floor(F.col("block") / PAGE_BLOCKS))
     )
-    step = F.col("block") - F.col("first")
-    mine = F.size("slots")
-    slot = (
-        F.col("begin")
-        + F.floor(step / mine) * F.col("period")
-        + F.get(F.col("slots"), (step % mine).cast("int"))
-    )
-    inside = (F.col("block") >= F.col("first")) & (F.col("block") < F.col("until"))
+    slot = F.get(F.col("slots"), (F.col("block") % PAGE_BLOCKS).cast("int"))
     source = F.when(F.col("_source") != "null", F.substring("_source", 2, 2**31 - 1))
-    return placed.join(table.hint("broadcast"), "_source").filter(inside).select(
+    return placed.join(F.broadcast(table), ["_source", "page"]).select(
         "id",
         source.alias("source"),
         "block",
