@@ -53,9 +53,6 @@ SMA_5_20 = Strategy("SMA_Cross", fast=5, slow=20)
 HOLD = Strategy()
 GRID = (RSI_50, RSI_40, SMA_20_50, SMA_5_20, HOLD)
 
-# Trees of the registered training runs; the library's default is 300.
-SMALL_MODEL = model.ModelSpec(trees=5)
-
 
 def query(run: Query) -> Query:
     REGISTRY[run.__name__] = run
@@ -700,7 +697,7 @@ def auc_rank_sum(spark, sf):
 
 def _trained(spark, sf):
     rows = features.split_by_position(_stored_matrix(spark, sf))
-    fitted = model.train(rows.filter("is_train").drop("is_train"), SMALL_MODEL)
+    fitted = model.train(rows.filter("is_train").drop("is_train"))
     return fitted, rows.filter(~F.col("is_train")).drop("is_train")
 
 
@@ -715,7 +712,7 @@ def gbt_scores(spark, sf):
 @query
 def gbt_evaluation(spark, sf):
     fitted, held_out = _trained(spark, sf)
-    scored = model.predict(fitted, held_out)
+    scored = model.predict(fitted, held_out).checkpoint()
     counts = classification.classification_metrics(classification.confusion(scored))
     return counts.withColumn("auc", classification.auc(scored).scalar())
 

@@ -7,6 +7,7 @@ import pytest
 from checks.compare import connect, differences
 from checks.oracles import ORACLES
 from checks.queries import REGISTRY
+from tickloom.operators import model
 
 
 @pytest.fixture(scope="module")
@@ -21,3 +22,16 @@ def test_query_equals_sql(spark, sf, con, name):
 
 def test_every_sql_has_a_query():
     assert set(ORACLES) <= set(REGISTRY)
+
+
+def test_model_queries_train_the_whole_model(spark, sf, monkeypatch):
+    specs, real = [], model.train
+
+    def recorded(rows, spec=model.ModelSpec()):
+        specs.append(spec)
+        return real(rows, model.ModelSpec(trees=2, depth=2))
+
+    monkeypatch.setattr(model, "train", recorded)
+    for name in ("gbt_scores", "gbt_evaluation", "top_importances"):
+        assert not REGISTRY[name](spark, sf).isEmpty()
+    assert [s.trees for s in specs] == [300] * 3
