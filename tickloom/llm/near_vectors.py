@@ -14,7 +14,8 @@ likes: tiles are bounded, and a crowded range is dealt over several by hash.
 Defined results: a null label, a null, empty or zero vector, and one with a null or
 non-finite component link with nothing. Vectors of different lengths do not link.
 Repeated rows (same id and vector) count as one vector. A null id links with
-nothing. An empty table gives an empty result. Extra columns are ignored.
+nothing. An empty table gives an empty result. Extra columns are ignored. More than
+`MAX_LENGTHS` (64) different vector lengths are an error.
 """
 
 from __future__ import annotations

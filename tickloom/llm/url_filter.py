@@ -12,7 +12,8 @@ The tree is a table with one row per node; hosts never meet in one task, and cou
 are pre-aggregated, so a hot host is only a few rows after the map side.
 
 Defined results: a null url, or one without `://`, has empty host and path and gets
-the verdict of the empty template. Repeated rows are judged alike and all count.
+the verdict of the empty template. Path segments beyond `TreeSettings.levels` (8) are
+one tail: sections that differ only deeper share a verdict. Repeated rows are judged alike and all count.
 Extra columns are ignored; nulls in them do not matter.
 """
 
