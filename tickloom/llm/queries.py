@@ -9,8 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm import conversation_sql
 from tickloom.llm.common import read
+from tickloom.llm.conversation_repair import damaged, repair_conversations
+from tickloom.llm.conversation_trie import conversation_trie
 from tickloom.llm.exact_dedup import exact_dedup
+from tickloom.llm.language_id import languages
 from tickloom.llm.mix import mix_sources
 from tickloom.llm.near_vectors import near_vectors
 from tickloom.llm.pack import pack_documents
@@ -111,6 +115,18 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(read(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(read(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -122,6 +138,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_phrase_dedup": op10_phrase_dedup,
+    "op11_language_id": op11_language_id,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
@@ -218,4 +237,6 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k ON k.doc_id = d.doc_id
     """,
+    "op12_conversation_trie": conversation_sql.TRIE,
+    "op13_conversation_repair": conversation_sql.REPAIR,
 }
