@@ -88,7 +88,7 @@ def test_rows_beyond_the_named_ones_are_verified(spark, make_docs, monkeypatch):
         words = F.when(F.col("doc_id") == 0, F.col("w")).otherwise(F.col("words"))
         return found.join(other, "band").select("doc_id", "n", "band", words.alias("words"))
 
-    def one_group(docs, rule, parts):
+    def one_group(docs, rule, parts, step):
         band = int(np.searchsorted(rule.bands(), 100, side="right")) - 1
         members = bytearray(np.arange(len(rows)).tobytes())
         return docs.sparkSession.createDataFrame([(band, members)], "band int, members binary")
@@ -105,6 +105,57 @@ def test_rows_beyond_the_named_ones_are_verified(spark, make_docs, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
 
 
+def test_blocks_cover_what_they_have_to():
+    rng = np.random.default_rng(6)
+    for n in (2, 30, 2 * parity_join.BLOCK + 700):
+        members = rng.permutation(10 * n)[:n].astype(np.int64)
+        tops = members[rng.integers(0, max(n // 40, 2), n)]
+        blocks = list(parity_join._blocks(members, tops, True))
+        assert max(map(len, blocks), default=0) <= 2 * parity_join.BLOCK
+        top = dict(zip(members.tolist(), tops.tolist()))
+        sets = [set(b.tolist()) for b in blocks]
+        for _ in range(500):
+            a, b = (int(x) for x in rng.choice(members, 2))
+            if top[a] != top[b]:
+                assert any(a in s and b in s for s in sets)
+        assert not list(parity_join._blocks(members, np.zeros(n, np.int64), True))
+
+
+@pytest.mark.parametrize("rule", [Similarity(), Similarity(5, 80, 100)])
+def test_rows_of_a_document_do_not_grow_with_its_group(make_docs, prose, monkeypatch, rule):
+    monkeypatch.setattr(parity_join, "BLOCK", 100)
+    monkeypatch.setattr(parity_join, "HUB", 10)
+    real, sent = parity_join.candidate_groups, []
+
+    def counted(*args):
+        groups = real(*args).cache()
+        sent.append(groups.select(F.sum(F.length("members") / 8)).first()[0] or 0)
+        return groups
+
+    monkeypatch.setattr(parity_join, "candidate_groups", counted)
+    base, rng, each = prose(200, 5).split(), np.random.default_rng(5), []
+    for n in (200, 1_600):
+        texts = []
+        for i in range(n):
+            text = list(base)
+            for at in rng.integers(0, len(text), 2):
+                text[at] = f"edit{rng.integers(10**6)}"
+            texts.append(" ".join(text))
+        sent.clear()
+        found = got(jaccard_classes(make_docs(texts), rule))
+        assert {top for _, top in found.values()} == {0}
+        each.append(sum(sent) / n)
+    assert each[1] < 1.3 * each[0] < 1.3 * 2 * (parity_join.STEPS[1][1] + 1)
+
+
+def test_rows_of_one_id_with_different_texts(make_docs):
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, long), (1, "zz " + long), (2, long + " end"), (3, "other words here")]
+    for order in (rows, rows[::-1]):
+        out = {(r["doc_id"], r["component_id"]) for r in jaccard_classes(make_docs(order)).collect()}
+        assert out == {(1, 1), (2, 1), (3, 3)}
+
+
 def test_bands_of_linked_sets_are_neighbours():
     for rule in (Similarity(), Similarity(5, 80, 100)):
         first = rule.bands()
@@ -132,8 +183,9 @@ def test_keys_survive_packing():
     keys = rng.integers(0, 2**40, 90_000, dtype=np.uint64)
     for documents in (5, 80_000):
         docs = rng.integers(-(2**62), 2**62, documents)[rng.integers(0, documents, len(keys))]
-        got = parity_join._unpacked(*parity_join._packed(keys, docs))
+        got = parity_join._unpacked(*parity_join._packed(keys, docs, docs ^ 5))
         assert np.array_equal(got[0], keys) and np.array_equal(got[1], docs)
+        assert np.array_equal(got[2], docs ^ 5)
 
 
 def test_one_of_each_component_stays(make_docs, rows):

@@ -13,12 +13,20 @@ spanning forest of the pairs that may link goes on to verification. A group with
 refuted pair tries again with the next nearest pairs of what is not connected yet, as
 does a group with a row that had more of them than it named, until none is left. So no
 link between components is lost, and a group emits no pairs within what is connected.
-Groups beyond `BLOCK` members are worked through in pairs of blocks.
+
+Documents that share one class mostly share many, so the same large group would come
+back under each of them. Therefore the classes are taken in steps: first a few, whose
+links give components; then a few more; then all. A step passes over groups that lie in
+one component, and the last one names every pair of different components that an equal
+class suggests. Before the last step a group beyond `BLOCK` members is cut into blocks that
+have its first `HUB` members in common, so the rows of a document do not grow with its
+group; in the last one, blocks meet in pairs where they hold different components.
 
 Defined results: null text, or text without words, has an empty set and links with
 nothing. A text with fewer words than a shingle is one shingle. Repeated rows link
-with themselves only; a null id is left out of links and is its own component. An
-empty table gives an empty result. Extra columns are ignored.
+with themselves only; of rows that share an id but not their set, the least text stands
+for the id and the others link as equal sets only. A null id is left out of links and is its own
+component. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +44,9 @@ from tickloom.llm.common import kept, only, shuffle_partitions
 from tickloom.llm.components import components
 
 BLOCK = 2_000
+HUB = 50
+STEPS = ((0, 8, False), (8, 16, False), (0, None, True))  # classes from, to; whether all pairs
+PART_SHINGLES = 5_000_000  # of the documents, for each part of the classes
 SIZES = "doc_id long, n long, s1 long, s2 long"
 SKETCH = "doc_id long, n long, band int, words binary"
 FLIP_BITS = 16  # bits of the long sketch per shingle that may differ
@@ -142,8 +153,9 @@ def sizes(docs: DataFrame, rule: Similarity, id_col: str, text_col: str) -> Data
 
 
 def _banded(batch: pa.RecordBatch, rule: Similarity):
-    """Ids, sizes, bands and shingles of texts: once for the own band, once for that below."""
+    """Rows, ids, sizes, bands and shingles of texts: once for the own band, once for that below."""
     first = rule.bands()
+    done = 0
     for ids, raw, offsets in grams.slices(batch):
         hashes, n = shingles(raw, offsets, rule.words)
         ends = np.cumsum(n)
@@ -152,7 +164,8 @@ def _banded(batch: pa.RecordBatch, rule: Similarity):
         for step in (0, 1):
             use = np.flatnonzero((n > 0) & (band >= step))
             mine = hashes[np.repeat((ends - n)[use], n[use]) + grams.ranges(n[use])]
-            yield doc[use], n[use], band[use] - step, mine
+            yield done + use, doc[use], n[use], band[use] - step, mine
+        done += len(n)
 
 
 def sketches(docs: DataFrame, rule: Similarity) -> DataFrame:
@@ -162,7 +175,7 @@ def sketches(docs: DataFrame, rule: Similarity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, n, band, hashes in _banded(batch, rule):
+            for _, doc, n, band, hashes in _banded(batch, rule):
                 k = length[band]
                 words, ends = _flips(hashes, n, k), np.cumsum(k)
                 cut = [words[e - c : e].tobytes() for c, e in zip(k, ends)]
@@ -183,97 +196,131 @@ KEY_BYTES = 5  # four of a hash, one of the band
 BAND = np.uint64(255)
 
 
-def _packed(keys: np.ndarray, docs: np.ndarray) -> tuple[bytes, bytes, bytes]:
-    """Short keys, the distinct documents, and for each key the place of its document."""
+def _packed(keys: np.ndarray, docs: np.ndarray, tops: np.ndarray) -> tuple[bytes, ...]:
+    """Short keys, the distinct documents, their components, and each key's document by place."""
     short = np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
-    ids, place = np.unique(docs, return_inverse=True)
-    return short.tobytes(), ids.tobytes(), place.astype(_place_kind(len(ids))).tobytes()
+    ids, first, place = np.unique(docs, return_index=True, return_inverse=True)
+    return short.tobytes(), ids.tobytes(), tops[first].tobytes(), place.astype(_place_kind(len(ids))).tobytes()
 
 
 def _place_kind(ids: int):
     return np.uint16 if ids <= 2**16 else np.uint32
 
 
-def _unpacked(keys: bytes, ids: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _unpacked(keys: bytes, ids: bytes, tops: bytes, places: bytes) -> tuple[np.ndarray, ...]:
     short = np.frombuffer(keys, np.uint8).reshape(-1, KEY_BYTES)
     wide = np.zeros((len(short), 8), dtype=np.uint8)
     wide[:, :KEY_BYTES] = short
-    ids = np.frombuffer(ids, np.int64)
-    return wide.view(np.uint64).ravel(), ids[np.frombuffer(places, _place_kind(len(ids)))]
+    ids, tops = np.frombuffer(ids, np.int64), np.frombuffer(tops, np.int64)
+    place = np.frombuffer(places, _place_kind(len(ids)))
+    return wide.view(np.uint64).ravel(), ids[place], tops[place]
+
 
+def _blocks(members: np.ndarray, tops: np.ndarray, every: bool) -> Iterator[np.ndarray]:
+    """The groups in which members that share a class are compared; `tops` are their components.
 
-def candidate_groups(docs: DataFrame, rule: Similarity, parts: int) -> DataFrame:
-    """`band, members`: documents that share a class, or a block pair of them."""
+    With `every`, each pair of different components is in one of them. Without, a large
+    component sends only some members, and large groups are cut into blocks with a common hub.
+    """
+    order = np.lexsort((members, tops))
+    members, tops = members[order], tops[order]
+    if tops[0] == tops[-1]:
+        return
+    if not every:
+        begins = np.flatnonzero(np.append(True, tops[1:] != tops[:-1]))
+        place = np.arange(len(tops)) - np.repeat(begins, np.diff(np.append(begins, len(tops))))
+        members = np.sort(members[place < HUB])
+        for i in range(0, len(members), BLOCK):
+            yield np.union1d(members[i : i + BLOCK], members[:HUB])
+        return
+    cuts = range(0, len(members), BLOCK)
+    if len(cuts) == 1:
+        yield np.sort(members)
+        return
+    for i in cuts:
+        for j in range(i, len(members), BLOCK):
+            ends = tops[i], tops[min(j + BLOCK, len(tops)) - 1]
+            if ends[0] != ends[1]:  # components are in order
+                yield np.union1d(members[i : i + BLOCK], members[j : j + BLOCK])
+
+
+def candidate_groups(
+    docs: DataFrame, rule: Similarity, parts: int, step: tuple[int, int | None, bool]
+) -> DataFrame:
+    """`band, members`: documents (`doc_id`, `text`, `top`) of several components that share a class."""
     classes, equal = rule.classes(rule.bands())
+    begin, end, every = step
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, n, band, hashes in _banded(batch, rule):
+            top = batch.column(2).to_numpy()
+            for rows, ids, n, band, hashes in _banded(batch, rule):
                 k = classes[band]
                 words = _classes(hashes, n, k)
                 owner = np.repeat(np.arange(len(ids)), k)
                 zero = words == 0
                 # If all equal classes are empty, both sides have at least so many.
                 many = np.bincount(owner[zero], minlength=len(ids)) >= equal[band]
-                use = ~zero | many[owner]
-                place = grams.ranges(k).astype(np.uint64) * np.uint64(2654435761)
+                place = grams.ranges(k)
+                use = (~zero | many[owner]) & (place >= begin)
+                if end is not None:
+                    use &= place < end
+                words, owner, place = words[use], owner[use], place[use].astype(np.uint64)
+                place *= np.uint64(2654435761)
                 mixed = grams.mix(words + grams.mix(place + band.astype(np.uint64)[owner]))
                 key = (mixed & ~BAND) | band.astype(np.uint64)[owner]
-                key, doc = key[use], ids[owner[use]]
                 part = ((key >> np.uint64(8 * KEY_BYTES)) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
-                key, doc, part = key[order], doc[order], part[order]
+                key, part = key[order], part[order]
+                doc, tops = ids[owner[order]], top[rows[owner[order]]]
                 cuts = np.flatnonzero(np.diff(part, prepend=-1))
                 ends = np.append(cuts[1:], len(part))[: len(cuts)]
-                packed = [_packed(key[a:b], doc[a:b]) for a, b in zip(cuts, ends)]
-                columns = [pa.array([x[i] for x in packed], pa.binary()) for i in range(3)]
+                packed = [_packed(key[a:b], doc[a:b], tops[a:b]) for a, b in zip(cuts, ends)]
+                columns = [pa.array([x[i] for x in packed], pa.binary()) for i in range(4)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part[cuts], pa.int32()), *columns], ["part", "keys", "ids", "places"]
+                    [pa.array(part[cuts], pa.int32()), *columns],
+                    ["part", "keys", "ids", "tops", "places"],
                 )
 
     def meet(table: pa.Table) -> pa.Table:
-        rows = zip(*(table.column(c).to_pylist() for c in ("keys", "ids", "places")))
-        pairs = [_unpacked(*row) for row in rows]
-        key = np.concatenate([p[0] for p in pairs])
-        doc = np.concatenate([p[1] for p in pairs])
+        rows = zip(*(table.column(c).to_pylist() for c in ("keys", "ids", "tops", "places")))
+        key, doc, top = (np.concatenate(x) for x in zip(*(_unpacked(*row) for row in rows)))
         order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
+        key, doc, top = key[order], doc[order], top[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))  # not a repeated row
+        key, doc, top = key[new], doc[new], top[new]
         cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         ends = np.append(cuts[1:], len(key))
-        found = set()
-        for a, b in zip(cuts[ends - cuts > 1], ends[ends - cuts > 1]):
-            members, band = np.unique(doc[a:b]), int(key[a] & BAND)
-            blocks = [members[i : i + BLOCK] for i in range(0, len(members), BLOCK)]
-            if len(members) > 1 and len(blocks) == 1:
-                found.add((band, members.tobytes()))
-            for i in range(len(blocks)):
-                for j in range(i + 1, len(blocks)):
-                    found.add((band, np.concatenate([blocks[i], blocks[j]]).tobytes()))
+        found = {
+            (int(key[a] & BAND), block.tobytes())
+            for a, b in zip(cuts[ends - cuts > 1], ends[ends - cuts > 1])
+            for block in _blocks(doc[a:b], top[a:b], every)
+        }
         out = pa.table(
             {
                 "band": pa.array([f[0] for f in found], pa.int32()),
                 "members": pa.array([f[1] for f in found], pa.binary()),
             }
         )
-        del pairs, key, doc, order, cuts, ends, found
+        del key, doc, top, order, new, cuts, ends, found
         grams.settle()
         return out
 
-    packed = docs.select("doc_id", "text").mapInArrow(
-        keys, "part int, keys binary, ids binary, places binary"
+    packed = docs.select("doc_id", "text", "top").mapInArrow(
+        keys, "part int, keys binary, ids binary, tops binary, places binary"
     )
     return packed.groupBy("part").applyInArrow(meet, "band int, members binary").distinct()
 
 
 def _pairs(
-    words, n, yes, no, tries: int, rule: Similarity
+    words, n, tops, yes, no, tries: int, rule: Similarity
 ) -> tuple[list[tuple[int, int]], bool]:
-    """Pairs of rows that may link and would join what `yes` has not joined yet.
+    """Pairs of rows that may link and would join what `tops` and `yes` have not joined yet.
 
     With one try they are a forest; with more, a row names so many of its nearest.
     Also whether some row had more than it named.
     """
-    group = np.arange(len(n))
+    group = np.unique(tops, return_inverse=True)[1]
     for i, j in yes:
         group[group == group[j]] = group[i]
     refused: dict[int, list[int]] = {}
@@ -302,22 +349,23 @@ def _pairs(
     return out, more
 
 
-def pairs_to_verify(groups: DataFrame, rows: DataFrame, checked, tries: int, rule: Similarity):
+def pairs_to_verify(groups: DataFrame, rows: DataFrame, answers, tries: int, rule: Similarity):
     """`gid, a, b, more` with a < b: what each group wants to have verified next.
 
-    `more` says that the group has further pairs to name even if all of these link.
+    `answers` (`gid, a, b, linked`) are what it has been told. `more` says that the group
+    has further pairs to name even if all of these link.
     """
     unpacked = groups.mapInArrow(_unpack, "gid long, band int, doc_id long")
     members = unpacked.join(rows, ["doc_id", "band"])
-    if checked is None:
+    if answers is None:
         none = F.lit(None).cast("array<bigint>")
         members = members.withColumns({"yes": none, "no": none})
     else:
-        results = checked.groupBy(F.col("a").alias("doc_id")).agg(
+        results = answers.groupBy("gid", F.col("a").alias("doc_id")).agg(
             F.collect_set(F.when(F.col("linked"), F.col("b"))).alias("yes"),
             F.collect_set(F.when(~F.col("linked"), F.col("b"))).alias("no"),
         )
-        members = members.join(results, "doc_id", "left")
+        members = members.join(results, ["gid", "doc_id"], "left")
 
     def choose(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id")
@@ -334,7 +382,8 @@ def pairs_to_verify(groups: DataFrame, rows: DataFrame, checked, tries: int, rul
             for side in ("yes", "no")
         }
         sizes = table.column("n").to_numpy()
-        chosen, more = _pairs(words, sizes, known["yes"], known["no"], tries, rule)
+        tops = table.column("top").to_numpy()
+        chosen, more = _pairs(words, sizes, tops, known["yes"], known["no"], tries, rule)
         pairs = [sorted((doc[i], doc[j])) for i, j in chosen]
         gid = table.column("gid")[0].as_py()
         return pa.table(
@@ -346,7 +395,7 @@ def pairs_to_verify(groups: DataFrame, rows: DataFrame, checked, tries: int, rul
             }
         )
 
-    columns = members.select("gid", "doc_id", "n", "words", "yes", "no")
+    columns = members.select("gid", "doc_id", "n", "top", "words", "yes", "no")
     return columns.groupBy("gid").applyInArrow(choose, "gid long, a long, b long, more boolean")
 
 
@@ -414,6 +463,41 @@ def verify(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long, linked boolean")
 
 
+def connect(
+    groups: DataFrame, rows: DataFrame, texts: DataFrame, checked: DataFrame | None, rule: Similarity
+) -> DataFrame | None:
+    """`checked` (`a, b, linked`) and what verifying these groups adds, until each is settled."""
+    left, answers, tries = groups, None, 1
+    while not left.isEmpty():
+        wanted = kept(pairs_to_verify(left, rows, answers, tries, rule))
+        pairs = wanted.select("a", "b").distinct()
+        if checked is not None:
+            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+        pairs = kept(pairs)
+        if not pairs.isEmpty():
+            ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+            new = kept(verify(pairs, sets_of(texts, ids, rule), rule))
+            checked = new if checked is None else kept(checked.union(new))
+        if wanted.isEmpty():
+            break
+        told = wanted.join(checked, ["a", "b"]).select("gid", "a", "b", "linked", "more")
+        told = kept(told)
+        answers = told.drop("more") if answers is None else answers.union(told.drop("more"))
+        # a group that named all its pairs is connected if they link; the others try again
+        left = kept(left.join(told.filter("more or not linked").select("gid"), "gid", "left_semi"))
+        tries *= 8
+    return checked
+
+
+def _tops(ids: DataFrame, checked: DataFrame | None) -> DataFrame:
+    """`ids` with `top`: the component of `doc_id` so far."""
+    if checked is None:
+        return ids.withColumn("top", F.col("doc_id"))
+    found = kept(components(checked.filter("linked").select("a", "b")).toDF("doc_id", "found"))
+    joined = ids.join(found, "doc_id", "left")
+    return joined.withColumn("top", F.coalesce("found", "doc_id")).drop("found")
+
+
 def jaccard_classes(
     docs: DataFrame,
     rule: Similarity = Similarity(),
@@ -427,40 +511,33 @@ def jaccard_classes(
     copies = filled.join(equal, ["n", "s1", "s2"]).filter("doc_id <> rep").select("doc_id")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     texts = texts.filter("doc_id is not null")
+    sets = F.struct("n", "s1", "s2")
+    several = filled.groupBy("doc_id").agg(F.min(sets).alias("a"), F.max(sets).alias("b"))
+    several = kept(several.filter("a <> b").select("doc_id"))
+    if not several.isEmpty():
+        least = only(texts, several).groupBy("doc_id").agg(F.min("text").alias("text"))
+        texts = only(texts, several, "left_anti").unionByName(least)
     single = only(texts, kept(copies.distinct()), "left_anti")
-    parts = shuffle_partitions(docs.sparkSession)
-    groups = kept(
-        candidate_groups(single, rule, parts).withColumn("gid", F.xxhash64("band", "members"))
-    )
-    members = kept(groups.mapInArrow(_members, "doc_id long").distinct())
-    rows = sketches(only(texts, members), rule)
-    rows = kept(rows.dropDuplicates(["doc_id", "band"]))
-    checked, left, tries = None, groups, 1
-    while True:
-        wanted = kept(pairs_to_verify(left, rows, checked, tries, rule))
-        pairs = wanted.select("a", "b").distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = kept(pairs)
-        if pairs.isEmpty():
-            break
-        ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-        sets = sets_of(texts, ids, rule)
-        new = kept(verify(pairs, sets, rule))
-        checked = new if checked is None else kept(checked.union(new))
-        # a group that named all its pairs is connected if they link; the others try again
-        refuted = wanted.join(checked.filter("not linked"), ["a", "b"]).select("gid")
-        again = refuted.union(wanted.filter("more").select("gid")).distinct()
-        left = kept(left.join(again, "gid", "left_semi"))
-        if left.isEmpty():
-            break
-        tries *= 8
-    links = None if checked is None else checked.filter("linked").select("a", "b")
+    volume = filled.agg(F.sum("n")).first()[0] or 0
+    parts = max(shuffle_partitions(docs.sparkSession), volume // PART_SHINGLES)
+    checked = None
+    for step in STEPS:
+        tops = _tops(filled.select("doc_id").distinct(), checked)
+        moved = kept(tops.filter("top <> doc_id"))  # most documents are alone
+        known = single.join(moved, "doc_id", "left")
+        known = known.withColumn("top", F.coalesce("top", "doc_id"))
+        groups = candidate_groups(known, rule, parts, step)
+        groups = kept(groups.withColumn("gid", F.xxhash64("band", "members")))
+        members = kept(groups.mapInArrow(_members, "doc_id long").distinct())
+        rows = sketches(only(texts, members), rule).dropDuplicates(["doc_id", "band"])
+        rows = rows.join(moved, "doc_id", "left").withColumn("top", F.coalesce("top", "doc_id"))
+        checked = connect(groups, kept(rows), texts, checked, rule)
     keys = ["n", "s1", "s2"]
     out = measured.join(equal, keys, "left")
-    if links is None:
+    if checked is None:
         out = out.withColumn("component", F.lit(None).cast("long"))
     else:
+        links = checked.filter("linked").select("a", "b")
         out = out.join(components(links).toDF("rep", "component"), "rep", "left")
     top = F.coalesce("component", "rep", "doc_id")
     return out.select(
