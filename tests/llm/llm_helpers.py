@@ -8,7 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 # Names that the operators use inside.
-CLASHING = "id chars norm bucket part keys docs n rep label score start end group size block".split()
+CLASHING = (
+    "id chars norm bucket part keys docs n rep label score start end group size block "
+    "_slot _start _id _of _row _source top row"
+).split()
 
 
 def clashing(df):

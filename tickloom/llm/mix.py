@@ -231,7 +231,8 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
         F.col("slot").alias("_slot"),
         F.col("start").alias("_start"),
     )
-    same = docs[id_col].eqNullSafe(order["_id"]) & docs[source_col].eqNullSafe(order["_of"])
-    joined = docs.join(order, same).drop("_id", "_of")
-    ranged = joined.repartitionByRange(files, "_slot", "_start")
-    return ranged.sortWithinPartitions("_slot", "_start").drop("_slot", "_start")
+    # as one column, so that no name of `docs` meets one of the order
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    same = F.col("_row")[id_col].eqNullSafe(F.col("_id")) & F.col("_row")[source_col].eqNullSafe(F.col("_of"))
+    ranged = rows.join(order, same).repartitionByRange(files, "_slot", "_start")
+    return ranged.sortWithinPartitions("_slot", "_start").select("_row.*")
