@@ -62,6 +62,13 @@ def test_repeated_rows_share_decisions_and_stay_once(make_docs):
     assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == [(2, "a a"), (3, "b")]
 
 
+def test_rows_of_one_id_that_differ_in_spaces(make_docs):
+    rows = [(1, "a b"), (1, "ab "), (1, " ab")]
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        left = drop_copies(make_docs(order).repartition(3)).collect()
+        assert [(r["doc_id"], r["text"]) for r in left] == [(1, "ab ")]
+
+
 def test_one_row_of_each_group_stays(make_docs):
     stays = {i for i, d in expected(ROWS).items() if d[2]}
     assert {r["doc_id"] for r in drop_copies(make_docs(ROWS)).collect()} == stays

@@ -79,7 +79,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with their columns; one row of each group."""
+    """The rows of `docs` that stay, with their columns; one row of each group.
+
+    Of rows that share an id and differ in spaces only, the longest stays, then the one
+    whose text is last in order of bytes.
+    """
     decisions = kept(exact_dedup(docs, id_col, text_col))
     per_id = decisions.groupBy("id").agg(
         F.count(F.lit(1)).alias("times"), F.max("kept").alias("stays")
@@ -96,8 +100,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     more = docs.join(odd, docs[id_col].eqNullSafe(odd["_odd"]), "left_semi")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     norm = without_spaces(F.col(text_col))
+    text = F.coalesce(F.col(text_col), F.lit(""))
     firsts = more.groupBy(F.col(id_col).alias("_id"), F.sha2(norm, 256).alias("_sha")).agg(
-        F.max_by(row, F.length(F.coalesce(F.col(text_col), F.lit("")))).alias("_row")
+        F.max_by(row, F.struct(F.length(text), text)).alias("_row")
     )
     stays = decisions.filter("kept").select("id", "text_sha256").distinct()
     right = firsts.join(
