@@ -96,6 +96,15 @@ def test_held_out_accuracy_and_long_texts(corpus):
     assert {r["doc_id"] for r in left.collect()} >= {600, 601, 604, None}
 
 
+def test_each_row_is_judged_by_its_own_text(corpus, make_docs):
+    docs, labels = corpus
+    texts = {r["doc_id"]: r["text"] for r in docs.filter("doc_id in (603, 604)").collect()}
+    rows = [(9_000, texts[603]), (9_000, texts[604]), (None, texts[603]), (None, texts[604])]
+    left = drop_toxic(docs.unionByName(make_docs(rows)), labels)
+    found = left.filter("doc_id = 9000 or doc_id is null and text <> 'some words'").collect()
+    assert {(r["doc_id"], r["text"]) for r in found} == {(9_000, texts[604]), (None, texts[604])}
+
+
 def test_without_both_labels_the_share_is_the_score(spark, make_docs):
     docs = make_docs(["a", None, "b"])
     schema = "doc_id long, toxic int"

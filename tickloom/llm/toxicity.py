@@ -27,7 +27,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import grams, gru
-from tickloom.llm.common import kept, only
 
 SAMPLE = {1: 1_500, 0: 3_500}
 SAMPLE_CHARS = 20_000
@@ -116,7 +115,23 @@ def toxicity(
 def drop_toxic(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of `docs` that are not predicted toxic, with their columns; a null id stays."""
-    found = toxicity(docs, labels, id_col, text_col).filter("predicted = 1")
-    gone = found.filter("doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
-    return only(docs, kept(gone), "left_anti")
+    """The rows of `docs` that are not predicted toxic, with their columns; each by its own text."""
+    model = fit(docs, labels, id_col=id_col, text_col=text_col)
+    if isinstance(model, float):
+        return docs.filter(F.lit(model) < THRESHOLD)
+    plain = (asdict(model.shape), model.known, model.weights)
+    shared = docs.sparkSession.sparkContext.broadcast(plain)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shape, known, weights = shared.value
+        network = gru.Network(gru.Shape(**shape), known, weights)
+        for batch in batches:
+            found = [
+                network.scores(gru.Text(raw, offsets, network.shape))
+                for _, raw, offsets in grams.slices(batch, at, at)
+            ]
+            if found:
+                yield batch.filter(pa.array(np.concatenate(found) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
