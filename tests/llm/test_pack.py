@@ -135,3 +135,16 @@ def test_groups_keep_to_themselves(make_docs):
 
 def test_empty_table(make_docs):
     assert pack.pack_documents(make_docs([]), SPEC).collect() == []
+
+
+def test_sequences_follow_the_numbers_of_the_files(spark, make_docs, tmp_path):
+    docs = make_docs([(i, f"text {i}") for i in range(40)]).repartitionByRange(4, "doc_id")
+    docs.write.parquet(str(tmp_path / "mix"))
+    docs = spark.read.parquet(str(tmp_path / "mix"))
+    group = pack.neighbours(docs)
+    rows = pack.pack_documents(docs, tokenizer_spec(), group=group).collect()
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append(r["doc_id"])
+    runs = [sorted(by_sequence[k]) for k in sorted(by_sequence)]
+    assert len(runs) == 4 and sum(runs, []) == list(range(40))

@@ -249,9 +249,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def neighbours(docs: DataFrame, group_rows: int = GROUP_ROWS) -> Column:
-    """A group for rows that stand together in the files `docs` is read from."""
+    """A group for rows that stand together in the files `docs` is read from.
+
+    Groups, and so sequences, are numbered as the part files are; files that are not
+    numbered get a hash.
+    """
     run = F.floor(F.col("_metadata.row_index") / group_rows)
-    return F.pmod(F.xxhash64("_metadata.file_path", run), F.lit(GROUPS))
+    part = F.regexp_extract("_metadata.file_path", r"/part-(\d{1,7})[^/]*$", 1)
+    place = part.try_cast("long") * F.lit(2**14) + F.pmod(run, F.lit(2**14))
+    other = F.pmod(F.xxhash64("_metadata.file_path", run), F.lit(GROUPS))
+    return F.when(part == "", other).otherwise(place)
 
 
 def pack_documents(
