@@ -14,13 +14,14 @@ refuted pair tries again with the next nearest pairs of what is not connected ye
 does a group with a row that had more of them than it named, until none is left. So no
 link between components is lost, and a group emits no pairs within what is connected.
 
-Documents that share one class mostly share many, so the same large group would come
-back under each of them. Therefore the classes are taken in steps: first a few, whose
-links give components; then a few more; then all. A step passes over groups that lie in
-one component, and the last one names every pair of different components that an equal
-class suggests. Before the last step a group beyond `BLOCK` members is cut into blocks that
-have its first `HUB` members in common, so the rows of a document do not grow with its
-group; in the last one, blocks meet in pairs where they hold different components.
+Documents that share one class mostly share many, so a large group would come back
+under each of its classes. Therefore only groups of at most `SMALL` members are sent as
+they are. Of larger ones, those under the first `FIRST` classes of a document are sent,
+cut into blocks that have their first `HUB` members in common; what they link gives
+components. The documents of large groups then meet once more: groups that lie in one
+component are passed over, and of the others every pair of different components is named,
+by blocks that meet in pairs where they hold different components. So the rows of a
+document do not grow with its group while its group is connected.
 
 Defined results: null text, or text without words, has an empty set and links with
 nothing. A text with fewer words than a shingle is one shingle. Repeated rows link
@@ -40,12 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import grams
-from tickloom.llm.common import kept, only, shuffle_partitions
+from tickloom.llm.common import BROADCAST_IDS, kept, only, shuffle_partitions
 from tickloom.llm.components import components
 
 BLOCK = 2_000
+SMALL = 250
+FIRST = 12
 HUB = 50
-STEPS = ((0, 8, False), (8, 16, False), (0, None, True))  # classes from, to; whether all pairs
+HOT_ROWS = 64  # in which each part of the classes names the documents of its large groups
 PART_SHINGLES = 5_000_000  # of the documents, for each part of the classes
 SIZES = "doc_id long, n long, s1 long, s2 long"
 SKETCH = "doc_id long, n long, band int, words binary"
@@ -192,8 +195,9 @@ def sketches(docs: DataFrame, rule: Similarity) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
 
 
-KEY_BYTES = 5  # four of a hash, one of the band
-BAND = np.uint64(255)
+KEY_BYTES = 5  # 31 bits of a hash, the flag and the band
+BAND = np.uint64(511)  # the band, and whether the class is one of the first
+BAND_ONLY, FIRST_ONLY = np.uint64(255), np.uint64(256)
 
 
 def _packed(keys: np.ndarray, docs: np.ndarray, tops: np.ndarray) -> tuple[bytes, ...]:
@@ -216,44 +220,34 @@ def _unpacked(keys: bytes, ids: bytes, tops: bytes, places: bytes) -> tuple[np.n
     return wide.view(np.uint64).ravel(), ids[place], tops[place]
 
 
-def _blocks(members: np.ndarray, tops: np.ndarray, every: bool) -> Iterator[np.ndarray]:
-    """The groups in which members that share a class are compared; `tops` are their components.
-
-    With `every`, each pair of different components is in one of them. Without, a large
-    component sends only some members, and large groups are cut into blocks with a common hub.
-    """
+def _blocks(members: np.ndarray, tops: np.ndarray) -> Iterator[np.ndarray]:
+    """Groups that hold every pair of different components (`tops`) of a large group."""
     order = np.lexsort((members, tops))
     members, tops = members[order], tops[order]
-    if tops[0] == tops[-1]:
-        return
-    if not every:
-        begins = np.flatnonzero(np.append(True, tops[1:] != tops[:-1]))
-        place = np.arange(len(tops)) - np.repeat(begins, np.diff(np.append(begins, len(tops))))
-        members = np.sort(members[place < HUB])
-        for i in range(0, len(members), BLOCK):
-            yield np.union1d(members[i : i + BLOCK], members[:HUB])
-        return
-    cuts = range(0, len(members), BLOCK)
-    if len(cuts) == 1:
-        yield np.sort(members)
-        return
-    for i in cuts:
+    for i in range(0, len(members), BLOCK):
         for j in range(i, len(members), BLOCK):
-            ends = tops[i], tops[min(j + BLOCK, len(tops)) - 1]
-            if ends[0] != ends[1]:  # components are in order
+            if tops[i] != tops[min(j + BLOCK, len(tops)) - 1]:  # components are in order
                 yield np.union1d(members[i : i + BLOCK], members[j : j + BLOCK])
 
 
-def candidate_groups(
-    docs: DataFrame, rule: Similarity, parts: int, step: tuple[int, int | None, bool]
-) -> DataFrame:
-    """`band, members`: documents (`doc_id`, `text`, `top`) of several components that share a class."""
+def _with_hub(members: np.ndarray) -> Iterator[np.ndarray]:
+    """A large group as blocks with common members."""
+    for i in range(0, len(members), BLOCK):
+        yield np.union1d(members[i : i + BLOCK], members[:HUB])
+
+
+def candidate_groups(docs: DataFrame, rule: Similarity, parts: int, again: bool) -> DataFrame:
+    """`band, members`: groups of documents (`doc_id`, `text`) that share a class.
+
+    Large groups are sent as blocks of their first classes, and rows with a negative band
+    name their members. With `again` (and `top`, the components so far) only large groups
+    of several components are sent, whole.
+    """
     classes, equal = rule.classes(rule.bands())
-    begin, end, every = step
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            top = batch.column(2).to_numpy()
+            top = batch.column(2).to_numpy()  # of no use at first
             for rows, ids, n, band, hashes in _banded(batch, rule):
                 k = classes[band]
                 words = _classes(hashes, n, k)
@@ -262,13 +256,12 @@ def candidate_groups(
                 # If all equal classes are empty, both sides have at least so many.
                 many = np.bincount(owner[zero], minlength=len(ids)) >= equal[band]
                 place = grams.ranges(k)
-                use = (~zero | many[owner]) & (place >= begin)
-                if end is not None:
-                    use &= place < end
+                use = ~zero | many[owner]
                 words, owner, place = words[use], owner[use], place[use].astype(np.uint64)
+                first = (place < FIRST).astype(np.uint64) << np.uint64(8)
                 place *= np.uint64(2654435761)
                 mixed = grams.mix(words + grams.mix(place + band.astype(np.uint64)[owner]))
-                key = (mixed & ~BAND) | band.astype(np.uint64)[owner]
+                key = (mixed & ~BAND) | first | band.astype(np.uint64)[owner]
                 part = ((key >> np.uint64(8 * KEY_BYTES)) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 key, part = key[order], part[order]
@@ -291,11 +284,22 @@ def candidate_groups(
         key, doc, top = key[new], doc[new], top[new]
         cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         ends = np.append(cuts[1:], len(key))
-        found = {
-            (int(key[a] & BAND), block.tobytes())
-            for a, b in zip(cuts[ends - cuts > 1], ends[ends - cuts > 1])
-            for block in _blocks(doc[a:b], top[a:b], every)
-        }
+        found, hot = set(), []
+        for a, b in zip(cuts[ends - cuts > 1], ends[ends - cuts > 1]):
+            band, first = int(key[a] & BAND_ONLY), bool(key[a] & FIRST_ONLY)
+            if b - a <= SMALL:
+                if not again:
+                    found.add((band, doc[a:b].tobytes()))
+            elif again:
+                found.update((band, x.tobytes()) for x in _blocks(doc[a:b], top[a:b]))
+            else:
+                hot.append(doc[a:b])
+                if first:
+                    found.update((band, x.tobytes()) for x in _with_hub(doc[a:b]))
+        if hot:
+            ids = np.unique(np.concatenate(hot))
+            row = grams.mix(ids.view(np.uint64)) % np.uint64(HOT_ROWS)
+            found.update((-1 - i, ids[row == i].tobytes()) for i in range(HOT_ROWS))
         out = pa.table(
             {
                 "band": pa.array([f[0] for f in found], pa.int32()),
@@ -306,6 +310,8 @@ def candidate_groups(
         grams.settle()
         return out
 
+    if not again:
+        docs = docs.withColumn("top", F.lit(0).cast("long"))
     packed = docs.select("doc_id", "text", "top").mapInArrow(
         keys, "part int, keys binary, ids binary, tops binary, places binary"
     )
@@ -489,13 +495,34 @@ def connect(
     return checked
 
 
-def _tops(ids: DataFrame, checked: DataFrame | None) -> DataFrame:
-    """`ids` with `top`: the component of `doc_id` so far."""
-    if checked is None:
-        return ids.withColumn("top", F.col("doc_id"))
-    found = kept(components(checked.filter("linked").select("a", "b")).toDF("doc_id", "found"))
-    joined = ids.join(found, "doc_id", "left")
-    return joined.withColumn("top", F.coalesce("found", "doc_id")).drop("found")
+def _united(rows: DataFrame) -> DataFrame:
+    """`doc_id`: the distinct members of rows, those of a band by one task."""
+
+    def unite(table: pa.Table) -> pa.Table:
+        members = [np.frombuffer(m, np.int64) for m in table.column("members").to_pylist()]
+        return pa.table({"doc_id": pa.array(np.unique(np.concatenate(members)))})
+
+    return rows.groupBy("band").applyInArrow(unite, "doc_id long")
+
+
+def _checked(
+    groups: DataFrame,
+    texts: DataFrame,
+    checked: DataFrame | None,
+    rule: Similarity,
+    tops: DataFrame | None = None,
+) -> DataFrame | None:
+    """`checked` and the verified pairs of these groups; `tops` are the components so far."""
+    groups = kept(groups.withColumn("gid", F.xxhash64("band", "members")))
+    if groups.isEmpty():
+        return checked
+    members = kept(groups.mapInArrow(_members, "doc_id long").distinct())
+    rows = sketches(only(texts, members), rule).dropDuplicates(["doc_id", "band"])
+    if tops is None:
+        rows = rows.withColumn("top", F.col("doc_id"))
+    else:
+        rows = rows.join(tops, "doc_id")
+    return connect(groups, kept(rows), texts, checked, rule)
 
 
 def jaccard_classes(
@@ -520,18 +547,19 @@ def jaccard_classes(
     single = only(texts, kept(copies.distinct()), "left_anti")
     volume = filled.agg(F.sum("n")).first()[0] or 0
     parts = max(shuffle_partitions(docs.sparkSession), volume // PART_SHINGLES)
-    checked = None
-    for step in STEPS:
-        tops = _tops(filled.select("doc_id").distinct(), checked)
-        moved = kept(tops.filter("top <> doc_id"))  # most documents are alone
-        known = single.join(moved, "doc_id", "left")
-        known = known.withColumn("top", F.coalesce("top", "doc_id"))
-        groups = candidate_groups(known, rule, parts, step)
-        groups = kept(groups.withColumn("gid", F.xxhash64("band", "members")))
-        members = kept(groups.mapInArrow(_members, "doc_id long").distinct())
-        rows = sketches(only(texts, members), rule).dropDuplicates(["doc_id", "band"])
-        rows = rows.join(moved, "doc_id", "left").withColumn("top", F.coalesce("top", "doc_id"))
-        checked = connect(groups, kept(rows), texts, checked, rule)
+    alone = single.withColumn("top", F.lit(None).cast("long"))
+    named = kept(candidate_groups(alone, rule, parts, False))
+    hot = kept(_united(named.filter("band < 0")))
+    checked = _checked(named.filter("band >= 0"), texts, None, rule)
+    if not hot.isEmpty():
+        tops = hot.withColumn("top", F.col("doc_id"))
+        if checked is not None:
+            found = components(checked.filter("linked").select("a", "b")).toDF("doc_id", "found")
+            tops = tops.join(found, "doc_id", "left").select("doc_id", F.coalesce("found", "top").alias("top"))
+        tops = kept(tops)
+        few = tops.count() <= BROADCAST_IDS
+        again = texts.join(F.broadcast(tops) if few else tops, "doc_id")
+        checked = _checked(candidate_groups(again, rule, parts, True), texts, checked, rule, tops)
     keys = ["n", "s1", "s2"]
     out = measured.join(equal, keys, "left")
     if checked is None:
