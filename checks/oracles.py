@@ -402,6 +402,10 @@ oracle("json_props", """SELECT event_id, CAST(json_extract_string(props, '$.k')
  coalesce(json_extract_string(props, '$.missing'), 'none') AS missing FROM events""")
 
 oracle("bar_stream", f"WITH {H} SELECT * FROM h")
+oracle("stream_dedup", f"""WITH {H} SELECT *, 1 AS message FROM h
+ WHERE [Date] < (SELECT max([Date]) - INTERVAL 2 DAY FROM h)""")
+oracle("position_stream", f"""WITH RECURSIVE {fold(20)} SELECT * FROM ({TRADES}) t
+ WHERE exit_reason <> 'end_of_data' AND exit_date < (SELECT max([Date]) - INTERVAL 1 HOUR FROM h)""")
 oracle("evaluation_stream", f"WITH {H}, {PART}, {DEC} SELECT * FROM dst")
 oracle("history_export", f"WITH {H} SELECT *, ticker AS safe_ticker FROM h")
 oracle("csv_export", f"WITH {H} SELECT * FROM h")

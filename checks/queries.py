@@ -39,7 +39,7 @@ from tickloom.sinks import writers
 from tickloom.sources import tables
 from tickloom.sources.bars import first_per_bar
 from tickloom.streaming import bars as bar_streams
-from tickloom.streaming import consume
+from tickloom.streaming import consume, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -614,6 +614,54 @@ def evaluation_stream(spark, sf):
     return bar_streams.current_rows(spark, f"{folder}/state")
 
 
+def _written_in_parts(df: DataFrame, folder: str, parts: int = 3) -> DataFrame:
+    """`df` as files of `parts` spans of time, stored one span after the other, read as a stream."""
+    spark = df.sparkSession
+    second = F.unix_micros(F.col("Date").cast("timestamp"))
+    low, high = df.agg(F.min(second), F.max(second)).first()
+    span = ((high or 0) - (low or 0)) // parts + 1
+    for part in range(parts):
+        here = F.floor((second - F.lit(low or 0)) / span) == part
+        df.filter(here).write.mode("append").parquet(f"{folder}/in")
+    return spark.readStream.schema(df.schema).parquet(f"{folder}/in")
+
+
+def _passed(df: DataFrame, newest: DataFrame, late: str, date: str = "Date") -> DataFrame:
+    """Rows that the watermark of a finished stream has passed."""
+    limit = newest.agg(F.max("Date") - F.expr(f"INTERVAL {late}")).scalar()
+    return df.filter(F.col(date) < limit)
+
+
+@query
+def stream_dedup(spark, sf):
+    """Bars, every third hour once more at another price: the first message's stays."""
+    folder = f"{checkpoint_dir(spark)}/stream_dedup_{uuid.uuid4().hex}"
+    bars = hourly_bars(spark, sf).withColumn("message", F.lit(1))
+    again = bars.filter(F.hour("Date") % 3 == 0).withColumns(
+        {"Close": F.col("Close") - 1_000, "message": F.lit(2)}
+    )
+    # the repeats come first
+    sent = again.unionByName(bars)
+    once = bar_streams.first_in_time(_written_in_parts(sent, folder), F.col("message"))
+    _drain(once.writeStream.format("parquet").option("path", f"{folder}/out"), folder)
+    return _passed(spark.read.schema(once.schema).parquet(f"{folder}/out"), bars, "2 DAY")
+
+
+@query
+def position_stream(spark, sf):
+    """Trades closed in a stream of signals whose bars wait for the watermark."""
+    folder = f"{checkpoint_dir(spark)}/position_stream_{uuid.uuid4().hex}"
+    signals = dip_signals(spark, sf)
+    with stateful.rocksdb(spark):
+        rows = stateful.positions_in_time(_written_in_parts(signals, folder), RULES_20)
+        _drain(rows.writeStream.format("parquet").option("path", f"{folder}/out"), folder)
+    stored = spark.read.schema(rows.schema).parquet(f"{folder}/out")
+    closed = stateful.closed_trades(_passed(stored, signals, "1 HOUR"))
+    return closed.withColumns(
+        {"pnl": steady_round(F.col("pnl")), "pnl_pct": steady_round(F.col("pnl_pct"), 4)}
+    )
+
+
 def _drain(writer, folder: str) -> None:
     run = writer.option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True)
     run.start().awaitTermination()

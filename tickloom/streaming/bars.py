@@ -66,6 +66,25 @@ def first_bars(bars: DataFrame, late: str = "2 days") -> DataFrame:
     )
 
 
+def first_in_time(bars: DataFrame, order: Column, late: str = "2 days") -> DataFrame:
+    """Of the bars of each (ticker, Date), the one that is first by `order`, whatever comes first.
+
+    A bar is given out once the newest date has passed it by `late`, as until then an
+    earlier one may come; repeats that are later than that are dropped. The state holds one row per
+    open (ticker, Date).
+    """
+    values = [c for c in bars.columns if c not in ("ticker", "Date")]
+    row = F.struct(*[F.col(f"`{c}`") for c in values]).alias("_row")
+    return (
+        bars.select("ticker", F.col("Date").cast("timestamp").alias("_at"), row, order.alias("_order"))
+        .withWatermark("_at", late)
+        .groupBy("ticker", "_at")
+        .agg(F.min_by("_row", "_order").alias("_first"))
+        .select("ticker", F.col("_at").cast("timestamp_ntz").alias("Date"), "_first.*")
+        .select(*[F.col(f"`{c}`") for c in bars.columns])
+    )
+
+
 def evaluate_batch(
     tails: DataFrame,
     history: Callable[[], DataFrame],
