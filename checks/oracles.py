@@ -204,6 +204,8 @@ oracle("latest_signals_top20", f"""WITH {H}, {PART}, {DEC} SELECT ticker, [Date]
 
 LAST = q("QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY [Date] DESC) = 1")
 oracle("latest_snapshot", f"WITH {H}, {chain('h', keep=OHLV)}, {DEC} SELECT * FROM dst {LAST}")
+oracle("serving_table", f"""WITH {H}, {PART}, {DEC}
+ SELECT ticker, [Date], [Close], decision, decision_strength, 1 AS n FROM dst {LAST}""")
 oracle("latest_bars", f"WITH {DB} SELECT * FROM db {LAST}")
 oracle("ticker_history", f"WITH {H} SELECT * FROM h WHERE ticker = 'purchase' ORDER BY [Date]")
 oracle("newest_three", f"WITH {H} SELECT * FROM h ORDER BY [Date] DESC, ticker LIMIT 3")

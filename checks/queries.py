@@ -670,6 +670,18 @@ def _drain(writer, folder: str) -> None:
 # Exports, read back
 
 
+@query
+def serving_table(spark, sf):
+    """The serving rows, replaced by themselves: the write reads the table that it replaces."""
+    name = f"serving_{uuid.uuid4().hex}"
+    newest = snapshot.latest(decisions.evaluate(hourly_bars(spark, sf), HOURS))
+    rows = newest.select("ticker", "Date", "Close", "decision", "decision_strength")
+    writers.replace_serving(spark, rows.filter(F.lit(False)), name)
+    writers.replace_serving(spark, rows, name)
+    writers.replace_serving(spark, spark.table(name).withColumn("n", F.lit(1)), name)
+    return spark.table(name)
+
+
 @query
 def history_export(spark, sf):
     folder = f"{checkpoint_dir(spark)}/history_{uuid.uuid4().hex}"

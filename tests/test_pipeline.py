@@ -21,6 +21,7 @@ from tickloom.sinks.writers import (
     write_history,
     write_json,
     write_parquet,
+    write_table,
     write_validated,
 )
 from tickloom.sources import tables
@@ -48,6 +49,28 @@ def test_ingest_evaluate_export_twice(spark, sf, tmp_path):
     assert pipeline.publish_serving(spark, scored) == 25
 
 
+def test_failed_write_leaves_the_old_rows(spark):
+    rows = spark.range(5)
+    write_table(rows, "kept_rows")
+    broken = rows.select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("no"))).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        write_table(broken, "kept_rows")
+    assert spark.table("kept_rows").count() == 5
+    assert len(spark.catalog.listTables(pattern="kept_rows__v*")) == 1
+    running = spark.table("kept_rows")
+    write_table(spark.table("kept_rows").filter("id < 2"), "kept_rows")  # reads what it replaces
+    assert spark.table("kept_rows").count() == 2 and running.count() == 5
+    write_table(rows.select("id", F.lit("x").alias("more")), "kept_rows")
+    assert spark.table("kept_rows").columns == ["id", "more"]
+    assert len(spark.catalog.listTables(pattern="kept_rows__v*")) == 2
+
+
+def test_table_without_versions_is_replaced(spark):
+    spark.range(3).write.saveAsTable("plain_rows")
+    write_table(spark.range(7), "plain_rows")
+    assert spark.table("plain_rows").count() == 7
+
+
 def test_json_keeps_nulls_and_iso_dates(spark, series, tmp_path):
     bars = series(T=[None]).withColumn("Date", F.expr("Date + INTERVAL '0.123456' SECOND"))
     write_json(bars, f"{tmp_path}/json")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,31 @@ DATES = {"timestampNTZFormat": ISO, "timestampFormat": ISO}
 
 
 def write_table(df: DataFrame, name: str) -> None:
-    """Replace a managed table; running it again gives the same table."""
-    df.write.mode("overwrite").saveAsTable(name)
+    """Replace a stored table; running it again gives the same table.
+
+    Each write makes a table of its own, `name__v…`, and `name` is a view that is switched to it
+    in one step of the catalog. Until then, and if the write fails, `name` gives the old
+    rows, so `df` may read it. The version before stays for queries that still read it.
+    """
+    spark = df.sparkSession
+    stored = f"{name}__v{time.time_ns():020d}"
+    try:
+        df.write.saveAsTable(stored)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {stored}")
+        raise
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__v{0:020d}")  # written without versions
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {stored}")
+    for old in _versions(spark, name)[:-2]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def _versions(spark: SparkSession, name: str) -> list[str]:
+    """Tables that hold versions of `name`, the oldest first."""
+    *database, table = name.split(".")
+    found = spark.catalog.listTables(*database, pattern=f"{table}__v*")
+    return sorted(".".join([*database, t.name]) for t in found)
 
 
 def write_parquet(df: DataFrame, path: str, *partitions: str) -> None:
@@ -83,7 +108,7 @@ def write_validated(df: DataFrame, folder: str) -> bool:
 
 
 def replace_serving(spark: SparkSession, rows: DataFrame, table: str) -> int:
-    """Replace all rows of the serving table and return their number."""
+    """Replace all rows of the serving table at once and return their number."""
     write_table(rows, table)
     return spark.table(table).count()
 
