@@ -389,6 +389,10 @@ oracle("zone_times", "SELECT event_id, ts AS utc, ts + INTERVAL 9 HOUR AS tokyo
 oracle("message_more_fields", f"""WITH {H}, x AS (
  SELECT ticker, max([High]) AS beta, min([Low]) AS per FROM h GROUP BY 1)
  SELECT h.ticker, [Date], [Close], [Close] * 2 AS adjusted, per, beta FROM h JOIN x ON h.ticker = x.ticker""")
+oracle("message_other_fields", f"""WITH {H}, x AS (
+ SELECT ticker, max([High]) AS beta, min([Low]) AS per FROM h GROUP BY 1)
+ SELECT h.ticker, [Date], [Close], [Volume] + 0.5::DOUBLE AS [Volume], [Volume] + 1 AS "Trades", per, beta,
+ 'X' || length(h.ticker) AS exchange, [Close] * 2 AS adjusted FROM h JOIN x ON h.ticker = x.ticker""")
 oracle("message_rejects", f"""SELECT code, count(*) AS n FROM (
  SELECT unnest(string_split(codes, '|')) AS code FROM (SELECT {CODES} AS codes FROM events) WHERE codes <> '') GROUP BY 1""")
 oracle("message_validation", f"""SELECT event_id, codes = '' AS is_valid,

@@ -531,6 +531,23 @@ def message_more_fields(spark, sf):
     ).select("ticker", "Date", "Close", F.col("Adj Close").alias("adjusted"), "per", "beta")
 
 
+@query
+def message_other_fields(spark, sf):
+    """Keys that nobody named, found in the messages, and volumes that are not whole."""
+    bars = hourly_bars(spark, sf).withColumns(
+        {"Adj Close": F.col("Close") * 2, "Trades": F.col("Volume") + 1, "Volume": F.col("Volume") + 0.5}
+    )
+    facts = bars.groupBy("ticker").agg(F.max("High").alias("beta"), F.min("Low").alias("per"))
+    facts = facts.withColumn("exchange", F.concat(F.lit("X"), F.length("ticker")))
+    built = messages.build_messages(bars, HOURS, None, facts)
+    checked = messages.validate_messages(messages.parse_messages(built.drop("ticker")))
+    use_checkpoints(spark)
+    flat = messages.flatten_messages(checked, others=True).drop("Volume").checkpoint()
+    found = messages.spread(messages.spread(flat, "other_bar"), "other_fundamentals")
+    names = ["ticker", "Date", "Close", "Volume", "Trades", "per", "beta", "exchange"]
+    return found.select(*names, F.col("Adj Close").alias("adjusted"))
+
+
 @query
 def message_rejects(spark, sf):
     """What is wrong with the messages that fail, error by error."""

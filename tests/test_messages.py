@@ -14,6 +14,7 @@ from tickloom.operators.messages import (
     parse_messages,
     publish_stats,
     rejected_messages,
+    spread,
     validate_messages,
 )
 from tickloom.sinks.writers import publish, write_message_files
@@ -215,3 +216,25 @@ def test_repeats_across_files_are_dropped(spark, sf, tmp_path):
     query.awaitTermination()
     got = spark.read.parquet(f"{tmp_path}/out").collect()
     assert sorted(map(str, got)) == sorted(map(str, bars.collect()))
+
+
+def test_keys_that_nobody_named_are_kept(spark):
+    values = [
+        message(bar(Volume=12.7, note="x", deep={"a": [1]}, on=True), bar(Date="2024-01-02", n=3, on=False)),
+        message(bar(Date="2024-01-03", n=2.5, mixed=1), fundamentals={"per": 3, "beta": 1.5, "ticker": "Z"}),
+        message(bar(Date="2024-01-04", Volume=10**25, mixed="one"), fundamentals=[{"beta": 2}]),
+    ]
+    raw = spark.createDataFrame([(v,) for v in values], "value string")
+    flat = flatten_messages(validate_messages(parse_messages(raw)), others=True)
+    got = {r["Date"].day: r for r in flat.collect()}
+    assert got[1]["Volume"] == 12 and float(got[1]["other_bar"]["Volume"]) == 12.7
+    assert got[1]["other_bar"]["deep"] == '{"a":[1]}' and got[2]["other_bar"] == {"n": "3", "on": "false"}
+    assert got[3]["other_fundamentals"] == {"beta": "1.5"} and got[1]["other_fundamentals"] == {}
+    assert float(got[4]["other_bar"]["Volume"]) == 1e25
+    wide = spread(spread(flat.drop("Volume"), "other_bar"), "other_fundamentals")
+    kinds = dict(wide.dtypes)
+    assert kinds["on"] == "boolean" and kinds["note"] == kinds["deep"] == kinds["mixed"] == "string"
+    rows = {r["Date"].day: r for r in wide.collect()}
+    assert (rows[2]["n"], rows[3]["n"], rows[1]["n"]) == (3.0, 2.5, None)
+    assert (rows[3]["beta"], rows[4]["beta"], rows[1]["beta"]) == (1.5, 2.0, None)
+    assert rows[1]["Volume"] == 12.7 and rows[3]["per"] == 3.0

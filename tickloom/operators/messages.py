@@ -298,13 +298,17 @@ def flatten_messages(
     *keep: str,
     more_bar_fields: Sequence[str] = (),
     more_fundamentals: Sequence[str] = (),
+    others: bool = False,
 ) -> DataFrame:
     """One row per bar of the valid messages.
 
     Of bars with the same date in a message the first is kept. The message's
     fundamentals, name and sector are repeated on every bar. `keep` names
     further columns of the input to carry along, `more_…` further numbers of a
-    bar or of the fundamentals; names such as "Adj Close" may hold spaces.
+    bar or of the fundamentals; names such as "Adj Close" may hold spaces. With
+    `others`, all further keys, named by nobody, are kept as JSON texts in the maps
+    `other_bar` and `other_fundamentals`; `other_bar` also has a volume that is not
+    whole, or too large, as it was given. `spread` makes columns of such a map.
     """
     elements = F.try_variant_get("doc", "$.ohlcv", "array<variant>")
 
@@ -322,8 +326,12 @@ def flatten_messages(
             *[given(c, "double").alias(c) for c in NUMBERS if c != "Volume"],
             given("Volume", "bigint").alias("Volume"),
             *[number(F.try_element_at(elements, index + 1), c) for c in more_bar_fields],
+            *([_others(F.try_element_at(elements, index + 1), known_bar).alias("other_bar")] if others else []),
         )
 
+    known_bar = [*BAR_FIELDS, *more_bar_fields]
+    known_facts = [*FUNDAMENTAL_VALUES, *more_fundamentals, "ticker", "company_name", "sector"]
+
     facts = F.coalesce(
         F.try_element_at(F.try_variant_get("doc", "$.fundamentals", "array<variant>"), F.lit(1)),
         _get(F.col("doc"), "fundamentals"),
@@ -335,7 +343,9 @@ def flatten_messages(
         F.coalesce(_get(F.col("doc"), "sector", "string"), F.lit("Unknown")).alias("sector"),
         facts.alias("facts"),
         F.array_sort(F.transform("bars", typed)).alias("bars"),
+        *([_others(facts, known_facts).alias("other_fundamentals")] if others else []),
     )
+    further = ["other_fundamentals"] if others else []
     # Sorted by date and place: a bar equal in date to the one before is a repeat.
     shifted = F.concat(F.array(F.lit(None).cast("timestamp_ntz")), F.col("bars.Date"))
     marked = F.arrays_zip(F.col("bars").alias("bar"), shifted.alias("before"))
@@ -344,8 +354,11 @@ def flatten_messages(
         lambda m: m["bar"].isNotNull() & ~(m["bar"]["Date"].eqNullSafe(m["before"]) & (m["before"].isNotNull())),
     )
     df = df.withColumn("fresh", fresh).select(
-        *keep, "ticker", "company_name", "sector", "facts", F.explode("fresh.bar").alias("bar")
+        *keep, "ticker", "company_name", "sector", "facts", *further, F.explode("fresh.bar").alias("bar")
     )
+    if others:
+        further = [F.map_from_entries(F.col("bar")["other_bar"]).alias("other_bar")]
+        further += [F.map_from_entries("other_fundamentals").alias("other_fundamentals")]
     return df.select(
         *keep,
         "ticker",
@@ -353,7 +366,55 @@ def flatten_messages(
         *[number(F.col("facts"), name) for name in [*FUNDAMENTAL_VALUES, *more_fundamentals]],
         "company_name",
         "sector",
+        *further,
+    )
+
+
+def _others(value: Column, known: Sequence[str]) -> Column:
+    """Keys of an object that are not `known`, by name, each with its JSON text."""
+    fields = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
+    fields = F.transform(
+        fields, lambda f: F.struct(f["key"].alias("key"), F.to_json(f["value"]).alias("value"))
+    )
+
+    def unknown(field: Column) -> Column:
+        odd_volume = (field["key"] == "Volume") & field["value"].try_cast("bigint").isNull()
+        number = field["value"].rlike(r"^-?[0-9]")
+        return ~field["key"].isin(*known) | (odd_volume & number & F.lit("Volume" in known))
+
+    return F.array_sort(F.coalesce(F.filter(fields, unknown), F.array().cast(_ENTRIES)))
+
+
+_ENTRIES = "array<struct<key:string,value:string>>"
+SPREAD_KEYS = 1_000
+
+
+def spread(df: DataFrame, column: str) -> DataFrame:
+    """`df` with a column for every key in the map `column` of JSON texts, whatever keys there are.
+
+    Types are those that hold all values of a key: numbers, booleans and texts; objects,
+    lists and mixed values stay JSON texts. A key that is a column already replaces it. The
+    list of keys goes to the driver: at most `SPREAD_KEYS`, else an error.
+    """
+    value = F.try_parse_json("value")
+    kinds = (
+        df.select(F.explode(column))
+        .groupBy("key")
+        .agg(F.schema_of_variant_agg(value).alias("kind"))
+        .orderBy("key")
+        .take(SPREAD_KEYS + 1)
     )
+    if len(kinds) > SPREAD_KEYS:
+        raise ValueError(f"more than {SPREAD_KEYS} keys in {column}")
+
+    def typed(key: str, kind: str) -> Column:
+        text = F.try_element_at(column, F.lit(key))
+        kind = "double" if kind.startswith("DECIMAL") else kind.lower()
+        if kind not in ("double", "float", "bigint", "boolean", "string"):
+            return text
+        return F.try_variant_get(F.try_parse_json(text), "$", kind)
+
+    return df.withColumns({k["key"]: typed(*k) for k in kinds}).drop(column)
 
 
 def message_stats(validated: DataFrame) -> DataFrame:
