@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import re
 
+import ahocorasick
+import numpy as np
 import pytest
 from llm_helpers import make_docs, prose  # noqa: F401
 
 from tickloom.llm import buckets
-from tickloom.llm.phrase_dedup import remove_repeated_passages
+from tickloom.llm import grams
+from tickloom.llm.phrase_dedup import Shard, remove_repeated_passages
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -67,3 +70,41 @@ def test_repeated_rows_and_null_ids(make_docs, prose):
 
 def test_empty_table(make_docs):
     assert remove_repeated_passages(make_docs([])).collect() == []
+
+
+def words_and_hashes(text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return text.encode().split(), grams.Words(raw, np.array([0, len(raw)])).hash
+
+
+def test_a_shard_compares_around_every_phrase(prose):
+    passage, text = prose(120, 1).split(), prose(30, 2).split()
+    shard = Shard([5, 9], [" ".join(passage).encode(), b"other " * 50], 50, 12)
+    for a, b in [(0, 120), (0, 50), (1, 51), (38, 88), (39, 89), (70, 120), (13, 99), (0, 49), (60, 109)]:
+        doc = text + passage[a:b] + text
+        marked = [30 <= i < 30 + b - a and b - a >= 50 for i in range(len(doc))]
+        words, hashes = words_and_hashes(" ".join(doc))
+        assert shard.repeated(6, words, hashes).tolist() == marked
+        assert not shard.repeated(5, words, hashes).any()
+
+
+def test_nothing_is_found_without_its_phrase(prose):
+    passage = prose(60, 1).split()
+    words, hashes = words_and_hashes(" ".join(passage))
+    shard = Shard([1], [" ".join(passage).encode()], 50, 12)
+    assert shard.repeated(2, words, hashes).all()
+    late = words_and_hashes(" ".join(passage[1:]))  # only the second phrase is whole in it
+    assert shard.repeated(2, *late).all()
+    phrases = sorted(shard.automaton.items(), key=lambda item: item[1])
+    assert len(phrases) == 2
+    shard.automaton = ahocorasick.Automaton()
+    shard.automaton.add_word(*phrases[0])
+    shard.automaton.make_automaton()
+    assert not shard.repeated(2, *late).any()
+
+
+def test_periodic_texts(make_docs, prose):
+    period = prose(70, 3)
+    rows = [(1, "x " * 3_000), (2, "x " * 20_000), (3, f"{period} " * 9), (4, f"{prose(5, 4)} {period} " * 4)]
+    rows += [(5, f"{period} " * 30), (6, "y z " * 400), (7, "z y " * 26)]
+    assert got(remove_repeated_passages(make_docs(rows))) == expected(rows, 50)

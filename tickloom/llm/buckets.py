@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import shuffle_partitions
 
 BUCKET_BYTES = 12_000_000
+LAST_ID = 2**63 - 1  # stands for a null id
 
 
 def bucketed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
@@ -102,6 +103,42 @@ def _answers(table: pa.Table, row: np.ndarray, keys: np.ndarray, docs: np.ndarra
     )
 
 
+HOLDERS = "bucket int, keys binary, docs binary, holders binary"
+
+
+def first_holders(packed: DataFrame) -> DataFrame:
+    """For the bucket of a key's smallest document: keys that recur, that document, who has them.
+
+    One entry per key and bucket that has it (`holders`, 32-bit numbers); the first
+    bucket itself only if several of its documents have the key. A key that only
+    rows without an id have is nobody's.
+    """
+
+    def answer(table: pa.Table) -> pa.Table:
+        counts = [len(k) // 8 for k in table.column("keys").to_pylist()]
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)
+        docs = np.frombuffer(b"".join(table.column("docs").to_pylist()), np.int64)
+        holder = np.repeat(table.column("bucket").to_numpy().astype(np.int32), counts)
+        several, keys = (keys & ONE) == 1, keys & ~ONE
+        order = np.lexsort((docs, keys))
+        keys, docs, holder, several = keys[order], docs[order], holder[order], several[order]
+        first = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
+        group = np.cumsum(first) - 1
+        least, owner = docs[first][group], holder[first][group]
+        tell = (~first | several) & (least != LAST_ID)
+        order = np.flatnonzero(tell)[np.argsort(owner[tell], kind="stable")]
+        owner, keys, least, holder = owner[order], keys[order], least[order], holder[order]
+        cuts = np.flatnonzero(np.diff(owner, prepend=-1))
+        spans = list(zip(cuts, np.append(cuts[1:], len(owner))[: len(cuts)]))
+        columns = [[x[a:b].tobytes() for a, b in spans] for x in (keys, least, holder)]
+        return pa.table(
+            [pa.array(owner[cuts], pa.int32()), *(pa.array(c, pa.binary()) for c in columns)],
+            ["bucket", "keys", "docs", "holders"],
+        )
+
+    return packed.groupBy("part").applyInArrow(answer, HOLDERS)
+
+
 LEVEL = np.uint64(63)  # low bits of a weighted key: how many documents, as a power of two
 
 

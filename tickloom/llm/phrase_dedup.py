@@ -4,13 +4,18 @@ A word is removed when a window of 50 words covers it whose word sequence also
 starts in a document with a smaller id.
 
 1. Each window chooses one phrase of 12 words in it (a minimizer), so equal windows
-   choose equal phrases. Phrases found in two documents or more are recurring.
-2. Per bucket, the recurring phrases its documents hold are compiled into an
-   Aho-Corasick automaton: one shard of the automata, bounded by the bucket. All
-   documents of the bucket are streamed through it, which finds every occurrence.
-3. The windows around an occurrence are sent to the others as hashes, once per
-   bucket; back comes the smallest document that has each.
-4. Windows with a smaller document are marked, the words they cover removed.
+   choose equal phrases. Windows whose phrase recurs are exchanged as hashes, once per
+   bucket; what recurs is told to the bucket of the smallest document that has it.
+2. That bucket confirms the passages: runs of such windows in that document. It sends
+   their text to the buckets that have any of it.
+3. Per bucket, the passages it got are compiled into an Aho-Corasick automaton, one
+   shard of the automata: of each passage as many phrases as it takes for every
+   window to contain one. All documents of the bucket are streamed through it.
+4. Where a phrase occurs, document and passage are compared word by word. Words in
+   50 equal ones or more go, if the passage is of a smaller document.
+
+So the automaton alone says where a document may repeat something: a passage whose
+phrase it does not report stays. A bucket gets no more text than it holds itself.
 
 Defined results: null or blank text has no words and nothing removed. A text of
 fewer than 50 words loses nothing. Rows that share an id count as one document, so
@@ -20,37 +25,43 @@ empty table gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tickloom.llm import buckets as B
 from tickloom.llm import grams
 
-LAST_ID = 2**63 - 1
-
 
 class _Run:
     """The words of a run of texts, their windows and the phrase each window chose."""
 
     def __init__(self, ids: pa.Array, raw, offsets, window: int, phrase: int):
         self.raw, self.text_offsets = raw, offsets
-        self.ids = ids.fill_null(LAST_ID).to_numpy()
+        self.ids = ids.fill_null(B.LAST_ID).to_numpy()
         self.words = grams.Words(raw, offsets)
-        self.rolling = grams.Rolling(self.words.hash)
         self.starts = grams.window_starts(self.words.offsets, window)
         windows = np.maximum(self.words.counts - window + 1, 0)
         self.owner = np.repeat(np.arange(len(windows)), windows)
         self.window, self.phrase = window, phrase
 
-    def phrases(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, first word and text of every chosen phrase, each place once."""
+    @cached_property
+    def rolling(self) -> grams.Rolling:
+        return grams.Rolling(self.words.hash)
+
+    def chosen(self) -> np.ndarray:
+        """Hash of the phrase that each window chose."""
         if not len(self.starts):
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.uint64)
         hashes = self.rolling.windows(self.phrase)
-        chosen = B.anchors(hashes, self.starts, self.window - self.phrase + 1)
-        new = np.append(True, chosen[1:] != chosen[:-1])
-        return hashes[chosen[new]], chosen[new], self.owner[new]
+        return hashes[B.anchors(hashes, self.starts, self.window - self.phrase + 1)]
+
+    def keys(self, windows: np.ndarray | slice = slice(None)) -> np.ndarray:
+        starts = self.starts[windows]
+        return self.rolling.spans(starts, starts + self.window) & ~B.ONE
 
     def split(self, text: int) -> list[bytes]:
         return self.raw[self.text_offsets[text] : self.text_offsets[text + 1]].tobytes().split()
@@ -66,110 +77,167 @@ def _phrases(texts: DataFrame, parts: int, window: int, phrase: int) -> DataFram
     def run(table: pa.Table) -> pa.Table:
         keys, docs = [], []
         for _, r in _runs(table, window, phrase):
-            found, _, owner = r.phrases()
-            keys.append(found)
-            docs.append(r.ids[owner])
+            found, owner = r.chosen(), r.owner
+            new = np.append(True, (found[1:] != found[:-1]) | (owner[1:] != owner[:-1]))
+            keys.append(found[new[: len(found)]])
+            docs.append(r.ids[owner[new[: len(found)]]])
         bucket = table.column("bucket")[0].as_py()
         return B.pack_weighted(bucket, parts, np.concatenate(keys), np.concatenate(docs))
 
     return texts.groupBy("bucket").applyInArrow(run, "part int, bucket int, keys binary")
 
 
-def _automaton(phrases: set[str]):
-    import ahocorasick
-
-    out = ahocorasick.Automaton()
-    for p in phrases:
-        out.add_word(p, len(p))
-    out.make_automaton()
-    return out
-
-
-def _spaced(words: list[bytes]) -> str:
-    """Words between single spaces, one character per byte."""
-    return (b" " + b" ".join(words) + b" ").decode("latin-1")
-
-
 def _windows(texts: DataFrame, found: DataFrame, parts: int, window: int, phrase: int) -> DataFrame:
-    """Hashes of the windows around every occurrence of a recurring phrase."""
+    """Hashes of the windows whose phrase recurs."""
 
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        empty = B.pack_keys(0, 1, np.zeros(0, np.uint64), np.zeros(0, np.int64))
         known, _ = B.answered(answers)
-        if not table.num_rows or not len(known):
-            return empty
         plain = known & ~B.LEVEL
-        phrases: set[str] = set()
-        for _, r in _runs(table, window, phrase):
-            hashes, first, owner = r.phrases()
-            recurs = B.place_of(plain, hashes & ~B.LEVEL) >= 0
-            for text in np.unique(owner[recurs]):
-                words = r.split(text)
-                for at in first[recurs & (owner == text)] - r.words.offsets[text]:
-                    phrases.add(_spaced(words[at : at + phrase]))
-        if not phrases:
-            return empty
-        automaton = _automaton(phrases)
-        keys, docs = [], []
-        for _, r in _runs(table, window, phrase):
-            near = []
-            for text in np.flatnonzero(r.words.counts >= window):
-                words = r.split(text)
-                ends, sizes = [], []
-                for end, size in automaton.iter(_spaced(words)):
-                    ends.append(end)
-                    sizes.append(size)
-                if ends:
-                    begins = np.cumsum([1] + [len(w) + 1 for w in words[:-1]])
-                    at = np.searchsorted(begins, np.array(ends) - np.array(sizes) + 2)
-                    near.append((text, np.unique(at)))
-            for text, at in near:
-                count = int(r.words.counts[text])
-                low = np.maximum(at - (window - phrase), 0)
-                high = np.minimum(at, count - window) + 1
-                edge = np.zeros(count + 2, np.int64)
-                np.add.at(edge, low[low < high], 1)
-                np.add.at(edge, high[low < high], -1)
-                starts = np.flatnonzero(np.cumsum(edge) > 0) + r.words.offsets[text]
-                keys.append(r.rolling.spans(starts, starts + window))
-                docs.append(np.full(len(starts), r.ids[text]))
-        if not keys:
-            return empty
-        bucket = table.column("bucket")[0].as_py()
+        keys, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for _, r in _runs(table, window, phrase) if len(plain) else ():
+            recurs = B.place_of(plain, r.chosen() & ~B.LEVEL) >= 0
+            keys.append(r.keys(recurs))
+            docs.append(r.ids[r.owner[recurs]])
+        bucket = table.column("bucket")[0].as_py() if table.num_rows else 0
         return B.pack_keys(bucket, parts, np.concatenate(keys), np.concatenate(docs))
 
     both = texts.groupBy("bucket").cogroup(found.groupBy("bucket"))
     return both.applyInArrow(run, B.PACKED)
 
 
+PASSAGES = "bucket int, doc_id long, passage binary"
+
+
+def _passages(texts: DataFrame, holders: DataFrame, window: int, phrase: int) -> DataFrame:
+    """Text of the confirmed passages of the first documents, for each bucket that has them."""
+
+    def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        wanted = [b"".join(told.column(c).to_pylist()) for c in ("keys", "docs", "holders")]
+        keys, docs = np.frombuffer(wanted[0], np.uint64), np.frombuffer(wanted[1], np.int64)
+        to = np.frombuffer(wanted[2], np.int32)
+        order = np.argsort(keys)
+        keys, docs, to = keys[order], docs[order], to[order]
+        first = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
+        begin, distinct, owner = np.flatnonzero(first), keys[first], docs[first]
+        counts = np.diff(np.append(begin, len(keys)))
+        done = np.zeros(len(distinct), bool)
+        table = table.filter(pc.is_in(table.column("doc_id"), pa.array(np.unique(docs))))
+        out: list[tuple] = []
+        for _, r in _runs(table, window, phrase):
+            at = B.place_of(distinct, r.keys())
+            mine = np.flatnonzero((at >= 0) & (owner[at] == r.ids[r.owner]) & ~done[at]) if len(distinct) else at[:0]
+            _, once = np.unique(at[mine], return_index=True)  # the first place of each window
+            mine = mine[np.sort(once)]
+            at = at[mine]
+            done[at] = True
+            entry = np.repeat(begin[at], counts[at]) + grams.ranges(counts[at])
+            holder, place = to[entry], np.repeat(mine, counts[at])
+            order = np.lexsort((place, holder))
+            holder, place = holder[order], place[order]
+            new = (np.diff(holder, prepend=-1) != 0) | (np.diff(r.starts[place], prepend=-2) != 1)
+            new |= np.diff(r.owner[place], prepend=-1) != 0
+            heads = np.flatnonzero(new)
+            tails = np.append(heads[1:], len(new))[: len(heads)] - 1
+            from_byte = r.words.start[r.starts[place[heads]]].tolist()
+            to_byte = r.words.end[r.starts[place[tails]] + window - 1].tolist()
+            ids = r.ids[r.owner[place[heads]]].tolist()
+            for h, i, a, b in zip(holder[heads].tolist(), ids, from_byte, to_byte):
+                out.append((h, i, r.raw[a:b].tobytes()))
+        kinds = (pa.int32(), pa.int64(), pa.binary())
+        columns = zip(*out) if out else ((), (), ())
+        return pa.table(
+            [pa.array(c, kind) for c, kind in zip(columns, kinds)], ["bucket", "doc_id", "passage"]
+        )
+
+    both = texts.groupBy("bucket").cogroup(holders.groupBy("bucket"))
+    return both.applyInArrow(run, PASSAGES)
+
+
+def _spaced(words: list[bytes]) -> str:
+    """Words between single spaces, one character per byte."""
+    return (b" " + b" ".join(words) + b" ").decode("latin-1")
+
+
+class Shard:
+    """Passages of a bucket and the automaton that finds their phrases.
+
+    Of a passage, every (window - phrase + 1)-th phrase is in the automaton, so each
+    of its windows contains one.
+    """
+
+    def __init__(self, docs: list[int], passages: list[bytes], window: int, phrase: int):
+        import ahocorasick
+
+        self.window = window
+        self.docs = np.array(docs, np.int64)
+        raw = np.frombuffer(b"".join(passages), np.uint8)
+        sizes = np.fromiter(map(len, passages), np.int64, len(passages))
+        words = grams.Words(raw, np.concatenate([[0], np.cumsum(sizes)]))
+        self.hash, self.begin = words.hash, words.offsets
+        places: dict[str, list[tuple[int, int]]] = {}
+        for number, passage in enumerate(passages):
+            some = passage.split()
+            for at in range(0, len(some) - phrase + 1, window - phrase + 1):
+                places.setdefault(_spaced(some[at : at + phrase]), []).append((number, at))
+        self.automaton = ahocorasick.Automaton()
+        for number, text in enumerate(places):
+            self.automaton.add_word(text, number)
+        self.automaton.make_automaton()
+        self.width = np.fromiter(map(len, places), np.int64, len(places))
+        self.counts = np.fromiter(map(len, places.values()), np.int64, len(places))
+        self.first = np.cumsum(self.counts) - self.counts
+        self.places = np.array([p for some in places.values() for p in some], np.int64).reshape(-1, 2)
+
+    def _met(self, doc: int, words: list[bytes]) -> np.ndarray:
+        """Distinct (passage, its first word's place in the document), of smaller documents."""
+        found = list(self.automaton.iter(_spaced(words)))
+        if not found:
+            return np.zeros((0, 2), np.int64)
+        end, which = np.array(found, np.int64).T
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        begins = np.cumsum(lengths + 1) - lengths
+        at = np.searchsorted(begins, end - self.width[which] + 2)
+        counts = self.counts[which]
+        met = self.places[np.repeat(self.first[which], counts) + grams.ranges(counts)]
+        met[:, 1] = np.repeat(at, counts) - met[:, 1]
+        return np.unique(met[self.docs[met[:, 0]] < doc], axis=0)
+
+    def repeated(self, doc: int, words: list[bytes], hashes: np.ndarray) -> np.ndarray:
+        """Which words of a document lie in a window of a passage of a smaller document."""
+        gone = np.zeros(len(words), dtype=bool)
+        if len(words) < self.window or not len(self.docs):
+            return gone
+        for passage, at in self._met(doc, words).tolist():
+            begin, end = self.begin[passage], self.begin[passage + 1]
+            low, high = max(at, 0), min(at + end - begin, len(words))
+            same = hashes[low:high] == self.hash[begin + low - at : begin + high - at]
+            edges = np.concatenate([[-1], np.flatnonzero(~same), [len(same)]])
+            for k in np.flatnonzero(np.diff(edges) > self.window).tolist():
+                gone[low + edges[k] + 1 : low + edges[k + 1]] = True
+        return gone
+
+
 OUT = "doc_id long, n_words long, spans array<struct<start:long,end:long>>, kept string"
 
 
-def _removed(texts: DataFrame, answers: DataFrame, window: int, phrase: int) -> DataFrame:
+def _removed(texts: DataFrame, passages: DataFrame, window: int, phrase: int) -> DataFrame:
     def spans(marked: np.ndarray) -> list[dict]:
         edge = np.diff(np.concatenate([[0], marked.astype(np.int8), [0]]))
         pairs = zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())
         return [{"start": a, "end": b} for a, b in pairs]
 
-    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        known, least = B.answered(answers)
+    def run(table: pa.Table, found: pa.Table) -> pa.Table:
+        texts_of, docs_of = found.column("passage").to_pylist(), found.column("doc_id").to_pylist()
+        shard = Shard(docs_of, texts_of, window, phrase)
         ids, counts, removed, kept = [], [], [], []
         for doc_ids, r in _runs(table, window, phrase):
-            n = len(r.words.start)
-            gone = np.zeros(n, dtype=bool)
-            if len(known) and len(r.starts):
-                hashes = r.rolling.spans(r.starts, r.starts + window) & ~B.ONE
-                at = B.place_of(known, hashes)
-                repeated = (at >= 0) & (least[at] < r.ids[r.owner])
-                gone = B.covered(r.starts[repeated], window, n)
-            for text in range(len(r.ids)):
+            for text, doc in enumerate(r.ids.tolist()):
                 words = r.split(text)
-                mine = gone[r.words.offsets[text] : r.words.offsets[text + 1]]
-                if mine.any():
-                    removed.append(spans(mine))
-                    words = [w for w, out in zip(words, mine.tolist()) if not out]
-                else:
-                    removed.append([])
+                mine = r.words.hash[r.words.offsets[text] : r.words.offsets[text + 1]]
+                gone = shard.repeated(doc, words, mine)
+                removed.append(spans(gone) if gone.any() else [])
+                if removed[-1]:
+                    words = [w for w, out in zip(words, gone.tolist()) if not out]
                 kept.append(b" ".join(words))
             ids.extend(doc_ids.to_pylist())
             counts.append(r.words.counts)
@@ -183,7 +251,7 @@ def _removed(texts: DataFrame, answers: DataFrame, window: int, phrase: int) ->
             }
         )
 
-    both = texts.groupBy("bucket").cogroup(answers.groupBy("bucket"))
+    both = texts.groupBy("bucket").cogroup(passages.groupBy("bucket"))
     return both.applyInArrow(run, OUT)
 
 
@@ -197,5 +265,5 @@ def remove_repeated_passages(
     """`doc_id, n_words, spans, kept`: removed runs of words, remaining words joined by a space."""
     texts, parts = B.bucketed(docs, id_col, text_col)
     found = B.recurring(_phrases(texts, parts, window, phrase))
-    least = B.smallest_documents(_windows(texts, found, parts, window, phrase))
-    return _removed(texts, least, window, phrase)
+    holders = B.first_holders(_windows(texts, found, parts, window, phrase))
+    return _removed(texts, _passages(texts, holders, window, phrase), window, phrase)
