@@ -1,17 +1,20 @@
 """Personal data: patterns, and a character-level BiLSTM-CRF that adds to them.
 
 The base spans come from fixed patterns with their checks. The network (`lstm_crf.py`)
-is trained on the driver from the base spans of a bounded sample, and decodes
+learns, on the driver, from a bounded sample: the base spans of its texts, and forms
+the patterns miss, planted in pieces of them beside lookalikes (`planted.py`). It decodes
 overlapping windows; where windows disagree, each character takes the tag of the
 window whose middle is nearest, so a span is cut from one tag sequence of the whole
-text. Its spans join the base ones where they overlap none of them.
+text. A span of it is widened to whole runs of letters and digits, and joins the base
+ones if it passes the check of its kind (`plausible`) and overlaps none of them.
 
-Every kind contains a digit or an at sign, in the patterns and in the labels. So
-windows are laid over the stretches within a window's length of such a character;
-the rest of a text cannot hold a span. This depends on the characters alone.
+Every form has a digit, an at sign, the word "dot" or a bracketed "at". So windows are
+laid over the stretches within a window's length of such a sign; the rest of a text
+cannot hold a span. This depends on the characters alone.
 
 The sample: at most `SAMPLE` documents with an id and a digit or an at sign, of at
-most `SAMPLE_CHARS` characters, the first by a hash of their id.
+most `SAMPLE_CHARS` characters, the first by a hash of their id; `SAMPLE_WINDOWS` of
+their windows, and those of `PLANTED` pieces.
 
 Defined results: null text is empty and has no spans. Repeated rows and null ids are
 treated like any other. Without a sample nothing is added to the base spans. An
@@ -31,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import lstm_crf
+from tickloom.llm.planted import planted
 
 # Fixed values.
 KINDS = ("email", "ip", "card", "phone")
@@ -39,7 +43,8 @@ PHONE_DIGITS = (10, 15)
 
 SAMPLE = 1_500
 SAMPLE_CHARS = 30_000
-SAMPLE_WINDOWS = 6_000
+SAMPLE_WINDOWS = 3_000
+PLANTED = 4_000
 WINDOWS_AT_ONCE = 2_000
 
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
@@ -49,6 +54,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
+_SPELLED = re.compile(r"[(\[{<] ?(?:at|dot) ?[)\]}>]|\bdot\b", re.ASCII | re.IGNORECASE)
+_AT = re.compile(r"\w\s?(?:@|[(\[{<] ?at ?[)\]}>]| at )\s?\w.*(?:\.|dot).*[a-z]$", re.ASCII | re.IGNORECASE)
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -100,15 +107,23 @@ def _codes(text: str) -> np.ndarray:
     return np.minimum(points, lstm_crf.ALPHABET - 1).astype(np.int16)
 
 
-def windows(codes: np.ndarray, shape: lstm_crf.Shape) -> np.ndarray:
-    """Starts of the overlapping windows over all stretches that may hold a span."""
+def windows(codes: np.ndarray, shape: lstm_crf.Shape, spelled: list[int] = ()) -> np.ndarray:
+    """Starts of the overlapping windows over all stretches that may hold a span.
+
+    `spelled` are the places of spelled-out signs, beside digits and at signs.
+    """
     hit = np.flatnonzero(((codes >= 48) & (codes <= 57)) | (codes == 64))
+    hit = np.concatenate([hit, np.array(spelled, np.int64)])
     if not len(hit):
         return hit
     near = np.unique(np.concatenate([hit // shape.stride - 1, hit // shape.stride]))
     return near[near >= 0] * shape.stride if len(codes) > shape.window else near[:1] * 0
 
 
+def _spelled(text: str) -> list[int]:
+    return [m.start() for m in _SPELLED.finditer(text)]
+
+
 def _laid(codes: np.ndarray, starts: np.ndarray, shape: lstm_crf.Shape):
     at = starts[:, None] + np.arange(shape.window)
     mask = at < len(codes)
@@ -136,21 +151,29 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     )
     ids = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     rows = usable.join(F.broadcast(ids), "doc_id").orderBy("doc_id", "text").toArrow()
+    texts = rows.column("text").to_pylist()
+    laid = _labelled([(t, base_spans(t)) for t in texts], shape)
+    if laid is None:
+        return None
+    some = np.random.default_rng(5).permutation(len(laid[0]))[:SAMPLE_WINDOWS]
+    pieces = _labelled(planted(texts, PLANTED, seed=17), shape)
+    chars, masks, tags = (np.concatenate([x[some], more]) for x, more in zip(laid, pieces))
+    return lstm_crf.train(chars, masks, tags.astype(np.int64), shape, epochs=6)
+
+
+def _labelled(texts: list[tuple[str, list]], shape: lstm_crf.Shape):
+    """Characters, masks and tags of all windows of texts with their spans; base spans go first."""
     chars, masks, tags = [], [], []
-    for value in rows.column("text").to_pylist():
+    for value, spans in texts:
         codes = _codes(value)
-        starts = windows(codes, shape)
+        starts = windows(codes, shape, _spelled(value))
         if len(starts):
             laid, mask = _laid(codes, starts, shape)
             chars.append(laid)
             masks.append(mask)
-            gold = _tags_of(len(codes), base_spans(value))
+            gold = _tags_of(len(codes), base_spans(value) + spans)
             tags.append(np.where(mask, _laid(gold, starts, shape)[0], 0))
-    if not chars:
-        return None
-    chars, masks, tags = (np.concatenate(x) for x in (chars, masks, tags))
-    some = np.random.default_rng(5).permutation(len(chars))[:SAMPLE_WINDOWS]
-    return lstm_crf.train(chars[some], masks[some], tags[some].astype(np.int64), shape)
+    return tuple(np.concatenate(x) for x in (chars, masks, tags)) if chars else None
 
 
 def reconciled(codes_length: int, starts: np.ndarray, tags: np.ndarray, mask: np.ndarray):
@@ -178,15 +201,41 @@ def tagged_spans(tags: np.ndarray) -> list[tuple[int, int, int]]:
     return [(a, int(kind[a]) - 1, b) for a, b in zip(first.tolist(), last.tolist())]
 
 
+def plausible(kind: int, span: str) -> bool:
+    """The check of a span that the network found: as that of the patterns, whatever separates."""
+    if kind == 0:
+        return _AT.search(span) is not None
+    if kind == 1:
+        parts = re.findall("[0-9]+", span)
+        return len(parts) == 4 and all(int(p[:9]) <= 255 for p in parts)
+    if kind == 2:
+        digits = _digits(span)
+        return CARD_DIGITS[0] <= len(digits) <= CARD_DIGITS[1] and _luhn(digits)
+    digits = sum(c in "0123456789OIl" for c in span)
+    return PHONE_DIGITS[0] <= digits <= PHONE_DIGITS[1] and not re.search("[A-HJ-NP-Za-km-z]", span)
+
+
+def _whole(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span widened to whole runs of letters and digits."""
+    while start > 0 and text[start - 1].isalnum() and text[start].isalnum():
+        start -= 1
+    while end < len(text) and text[end - 1].isalnum() and text[end].isalnum():
+        end += 1
+    return start, end
+
+
 def _added(text: str, base, codes, starts, tags, mask) -> list[tuple[int, int, int]]:
     taken = np.zeros(len(codes) + 1, dtype=bool)
     for start, _, end in base:
         taken[start:end] = True
     out = []
     for start, kind, end in tagged_spans(reconciled(len(codes), starts, tags, mask)):
-        long_enough = len(_digits(text[start:end])) >= 4 if kind else "@" in text[start:end]
-        if long_enough and not taken[start:end].any():
+        if taken[start:end].any():
+            continue
+        start, end = _whole(text, start, end)
+        if plausible(kind, text[start:end]) and not taken[start:end].any():
             out.append((start, kind, end))
+            taken[start:end] = True
     return out
 
 
@@ -230,10 +279,11 @@ def find_spans(
 
         held = 0
         for i, text in enumerate(texts):
-            if not _TRIGGER.search(text):
+            spelled = _spelled(text)
+            if not spelled and not _TRIGGER.search(text):
                 continue
             codes = _codes(text)
-            starts = windows(codes, shape)
+            starts = windows(codes, shape, spelled)
             waiting.append((i, codes, starts))
             held += len(starts)
             if held >= WINDOWS_AT_ONCE:
