@@ -69,19 +69,26 @@ def _log_sum(x, axis):
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
+def _log_product(x, weights):
+    """log(exp(x) @ weights), row by row."""
+    top = x.max(axis=1, keepdims=True)
+    return np.log(np.exp(x - top) @ weights) + top
+
+
 def loss_and_gradients(w, shape: Shape, chars, mask, tags):
     """Mean negative log likelihood of the tags; arrays are steps x windows."""
     h, (steps, batch) = shape.hidden, chars.shape
     states, caches = _states(w, shape, chars, mask, keep=True)
     scores = states @ w["emit"] + w["emit_bias"]
+    moves = np.exp(w["move"])
     forward = np.empty_like(scores)
     forward[0] = w["begin"] + scores[0]
     for t in range(1, steps):
-        step = _log_sum(forward[t - 1][:, :, None] + w["move"], 1) + scores[t]
+        step = _log_product(forward[t - 1], moves) + scores[t]
         forward[t] = np.where(mask[t][:, None], step, forward[t - 1])
     backward = np.zeros_like(scores)
     for t in range(steps - 2, -1, -1):
-        step = _log_sum(w["move"] + (scores[t + 1] + backward[t + 1])[:, None, :], 2)
+        step = _log_product(scores[t + 1] + backward[t + 1], moves.T)
         backward[t] = np.where(mask[t + 1][:, None], step, backward[t + 1])
     total = _log_sum(forward[-1], 1)
     at = np.arange(batch)
@@ -90,17 +97,17 @@ def loss_and_gradients(w, shape: Shape, chars, mask, tags):
     d_scores = np.exp(forward + backward - total[None, :, None]) * mask[:, :, None]
     grad["begin"] += d_scores[0].sum(axis=0)
     np.add.at(grad["begin"], tags[0], -1)
-    for t in range(1, steps):
-        on = mask[t].astype(np.float32)
-        gold += on * (w["move"][tags[t - 1], tags[t]] + scores[t, at, tags[t]])
-        pair = (
-            forward[t - 1][:, :, None]
-            + w["move"]
-            + (scores[t] + backward[t])[:, None, :]
-            - total[:, None, None]
-        )
-        grad["move"] += (np.exp(pair) * on[:, None, None]).sum(axis=0)
-        np.add.at(grad["move"], (tags[t - 1], tags[t]), -on)
+    on = mask[1:].astype(np.float32)
+    here, before = tags[1:], tags[:-1]
+    own = np.take_along_axis(scores[1:], here[:, :, None], 2)[:, :, 0]
+    gold += (on * (w["move"][before, here] + own)).sum(axis=0)
+    top = forward[:-1].max(axis=2, keepdims=True)
+    left = np.exp(forward[:-1] - top) * on[:, :, None]
+    # off steps are nothing on the left; their right side may be too large
+    right = np.exp(np.where(mask[1:, :, None], scores[1:] + backward[1:] + top - total[:, None], 0))
+    k = shape.tags
+    grad["move"] += moves * (left.reshape(-1, k).T @ right.reshape(-1, k))
+    np.add.at(grad["move"], (before, here), -on)
     d_scores[np.arange(steps)[:, None], at[None, :], tags] -= mask
     d_scores = (d_scores / batch).astype(np.float32)
     grad["move"] /= batch
@@ -108,10 +115,13 @@ def loss_and_gradients(w, shape: Shape, chars, mask, tags):
     grad["emit"] = np.einsum("tbs,tbk->sk", states, d_scores)
     grad["emit_bias"] = d_scores.sum(axis=(0, 1))
     d_states = d_scores @ w["emit"].T
+    by_char = np.argsort(chars, axis=None, kind="stable")
+    present, runs = np.unique(chars.reshape(-1)[by_char], return_index=True)
     for side, order in (("f", range(steps - 1, -1, -1)), ("b", range(steps))):
         column = slice(0, h) if side == "f" else slice(h, 2 * h)
         recur = w["state_" + side]
         d_gate = np.zeros((ALPHABET + 1, 4 * h), dtype=np.float32)
+        d_steps = np.empty((steps, batch, 4 * h), dtype=np.float32)
         d_out = d_cell = np.zeros((batch, h), dtype=np.float32)
         for t in order:
             forget, take, show, new, cell, out, squashed, on = caches[side, t]
@@ -128,9 +138,10 @@ def loss_and_gradients(w, shape: Shape, chars, mask, tags):
                 axis=1,
             )
             grad["state_" + side] += out.T @ d_a
-            np.add.at(d_gate, chars[t], d_a)
+            d_steps[t] = d_a
             d_out = d_a @ recur.T + total_out * ~on
             d_cell = d_c * forget + d_cell * ~on
+        d_gate[present] = np.add.reduceat(d_steps.reshape(-1, 4 * h)[by_char], runs)
         grad["in_" + side] = w["embed"].T @ d_gate
         grad["bias_" + side] = d_gate.sum(axis=0)
         grad["embed"] += d_gate @ w["in_" + side].T

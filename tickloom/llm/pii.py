@@ -43,7 +43,7 @@ PHONE_DIGITS = (10, 15)
 
 SAMPLE = 1_500
 SAMPLE_CHARS = 30_000
-SAMPLE_WINDOWS = 3_000
+SAMPLE_WINDOWS = 1_500
 PLANTED = 4_000
 WINDOWS_AT_ONCE = 2_000
 
