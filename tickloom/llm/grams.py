@@ -158,8 +158,8 @@ def ranges(counts: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(before, counts)
 
 
-def slices(batch: pa.RecordBatch | pa.Table, ids: int = 0, texts: int = 1):
-    """Ids (Arrow), bytes and offsets of runs of whole texts, each about `SLICE_BYTES` long.
+def slices(batch: pa.RecordBatch | pa.Table, ids: int = 0, texts: int = 1, size: int = SLICE_BYTES):
+    """Ids (Arrow), bytes and offsets of runs of whole texts, each about `size` bytes long.
 
     The arrays of a run take some dozens of times its bytes, so a batch is worked
     through in runs; a longer text is a run of its own.
@@ -170,7 +170,7 @@ def slices(batch: pa.RecordBatch | pa.Table, ids: int = 0, texts: int = 1):
         raw, offsets = text_bytes(part.column(texts))
         begin = 0
         while begin < len(column):
-            limit = offsets[begin] + SLICE_BYTES
+            limit = offsets[begin] + size
             end = int(np.searchsorted(offsets, limit, side="right")) - 1
             end = min(max(end, begin + 1), len(column))
             yield (

@@ -31,6 +31,7 @@ CAPACITY = 1024
 GROUP_ROWS = 40_000  # documents of a packing group, on average
 GROUPS = 1 << 38
 CACHED_WORDS = 800_000  # of some 40 bytes
+RUN_BYTES = 1_000_000  # of text encoded at once, while the words are new at some 300 bytes a byte
 PIECE = "group long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -175,7 +176,7 @@ def token_pieces(
         encoder = _encoder(shared.value)
         for batch in batches:
             done = 0
-            for docs, raw, offsets in grams.slices(batch):
+            for docs, raw, offsets in grams.slices(batch, size=RUN_BYTES):
                 rows = []
                 groups = batch.column(2).slice(done, len(docs)).to_pylist()
                 done += len(docs)
