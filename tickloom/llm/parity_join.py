@@ -50,7 +50,9 @@ FIRST = 12
 HUB = 50
 HOT_ROWS = 64  # in which each part of the classes names the documents of its large groups
 PART_SHINGLES = 5_000_000  # of the documents, for each part of the classes
+PART_MEMBERS = 25_000  # of groups, for each partition of what comes of them
 SIZES = "doc_id long, n long, s1 long, s2 long"
+UNPACKED = "gid long, band int, doc_id long"
 SKETCH = "doc_id long, n long, band int, words binary"
 FLIP_BITS = 16  # bits of the long sketch per shingle that may differ
 
@@ -355,14 +357,21 @@ def _pairs(
     return out, more
 
 
-def pairs_to_verify(groups: DataFrame, rows: DataFrame, answers, tries: int, rule: Similarity):
+def _in_parts(df: DataFrame, parts: int) -> DataFrame:
+    """`df` in at most so many partitions, where a shuffle would make more."""
+    return df.coalesce(parts) if parts < shuffle_partitions(df.sparkSession) else df
+
+
+def pairs_to_verify(
+    groups: DataFrame, rows: DataFrame, answers, tries: int, rule: Similarity, parts: int
+) -> DataFrame:
     """`gid, a, b, more` with a < b: what each group wants to have verified next.
 
     `answers` (`gid, a, b, linked`) are what it has been told. `more` says that the group
     has further pairs to name even if all of these link.
     """
-    unpacked = groups.mapInArrow(_unpack, "gid long, band int, doc_id long")
-    members = unpacked.join(rows, ["doc_id", "band"])
+    unpacked = groups.mapInArrow(_unpack, UNPACKED)
+    members = _in_parts(unpacked.join(rows, ["doc_id", "band"]), parts)
     if answers is None:
         none = F.lit(None).cast("array<bigint>")
         members = members.withColumns({"yes": none, "no": none})
@@ -371,7 +380,7 @@ def pairs_to_verify(groups: DataFrame, rows: DataFrame, answers, tries: int, rul
             F.collect_set(F.when(F.col("linked"), F.col("b"))).alias("yes"),
             F.collect_set(F.when(~F.col("linked"), F.col("b"))).alias("no"),
         )
-        members = members.join(results, ["gid", "doc_id"], "left")
+        members = _in_parts(members.join(_in_parts(results, parts), ["gid", "doc_id"], "left"), parts)
 
     def choose(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id")
@@ -402,7 +411,8 @@ def pairs_to_verify(groups: DataFrame, rows: DataFrame, answers, tries: int, rul
         )
 
     columns = members.select("gid", "doc_id", "n", "top", "words", "yes", "no")
-    return columns.groupBy("gid").applyInArrow(choose, "gid long, a long, b long, more boolean")
+    wanted = columns.groupBy("gid").applyInArrow(choose, "gid long, a long, b long, more boolean")
+    return _in_parts(wanted, parts)
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,13 +429,6 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        members = [np.frombuffer(m, np.int64) for m in batch.column("members").to_pylist()]
-        ids = np.unique(np.concatenate(members)) if members else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(ids)], ["doc_id"])
-
-
 def sets_of(docs: DataFrame, ids: DataFrame, rule: Similarity) -> DataFrame:
     """`doc_id, hashes`: the shingle sets of the documents in `ids`."""
 
@@ -444,7 +447,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, rule: Similarity) -> DataFrame:
     return found.dropDuplicates(["doc_id"])
 
 
-def verify(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, rule: Similarity, parts: int) -> DataFrame:
     """`a, b, linked` for every pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -465,32 +468,42 @@ def verify(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return joined.mapInArrow(run, "a long, b long, linked boolean")
+    joined = _in_parts(_in_parts(pairs.join(left, "a"), parts).join(right, "b"), parts)
+    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
 
 
 def connect(
-    groups: DataFrame, rows: DataFrame, texts: DataFrame, checked: DataFrame | None, rule: Similarity
+    groups: DataFrame,
+    rows: DataFrame,
+    texts: DataFrame,
+    checked: DataFrame | None,
+    rule: Similarity,
+    parts: int,
 ) -> DataFrame | None:
     """`checked` (`a, b, linked`) and what verifying these groups adds, until each is settled."""
+
+    def stored(df: DataFrame) -> DataFrame:
+        return kept(_in_parts(df, parts))
+
     left, answers, tries = groups, None, 1
     while not left.isEmpty():
-        wanted = kept(pairs_to_verify(left, rows, answers, tries, rule))
-        pairs = wanted.select("a", "b").distinct()
+        wanted = kept(pairs_to_verify(left, rows, answers, tries, rule, parts))
+        pairs = _in_parts(wanted.select("a", "b").distinct(), parts)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = kept(pairs)
+        pairs = stored(pairs)
         if not pairs.isEmpty():
-            ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-            new = kept(verify(pairs, sets_of(texts, ids, rule), rule))
-            checked = new if checked is None else kept(checked.union(new))
+            ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+            sets = _in_parts(sets_of(texts, ids, rule), parts)
+            new = kept(verify(pairs, sets, rule, parts))
+            checked = new if checked is None else stored(checked.union(new))
         if wanted.isEmpty():
             break
         told = wanted.join(checked, ["a", "b"]).select("gid", "a", "b", "linked", "more")
-        told = kept(told)
+        told = stored(told)
         answers = told.drop("more") if answers is None else answers.union(told.drop("more"))
         # a group that named all its pairs is connected if they link; the others try again
-        left = kept(left.join(told.filter("more or not linked").select("gid"), "gid", "left_semi"))
+        left = stored(left.join(told.filter("more or not linked").select("gid"), "gid", "left_semi"))
         tries *= 8
     return checked
 
@@ -516,13 +529,17 @@ def _checked(
     groups = kept(groups.withColumn("gid", F.xxhash64("band", "members")))
     if groups.isEmpty():
         return checked
-    members = kept(groups.mapInArrow(_members, "doc_id long").distinct())
+    size = groups.agg(F.sum(F.length("members") / 8)).first()[0]
+    parts = max(1, -(-int(size) // PART_MEMBERS))
+    groups = _in_parts(groups, parts)
+    ids = groups.mapInArrow(_unpack, UNPACKED).select("doc_id").distinct()
+    members = kept(_in_parts(ids, parts))
     rows = sketches(only(texts, members), rule).dropDuplicates(["doc_id", "band"])
     if tops is None:
         rows = rows.withColumn("top", F.col("doc_id"))
     else:
-        rows = rows.join(tops, "doc_id")
-    return connect(groups, kept(rows), texts, checked, rule)
+        rows = _in_parts(rows, parts).join(tops, "doc_id")
+    return connect(groups, kept(_in_parts(rows, parts)), texts, checked, rule, parts)
 
 
 def jaccard_classes(
