@@ -153,6 +153,48 @@ def test_rows_of_a_document_do_not_grow_with_its_group(make_docs, prose, monkeyp
     assert each[1] < 1.3 * each[0] < 1.3 * 3 * parity_join.FIRST
 
 
+@pytest.mark.parametrize("rule", [Similarity(), Similarity(5, 80, 100)])
+def test_rows_of_a_group_with_outsiders_do_not_grow(make_docs, prose, monkeypatch, rule):
+    """Every third text is a little too far from most others, so large groups stay apart."""
+    monkeypatch.setattr(parity_join, "BLOCK", 100)
+    monkeypatch.setattr(parity_join, "SMALL", 20)
+    monkeypatch.setattr(parity_join, "HUB", 10)
+    real, sent = parity_join.pairs_to_verify, []
+
+    def counted(groups, *args):
+        large = groups.filter(F.length("members") > 8 * parity_join.SMALL)
+        sent.append(large.select(F.sum(F.length("members") / 8)).first()[0] or 0)
+        return real(groups, *args)
+
+    monkeypatch.setattr(parity_join, "pairs_to_verify", counted)
+    base, rng, texts = prose(200, 7).split(), np.random.default_rng(7), []
+    far = 200 * (rule.parts - rule.needed) // (2 * rule.parts * rule.words)
+    for i in range(300):
+        text = list(base)
+        for at in rng.integers(0, len(text), 1 + (2 * far if i % 3 == 2 else 0)):
+            text[at] = f"edit{rng.integers(10**6)}"
+        texts.append(" ".join(text))
+    want = expected(list(enumerate(texts)), rule)
+    tops = [top for _, top in want.values()]
+    assert 20 < len(set(tops)) and tops.count(0) > 150
+    assert got(jaccard_classes(make_docs(list(enumerate(texts))), rule)) == want
+    assert sum(sent) < 3 * parity_join.FIRST * len(texts)
+
+
+def test_rest_of_a_component_meets_all_of_it(spark, monkeypatch):
+    monkeypatch.setattr(parity_join, "BLOCK", 3)
+    held, rest = list(range(10)), [[20, 21, 22, 23], [23, 24]]
+    tops = spark.createDataFrame([(i, 0) for i in held] + [(i, i) for i in range(20, 25)], "doc_id long, top long")
+    found = [(4, 0, bytearray(np.array(r, np.int64).tobytes())) for r in rest]
+    found.append((5, None, bytearray(np.array([30, 31], np.int64).tobytes())))
+    groups = parity_join._met(spark.createDataFrame(found, parity_join.GROUPS), tops).collect()
+    sets = [(g["band"], set(np.frombuffer(g["members"], np.int64).tolist())) for g in groups]
+    assert (5, {30, 31}) in sets
+    for a in range(20, 25):
+        for b in [*held, *range(20, 25)]:
+            assert any(band == 4 and {a, b} <= s for band, s in sets)
+
+
 def test_rows_of_one_id_with_different_texts(make_docs):
     long = " ".join(f"w{i}" for i in range(40))
     rows = [(1, long), (1, "zz " + long), (2, long + " end"), (3, "other words here")]

@@ -19,9 +19,12 @@ under each of its classes. Therefore only groups of at most `SMALL` members are
 they are. Of larger ones, those under the first `FIRST` classes of a document are sent,
 cut into blocks that have their first `HUB` members in common; what they link gives
 components. The documents of large groups then meet once more: groups that lie in one
-component are passed over, and of the others every pair of different components is named,
-by blocks that meet in pairs where they hold different components. So the rows of a
-document do not grow with its group while its group is connected.
+component are passed over. Where one component holds half of a group or more, the others
+in the group are the rest that this component met. The rests that it met under all
+classes of a band are one, and meet the whole component and themselves in blocks, once. A
+group without such a component is sent as blocks that meet in pairs where they hold
+different components. So the rows of a document do not grow with the number of classes
+that a large group shares, and not with the group while it is connected.
 
 Defined results: null text, or text without words, has an empty set and links with
 nothing. A text with fewer words than a shingle is one shingle. Repeated rows link
@@ -34,6 +37,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +57,7 @@ PART_SHINGLES = 5_000_000  # of the documents, for each part of the classes
 PART_MEMBERS = 25_000  # of groups, for each partition of what comes of them
 SIZES = "doc_id long, n long, s1 long, s2 long"
 UNPACKED = "gid long, band int, doc_id long"
+GROUPS = "band int, top long, members binary"
 SKETCH = "doc_id long, n long, band int, words binary"
 FLIP_BITS = 16  # bits of the long sketch per shingle that may differ
 
@@ -239,11 +244,11 @@ def _with_hub(members: np.ndarray) -> Iterator[np.ndarray]:
 
 
 def candidate_groups(docs: DataFrame, rule: Similarity, parts: int, again: bool) -> DataFrame:
-    """`band, members`: groups of documents (`doc_id`, `text`) that share a class.
+    """`band, top, members`: groups of documents (`doc_id`, `text`) that share a class.
 
     Large groups are sent as blocks of their first classes, and rows with a negative band
     name their members. With `again` (and `top`, the components so far) only large groups
-    of several components are sent, whole.
+    of several components are sent: as blocks, or, with `top`, the rest that a component met.
     """
     classes, equal = rule.classes(rule.bands())
 
@@ -286,29 +291,30 @@ def candidate_groups(docs: DataFrame, rule: Similarity, parts: int, again: bool)
         key, doc, top = key[new], doc[new], top[new]
         cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         ends = np.append(cuts[1:], len(key))
-        found, hot = set(), []
+        found, hot, rests = set(), [], {}
         for a, b in zip(cuts[ends - cuts > 1], ends[ends - cuts > 1]):
             band, first = int(key[a] & BAND_ONLY), bool(key[a] & FIRST_ONLY)
             if b - a <= SMALL:
                 if not again:
-                    found.add((band, doc[a:b].tobytes()))
+                    found.add((band, None, doc[a:b].tobytes()))
             elif again:
-                found.update((band, x.tobytes()) for x in _blocks(doc[a:b], top[a:b]))
+                tops, held = np.unique(top[a:b], return_counts=True)
+                most = tops[held.argmax()]
+                if 2 * held.max() < b - a:
+                    found.update((band, None, x.tobytes()) for x in _blocks(doc[a:b], top[a:b]))
+                elif len(tops) > 1:
+                    rests.setdefault((band, int(most)), []).append(doc[a:b][top[a:b] != most])
             else:
                 hot.append(doc[a:b])
                 if first:
-                    found.update((band, x.tobytes()) for x in _with_hub(doc[a:b]))
+                    found.update((band, None, x.tobytes()) for x in _with_hub(doc[a:b]))
         if hot:
             ids = np.unique(np.concatenate(hot))
             row = grams.mix(ids.view(np.uint64)) % np.uint64(HOT_ROWS)
-            found.update((-1 - i, ids[row == i].tobytes()) for i in range(HOT_ROWS))
-        out = pa.table(
-            {
-                "band": pa.array([f[0] for f in found], pa.int32()),
-                "members": pa.array([f[1] for f in found], pa.binary()),
-            }
-        )
-        del key, doc, top, order, new, cuts, ends, found
+            found.update((-1 - i, None, ids[row == i].tobytes()) for i in range(HOT_ROWS))
+        found.update((*at, np.unique(np.concatenate(x)).tobytes()) for at, x in rests.items())
+        out = _groups(found)
+        del key, doc, top, order, new, cuts, ends, found, rests
         grams.settle()
         return out
 
@@ -317,7 +323,44 @@ def candidate_groups(docs: DataFrame, rule: Similarity, parts: int, again: bool)
     packed = docs.select("doc_id", "text", "top").mapInArrow(
         keys, "part int, keys binary, ids binary, tops binary, places binary"
     )
-    return packed.groupBy("part").applyInArrow(meet, "band int, members binary").distinct()
+    return packed.groupBy("part").applyInArrow(meet, GROUPS).distinct()
+
+
+def _groups(found) -> pa.Table:
+    band, top, members = zip(*found) if found else ((), (), ())
+    columns = [pa.array(band, pa.int32()), pa.array(top, pa.int64()), pa.array(members, pa.binary())]
+    return pa.table(columns, ["band", "top", "members"])
+
+
+def _met(found: DataFrame, tops: DataFrame) -> DataFrame:
+    """`band, members`: the groups in `found`, and blocks of components with the rests they met.
+
+    All that a component met in a band is cut into blocks. Each meets every block of the
+    component, and every other one of the rest.
+    """
+
+    def rest(table: pa.Table) -> pa.Table:
+        ids = np.unique(_ids(table.column("members")))
+        band, top = table.column("band")[0].as_py(), table.column("top")[0].as_py()
+        blocks = [ids[i : i + BLOCK] for i in range(0, len(ids), BLOCK)]
+        out = [(band, top, x.tobytes()) for x in blocks]
+        out += [(band, None, np.union1d(x, y).tobytes()) for x, y in combinations(blocks, 2)]
+        return _groups(out)
+
+    def pack(table: pa.Table) -> pa.Table:
+        held = table.column("doc_id").to_numpy().tobytes()
+        return pa.table({"top": table.column("top")[:1], "held": pa.array([held], pa.binary())})
+
+    rests = kept(found.filter("top is not null").groupBy("band", "top").applyInArrow(rest, GROUPS))
+    blocks = rests.filter("top is not null")
+    sides = only(tops, kept(blocks.select("top").distinct()))
+    number = sides.groupBy("top").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("block")
+    sides = sides.join(F.broadcast(number), "top").select("top", "doc_id", block)
+    sides = sides.groupBy("top", "block").applyInArrow(pack, "top long, held binary")
+    both = blocks.join(sides, "top").select("band", F.concat("held", "members").alias("members"))
+    whole = found.union(rests).filter("top is null").select("band", "members")
+    return whole.union(both)
 
 
 def _pairs(
@@ -415,6 +458,10 @@ def pairs_to_verify(
     return _in_parts(wanted, parts)
 
 
+def _ids(members: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.frombuffer(m, np.int64) for m in members.to_pylist()])
+
+
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         members = [np.frombuffer(m, np.int64) for m in batch.column("members").to_pylist()]
@@ -479,8 +526,12 @@ def connect(
     checked: DataFrame | None,
     rule: Similarity,
     parts: int,
+    once: int | None = None,
 ) -> DataFrame | None:
-    """`checked` (`a, b, linked`) and what verifying these groups adds, until each is settled."""
+    """`checked` (`a, b, linked`) and what verifying these groups adds, until each is settled.
+
+    Groups of more than `once` members name pairs in the first round only.
+    """
 
     def stored(df: DataFrame) -> DataFrame:
         return kept(_in_parts(df, parts))
@@ -503,7 +554,8 @@ def connect(
         told = stored(told)
         answers = told.drop("more") if answers is None else answers.union(told.drop("more"))
         # a group that named all its pairs is connected if they link; the others try again
-        left = stored(left.join(told.filter("more or not linked").select("gid"), "gid", "left_semi"))
+        left = left.join(told.filter("more or not linked").select("gid"), "gid", "left_semi")
+        left = stored(left if once is None else left.filter(F.length("members") <= 8 * once))
         tries *= 8
     return checked
 
@@ -512,8 +564,7 @@ def _united(rows: DataFrame) -> DataFrame:
     """`doc_id`: the distinct members of rows, those of a band by one task."""
 
     def unite(table: pa.Table) -> pa.Table:
-        members = [np.frombuffer(m, np.int64) for m in table.column("members").to_pylist()]
-        return pa.table({"doc_id": pa.array(np.unique(np.concatenate(members)))})
+        return pa.table({"doc_id": pa.array(np.unique(_ids(table.column("members"))))})
 
     return rows.groupBy("band").applyInArrow(unite, "doc_id long")
 
@@ -525,7 +576,10 @@ def _checked(
     rule: Similarity,
     tops: DataFrame | None = None,
 ) -> DataFrame | None:
-    """`checked` and the verified pairs of these groups; `tops` are the components so far."""
+    """`checked` and the verified pairs of these groups; `tops` are the components so far.
+
+    Without `tops`, groups of more than `SMALL` members are to come back with them.
+    """
     groups = kept(groups.withColumn("gid", F.xxhash64("band", "members")))
     if groups.isEmpty():
         return checked
@@ -539,7 +593,8 @@ def _checked(
         rows = rows.withColumn("top", F.col("doc_id"))
     else:
         rows = _in_parts(rows, parts).join(tops, "doc_id")
-    return connect(groups, kept(_in_parts(rows, parts)), texts, checked, rule, parts)
+    once = SMALL if tops is None else None
+    return connect(groups, kept(_in_parts(rows, parts)), texts, checked, rule, parts, once)
 
 
 def jaccard_classes(
@@ -567,7 +622,7 @@ def jaccard_classes(
     alone = single.withColumn("top", F.lit(None).cast("long"))
     named = kept(candidate_groups(alone, rule, parts, False))
     hot = kept(_united(named.filter("band < 0")))
-    checked = _checked(named.filter("band >= 0"), texts, None, rule)
+    checked = _checked(named.filter("band >= 0").select("band", "members"), texts, None, rule)
     if not hot.isEmpty():
         tops = hot.withColumn("top", F.col("doc_id"))
         if checked is not None:
@@ -576,7 +631,8 @@ def jaccard_classes(
         tops = kept(tops)
         few = tops.count() <= BROADCAST_IDS
         again = texts.join(F.broadcast(tops) if few else tops, "doc_id")
-        checked = _checked(candidate_groups(again, rule, parts, True), texts, checked, rule, tops)
+        found = kept(candidate_groups(again, rule, parts, True))
+        checked = _checked(_met(found, tops), texts, checked, rule, tops)
     keys = ["n", "s1", "s2"]
     out = measured.join(equal, keys, "left")
     if checked is None:
