@@ -33,6 +33,14 @@ def test_the_rest_lives_without_the_subpackage(tmp_path):
             assert "pipeline" not in queries
 
 
+def test_a_pipeline_elsewhere_on_the_path_does_not_count(tmp_path, monkeypatch):
+    monkeypatch.setenv("PYTHONPATH", ROOT)
+    copy = tmp_path / "copy"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "corpus_pipeline.py"))
+    queries, oracles = names(copy)
+    assert "pipeline" not in queries | oracles and set(REGISTRY) < queries
+
+
 def test_whole_registry():
     assert set(REGISTRY) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
